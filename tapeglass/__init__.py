@@ -39,7 +39,7 @@ from tapeglass.operators.volume import (
     volume_over_time,
 )
 from tapeglass.plans.extract import extract, write_extract
-from tapeglass.plans.snapshot import export_snapshot, snapshot_results
+from tapeglass.plans.snapshot import export_snapshot, snapshot_queries
 from tapeglass.session import build_session
 from tapeglass.sources.csv_files import ingest_csv, scan_csv
 from tapeglass.sources.flow_table import append_flow, create_flow, read_flow

@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# NULL for NULL, scalars and malformed text.
+PARSED_SIZES = "from_json(MBO, 'array<double>')"
 
-def parse_sizes(text: Column) -> Column:
-    """JSON array text to ARRAY<DOUBLE>; NULL for NULL, scalars and malformed text."""
-    return F.from_json(text, "array<double>")
 
-
-def sum_sizes(sizes: Column) -> Column:
+def _sum_of(sizes: str) -> str:
     """Sum of the non-NULL sizes; NULL when there is none."""
-    return F.aggregate(
-        sizes, F.lit(None).cast("double"), lambda total, size: F.coalesce(total + size, size, total)
-    )
+    return f"aggregate({sizes}, CAST(NULL AS DOUBLE), (total, size) -> coalesce(total + size, size, total))"
+
+
+def parse_sizes() -> Column:
+    """The MBO text as ARRAY<DOUBLE>."""
+    return F.expr(PARSED_SIZES)
+
+
+def sum_sizes(sizes: str = "mbo_sizes") -> Column:
+    return F.expr(_sum_of(sizes))
+
+
+def _sizes(flow: DataFrame) -> str:
+    return "mbo_sizes" if "mbo_sizes" in flow.columns else PARSED_SIZES
 
 
 def with_mbo_size(flow: DataFrame) -> DataFrame:
@@ -24,11 +33,9 @@ def with_mbo_size(flow: DataFrame) -> DataFrame:
     """
     if "mbo_size" in flow.columns:
         return flow
-    sizes = F.col("mbo_sizes") if "mbo_sizes" in flow.columns else parse_sizes(F.col("MBO"))
-    return flow.withColumn("mbo_size", sum_sizes(sizes))
+    return flow.withColumn("mbo_size", sum_sizes(_sizes(flow)))
 
 
 def explode_mbo(flow: DataFrame) -> DataFrame:
     """One row `mbo_value` per single order size; empty and NULL arrays give no row."""
-    sizes = F.col("mbo_sizes") if "mbo_sizes" in flow.columns else parse_sizes(F.col("MBO"))
-    return flow.select(F.explode(sizes).alias("mbo_value"))
+    return flow.select(F.expr(f"explode({_sizes(flow)}) AS mbo_value"))

@@ -1,47 +1,42 @@
-"""Small column expressions shared by the queries."""
+"""Small expressions shared by the queries.
+
+They are written as SQL text: one parse per expression builds a plan several times faster than a chain of
+column calls, which matters for queries with dozens of measures.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+IS_BID = "CASE WHEN Side = 'Bid' THEN 1D ELSE 0D END"
+IS_ASK = "CASE WHEN Side = 'Ask' THEN 1D ELSE 0D END"
+# NULL and unknown sides count as negative.
+SIDE_SIGN = "CASE WHEN Side = 'Bid' THEN 1D ELSE -1D END"
+PS_EVENT = "CASE WHEN MBO_pulling_stacking != 0 THEN 1 ELSE 0 END"
+
 
 def finite_or_null(df: DataFrame) -> DataFrame:
     """Replace NaN and both infinities by NULL in every floating-point column."""
 
-    def finite(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
+    def finite(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if not isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return column
-        odd = F.isnan(column) | (F.abs(column) == float("inf"))
-        return F.when(~odd, column).alias(field.name)
-
-    return df.select([finite(field) for field in df.schema.fields])
-
-
-def side_is(side: str) -> Column:
-    return F.col("Side") == side
-
+            return name
+        return f"CASE WHEN NOT (isnan({name}) OR abs({name}) = double('inf')) THEN {name} END AS {name}"
 
-def leg(amount: Column, side: str) -> Column:
-    """`amount` on rows of one side, 0 on every other row (NULL side included)."""
-    return amount * F.when(side_is(side), 1.0).otherwise(0.0)
+    return df.selectExpr(*[finite(field) for field in df.schema.fields])
 
 
-def signed(amount: Column) -> Column:
-    """`amount` with + on Bid rows and - on every other row (NULL side included)."""
-    return amount * F.when(side_is("Bid"), 1.0).otherwise(-1.0)
-
-
-def is_ps_event() -> Column:
-    """1 on pulling or stacking rows, else 0."""
-    return F.when(F.col("MBO_pulling_stacking") != 0, 1).otherwise(0)
-
-
-def es_points(scale: float) -> Column:
+def es_points(scale: float) -> str:
     """ES price in index points, kept in single precision."""
-    return (F.col("current_es_price") / F.lit(float(scale))).cast("float")
+    return f"CAST(current_es_price / {float(scale)!r}D AS FLOAT)"
 
 
 def expiry_4() -> Column:
     """Time to expiry rounded to four places."""
-    return F.round(F.col("t"), 4).alias("t")
+    return F.expr("round(t, 4) AS t")
+
+
+def measures(**columns: str) -> list[Column]:
+    """Aggregates by output name, each given as SQL text."""
+    return [F.expr(f"{text} AS `{name}`") for name, text in columns.items()]

@@ -36,7 +36,9 @@ def instant_literal(value: str | datetime) -> datetime:
     return moment if moment.tzinfo is not None else moment.replace(tzinfo=ZoneInfo(MARKET_ZONE))
 
 
-def in_session(wall: Column, opens: str = SESSION_OPEN, closes: str = SESSION_CLOSE) -> Column:
+def in_session(
+    wall: str = "timestamp", opens: str = SESSION_OPEN, closes: str = SESSION_CLOSE
+) -> Column:
     """True from `opens` to `closes`, both inclusive to the microsecond.
 
     Integer arithmetic on the clock fields stays in generated code; a formatted string compare does not.
@@ -45,14 +47,14 @@ def in_session(wall: Column, opens: str = SESSION_OPEN, closes: str = SESSION_CL
         at.hour * 3600 + at.minute * 60 + at.second
         for at in (time.fromisoformat(opens), time.fromisoformat(closes))
     )
-    second_of_day = F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
-    on_the_dot = F.extract(F.lit("SECOND"), wall) == F.second(wall)
-    return (second_of_day >= first) & (
-        (second_of_day < last) | ((second_of_day == last) & on_the_dot)
-    )
+    clock = f"(hour({wall}) * 3600 + minute({wall}) * 60 + second({wall}))"
+    on_the_dot = f"extract(SECOND FROM {wall}) = second({wall})"
+    return F.expr(f"{clock} >= {first} AND ({clock} < {last} OR ({clock} = {last} AND {on_the_dot}))")
 
 
-def time_bucket(wall: Column, minutes: int | None = None, seconds: int | None = None) -> Column:
+def time_bucket(
+    wall: str = "timestamp", minutes: int | None = None, seconds: int | None = None
+) -> Column:
     """Start of the fixed-width bucket that holds `wall`."""
     if (minutes is None) == (seconds is None):
         raise ValueError("give the bucket width either in minutes or in seconds")
@@ -60,6 +62,5 @@ def time_bucket(wall: Column, minutes: int | None = None, seconds: int | None =
     if width < 1:
         raise ValueError("the bucket width must be positive")
     offset = BUCKET_ORIGIN_DAY * 86400 % width
-    return F.window(
-        wall, f"{width} seconds", f"{width} seconds", f"{offset} seconds"
-    ).getField("start")
+    span = f"'{width} seconds'"
+    return F.expr(f"window({wall}, {span}, {span}, '{offset} seconds').start")

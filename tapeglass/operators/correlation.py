@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tapeglass.functions.scalars import measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.schema import GREEKS
 
@@ -15,6 +16,12 @@ STRENGTH_REST = "near-zero"
 DRILL_BANDS = [(0.85, "very strong"), (0.6, "moderate-to-strong"), (0.3, "weak")]
 DRILL_REST = "near-zero"
 
+GREEK_ARRAY = "array(" + ", ".join(f"'{g}'" for g in GREEKS) + ")"
+
+
+def _place(name: str) -> str:
+    return f"array_position({GREEK_ARRAY}, {name})"
+
 
 def correlation(
     flow: DataFrame,
@@ -30,91 +37,73 @@ def correlation(
     events = apply_filters(flow, f)
     if sample is not None:
         events = events.sample(fraction=sample, seed=seed)
-    greeks = events.select(
-        [F.coalesce(F.col(g).cast("double"), F.lit(0.0)).alias(g) for g in GREEKS]
-    )
+    greeks = events.selectExpr(*[f"CAST(coalesce({g}, 0) AS DOUBLE) AS {g}" for g in GREEKS])
     pairs = list(combinations(GREEKS, 2))
     moments = greeks.agg(
-        F.count(F.lit(1)).alias("events"),
-        *[F.stddev_pop(g).alias(f"sd_{g}") for g in GREEKS],
-        *[F.covar_pop(a, b).alias(f"cov_{a}_{b}") for a, b in pairs],
+        *measures(
+            events="count(*)",
+            **{f"sd_{g}": f"stddev_pop({g})" for g in GREEKS},
+            **{f"cov_{a}_{b}": f"covar_pop({a}, {b})" for a, b in pairs},
+        )
     )
 
-    def r(a: str, b: str) -> Column:
+    def r(a: str, b: str) -> str:
         if a == b:
-            return F.lit(1.0)
+            return "1D"
         first, second = sorted((a, b), key=GREEKS.index)
-        ratio = F.try_divide(
-            F.col(f"cov_{first}_{second}"), F.col(f"sd_{first}") * F.col(f"sd_{second}")
-        )
-        return F.coalesce(F.round(ratio, 4), F.lit(0.0))
+        return f"coalesce(round(try_divide(cov_{first}_{second}, sd_{first} * sd_{second}), 4), 0D)"
 
-    cells = [
-        F.struct(F.lit(a).alias("greek_i"), F.lit(b).alias("greek_j"), r(a, b).alias("r"))
+    cells = ", ".join(
+        f"named_struct('greek_i', '{a}', 'greek_j', '{b}', 'r', {r(a, b)})"
         for a in GREEKS
         for b in GREEKS
-    ]
-    return moments.where(F.col("events") > 0).select(F.inline(F.array(*cells)))
+    )
+    return moments.where("events > 0").selectExpr(f"inline(array({cells}))")
 
 
 def correlation_matrix(long_df: DataFrame, lower_only: bool = False) -> DataFrame:
     """One row per greek with one column per greek; `lower_only` blanks the cells right of the diagonal."""
-    order = F.array_position(F.array([F.lit(g) for g in GREEKS]), F.col("greek_i"))
     if lower_only:
-        across = F.array_position(F.array([F.lit(g) for g in GREEKS]), F.col("greek_j"))
-        long_df = long_df.where(across <= order)
-    wide = long_df.groupBy("greek_i").pivot("greek_j", GREEKS).agg(F.first("r"))
-    return wide.orderBy(order)
+        long_df = long_df.where(f"{_place('greek_j')} <= {_place('greek_i')}")
+    wide = measures(**{g: f"max(CASE WHEN greek_j = '{g}' THEN r END)" for g in GREEKS})
+    return long_df.groupBy("greek_i").agg(*wide).orderBy(F.expr(_place("greek_i")))
 
 
 def matrix_record(long_df: DataFrame) -> DataFrame:
     """The whole matrix as one record {columns, matrix}; an empty input gives an empty matrix."""
-    order = F.array([F.lit(g) for g in GREEKS])
-    cell = F.struct(
-        F.array_position(order, F.col("greek_i")).alias("i"),
-        F.array_position(order, F.col("greek_j")).alias("j"),
-        "r",
-    )
-    cells = long_df.agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    cell = f"struct({_place('greek_i')} AS i, {_place('greek_j')} AS j, r)"
     width = len(GREEKS)
-    row_starts = F.when(F.size("cells") > 0, F.sequence(F.lit(1), F.size("cells"), F.lit(width)))
-    rows = F.transform(
-        row_starts, lambda start: F.transform(F.slice("cells", start, F.lit(width)), lambda c: c["r"])
+    rows = (
+        f"transform(sequence(1, size(cells), {width}),"
+        f" start -> transform(slice(cells, start, {width}), c -> c.r))"
+    )
+    return long_df.selectExpr(f"array_sort(collect_list({cell})) AS cells").selectExpr(
+        f"{GREEK_ARRAY} AS columns",
+        f"CASE WHEN size(cells) > 0 THEN {rows} ELSE CAST(array() AS ARRAY<ARRAY<DOUBLE>>) END AS matrix",
     )
-    empty = F.array().cast("array<array<double>>")
-    return cells.select(order.alias("columns"), F.coalesce(rows, empty).alias("matrix"))
 
 
-def _band(size: Column, bands: list[tuple[float, str]], rest: str) -> Column:
-    (bound, name), *weaker = bands
-    chain = F.when(size > bound, name)
-    for bound, name in weaker:
-        chain = chain.when(size > bound, name)
-    return chain.otherwise(rest)
+def _band(bands: list[tuple[float, str]], rest: str) -> str:
+    steps = " ".join(f"WHEN abs(r) > {bound}D THEN '{name}'" for bound, name in bands)
+    return f"CASE {steps} ELSE '{rest}' END"
 
 
 def label_correlation(long_df: DataFrame) -> DataFrame:
     """Add leg and greek of both columns, and the strength and direction bands of r."""
-    r = F.col("r")
-
-    def leg_of(name: str) -> Column:
-        return F.when(F.split(name, "_")[0] == "call", "C").otherwise("P")
-
-    def greek_of(name: str) -> Column:
-        return F.split(name, "_")[1]
-
-    return long_df.select(
+    leg = "CASE WHEN startswith({0}, 'call_') THEN 'C' ELSE 'P' END"
+    greek = "split_part({0}, '_', 2)"
+    return long_df.selectExpr(
         "greek_i",
         "greek_j",
         "r",
-        leg_of("greek_i").alias("leg_i"),
-        greek_of("greek_i").alias("name_i"),
-        leg_of("greek_j").alias("leg_j"),
-        greek_of("greek_j").alias("name_j"),
-        (greek_of("greek_i") == greek_of("greek_j")).alias("same_greek"),
-        (leg_of("greek_i") != leg_of("greek_j")).alias("cross_leg"),
-        _band(F.abs(r), STRENGTH_BANDS, STRENGTH_REST).alias("strength"),
-        F.when(r > 0, "positive").otherwise("negative").alias("direction"),
-        _band(F.abs(r), DRILL_BANDS, DRILL_REST).alias("drill_band"),
-        F.when(r < 0, "opposite").otherwise("together").alias("drill_direction"),
+        f"{leg.format('greek_i')} AS leg_i",
+        f"{greek.format('greek_i')} AS name_i",
+        f"{leg.format('greek_j')} AS leg_j",
+        f"{greek.format('greek_j')} AS name_j",
+        f"{greek.format('greek_i')} = {greek.format('greek_j')} AS same_greek",
+        f"{leg.format('greek_i')} <> {leg.format('greek_j')} AS cross_leg",
+        f"{_band(STRENGTH_BANDS, STRENGTH_REST)} AS strength",
+        "CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS direction",
+        f"{_band(DRILL_BANDS, DRILL_REST)} AS drill_band",
+        "CASE WHEN r < 0 THEN 'opposite' ELSE 'together' END AS drill_direction",
     )

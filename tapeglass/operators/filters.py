@@ -71,5 +71,5 @@ def apply_filters(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
     if isinstance(flow.schema["timestamp"].dataType, T.TimestampType):
         flow = flow.withColumn("timestamp", wall_clock(F.col("timestamp")))
     if f.market_hours:
-        flow = flow.where(in_session(F.col("timestamp")))
+        flow = flow.where(in_session())
     return flow

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeglass.functions.mbo import with_mbo_size
-from tapeglass.functions.scalars import expiry_4, leg, signed
+from tapeglass.functions.scalars import IS_ASK, IS_BID, SIDE_SIGN, expiry_4, measures
 from tapeglass.functions.time import time_bucket
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.ordering import check_range, ordered
@@ -21,7 +21,7 @@ def surface(
     if greek not in GREEKS:
         raise ValueError(f"unknown greek {greek}; choose one of {GREEKS}")
     grouped = apply_filters(flow, f).groupBy("spx_strike", expiry_4())
-    return ordered(grouped.agg(F.avg(greek).alias("greek_value")), ["spx_strike", "t"], limit, 50000)
+    return ordered(grouped.agg(*measures(greek_value=f"avg({greek})")), ["spx_strike", "t"], limit, 50000)
 
 
 def surface_all(
@@ -29,7 +29,7 @@ def surface_all(
 ) -> DataFrame:
     """Mean of several greeks (all 16 by default) by (spx_strike, t), in one pass over the table."""
     grouped = apply_filters(flow, f).groupBy("spx_strike", expiry_4())
-    means = grouped.agg(*[F.avg(g).alias(g) for g in greeks or GREEKS])
+    means = grouped.agg(*measures(**{g: f"avg({g})" for g in greeks or GREEKS}))
     return ordered(means, ["spx_strike", "t"], None, 0)
 
 
@@ -40,7 +40,7 @@ def vanna_charm(
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     means = apply_filters(flow, f).groupBy("spx_strike").agg(
-        F.avg(f"call_{metric}").alias("call_value"), F.avg(f"put_{metric}").alias("put_value")
+        *measures(call_value=f"avg(call_{metric})", put_value=f"avg(put_{metric})")
     )
     return ordered(means, ["spx_strike"], limit, 10000)
 
@@ -48,7 +48,7 @@ def vanna_charm(
 def theta(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000) -> DataFrame:
     """Mean call and put theta by (spx_strike, t rounded to four places)."""
     means = apply_filters(flow, f).groupBy("spx_strike", expiry_4()).agg(
-        F.avg("call_theta").alias("call_theta"), F.avg("put_theta").alias("put_theta")
+        *measures(call_theta="avg(call_theta)", put_theta="avg(put_theta)")
     )
     return ordered(means, ["spx_strike", "t"], limit, 50000)
 
@@ -56,22 +56,20 @@ def theta(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000
 def scatter(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000) -> DataFrame:
     """Mean call vega, mean call vomma and event count by strike."""
     means = apply_filters(flow, f).groupBy("spx_strike").agg(
-        F.avg("call_vega").alias("call_vega"),
-        F.avg("call_vomma").alias("call_vomma"),
-        F.count(F.lit(1)).alias("mbo_count"),
+        *measures(call_vega="avg(call_vega)", call_vomma="avg(call_vomma)", mbo_count="count(*)")
     )
     return ordered(means, ["spx_strike"], limit, 50000)
 
 
-def gex_measures() -> list:
+def gex_measures() -> list[Column]:
     """Mean price and the call-gamma exposure sums; needs `mbo_size`."""
-    exposure = F.col("call_gamma") * F.col("mbo_size")
-    return [
-        F.avg("spx_price").alias("spx_price"),
-        F.sum(leg(exposure, "Bid")).alias("long_gex"),
-        F.sum(leg(exposure, "Ask")).alias("short_gex"),
-        F.sum(signed(exposure)).alias("net_gex"),
-    ]
+    exposure = "call_gamma * mbo_size"
+    return measures(
+        spx_price="avg(spx_price)",
+        long_gex=f"sum({exposure} * {IS_BID})",
+        short_gex=f"sum({exposure} * {IS_ASK})",
+        net_gex=f"sum({exposure} * {SIDE_SIGN})",
+    )
 
 
 def gex(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 500) -> DataFrame:
@@ -93,9 +91,9 @@ def gex_intraday(
     return ordered(sized.groupBy("time_bucket").agg(*gex_measures()), ["time_bucket"], limit, 10000)
 
 
-def bucket_column(minutes: int, seconds: int | None = None):
+def bucket_column(minutes: int, seconds: int | None = None) -> Column:
     """The bucket of a query: whole minutes from 1 to 60, or seconds when given."""
     if seconds is not None:
-        return time_bucket(F.col("timestamp"), seconds=seconds)
+        return time_bucket(seconds=seconds)
     check_range("bucket_minutes", minutes, 1, 60)
-    return time_bucket(F.col("timestamp"), minutes=minutes)
+    return time_bucket(minutes=minutes)

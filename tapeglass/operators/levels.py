@@ -2,64 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F
 
+from tapeglass.functions.scalars import measures
 
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0.0))
+NET = "coalesce(net_gex, 0D)"
+PRICE = "avg(coalesce(spx_price, 0D))"
+# The highest crossing.
+FLIP_POINT = "max_by(flip, CASE WHEN flip IS NOT NULL THEN spx_strike END)"
 
 
-def _strike_of_largest(amount: Column) -> Column:
+def _strike_of_largest(amount: str) -> str:
     """Strike of the largest amount; the lowest strike wins a tie."""
-    return F.max_by("spx_strike", F.struct(amount, -F.col("spx_strike")))
+    return f"max_by(spx_strike, struct({amount}, -spx_strike))"
 
 
 def _with_flip(gex_df: DataFrame) -> DataFrame:
-    """Mark each strike whose exposure is at most 0 right below a strike with positive exposure."""
-    downwards = Window.orderBy(F.col("spx_strike").desc())
-    above_net = F.lag(_or_zero("net_gex")).over(downwards)
-    above_strike = F.lag("spx_strike").over(downwards)
-    crosses = (above_net > 0) & (_or_zero("net_gex") <= 0)
-    middle = (above_strike + F.col("spx_strike")) / F.lit(2.0).cast("double")
-    return gex_df.withColumn("flip", F.when(crosses, middle))
+    """Mark each strike whose exposure is at most 0 right below a strike with positive exposure.
 
-
-def _flip_point() -> Column:
-    """The highest crossing."""
-    return F.max_by("flip", F.when(F.col("flip").isNotNull(), F.col("spx_strike")))
+    The window has no partition key on purpose: its input is one row per strike, already aggregated.
+    """
+    above = f"lag(struct(spx_strike, {NET} AS net)) OVER (ORDER BY spx_strike DESC)"
+    return gex_df.selectExpr("*", f"{above} AS above").selectExpr(
+        "*",
+        f"CASE WHEN above.net > 0 AND {NET} <= 0 THEN (above.spx_strike + spx_strike) / 2D END AS flip",
+    )
 
 
 def gex_levels(gex_df: DataFrame) -> DataFrame:
     """One row of levels, or none for empty input.
 
-    The price is the plain mean of the per-strike mean prices. The window has no partition key on purpose:
-    its input is one row per strike, already aggregated.
+    The price is the plain mean of the per-strike mean prices.
     """
     levels = _with_flip(gex_df).agg(
-        F.count(F.lit(1)).alias("strikes"),
-        F.avg(_or_zero("spx_price")).alias("price"),
-        F.sum(_or_zero("net_gex")).alias("total_net_gex"),
-        _strike_of_largest(F.abs(_or_zero("net_gex"))).alias("pin_strike"),
-        _strike_of_largest(_or_zero("long_gex")).alias("long_wall"),
-        _strike_of_largest(_or_zero("short_gex")).alias("short_wall"),
-        _flip_point().alias("flip_point"),
+        *measures(
+            strikes="count(*)",
+            price=PRICE,
+            total_net_gex=f"sum({NET})",
+            pin_strike=_strike_of_largest(f"abs({NET})"),
+            long_wall=_strike_of_largest("coalesce(long_gex, 0D)"),
+            short_wall=_strike_of_largest("coalesce(short_gex, 0D)"),
+            flip_point=FLIP_POINT,
+        )
     )
-    above = F.col("flip_point").isNotNull() & (F.col("price") > F.col("flip_point"))
-    return levels.where(F.col("strikes") > 0).select(
+    return levels.where("strikes > 0").selectExpr(
         "price",
         "total_net_gex",
         "pin_strike",
         "long_wall",
         "short_wall",
         "flip_point",
-        F.when(F.col("total_net_gex") > 0, "LONG GAMMA").otherwise("SHORT GAMMA").alias("regime"),
-        above.alias("above_flip"),
+        "CASE WHEN total_net_gex > 0 THEN 'LONG GAMMA' ELSE 'SHORT GAMMA' END AS regime",
+        "coalesce(price > flip_point, false) AS above_flip",
     )
 
 
 def gex_flip(gex_df: DataFrame) -> DataFrame:
     """The flip point alone: one row, NULL when exposure never turns from positive."""
-    return _with_flip(gex_df).agg(_flip_point().alias("flip_point"))
+    return _with_flip(gex_df).agg(*measures(flip_point=FLIP_POINT))
 
 
 def gex_profile(
@@ -70,13 +70,12 @@ def gex_profile(
     Without `levels_df` the price is computed beside the rows, so the events are aggregated once.
     """
     if levels_df is None:
-        everything = Window.partitionBy()
-        priced = gex_df.withColumn("price", F.avg(_or_zero("spx_price")).over(everything))
+        priced = gex_df.selectExpr("*", f"{PRICE} OVER () AS price")
     else:
         priced = gex_df.crossJoin(F.broadcast(levels_df.select("price")))
-    price, strike = F.col("price"), F.col("spx_strike")
+    low, high = f"price * {1 - band!r}D", f"price * {1 + band!r}D"
     return (
-        priced.where(strike.between(price * F.lit(1 - band), price * F.lit(1 + band)))
-        .withColumn("near_price", F.abs(strike - price) <= near)
+        priced.where(f"spx_strike BETWEEN {low} AND {high}")
+        .selectExpr("*", f"abs(spx_strike - price) <= {float(near)!r}D AS near_price")
         .orderBy("spx_strike")
     )

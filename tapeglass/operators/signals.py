@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeglass.functions.mbo import with_mbo_size
-from tapeglass.functions.scalars import es_points, finite_or_null, is_ps_event
+from tapeglass.functions.scalars import PS_EVENT, es_points, finite_or_null, measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.greeks import bucket_column
 from tapeglass.operators.ordering import check_range, first_events, last_n, ordered
@@ -14,27 +14,29 @@ PS_COLUMNS = ["timestamp", "spx_price", "MBO_pulling_stacking"]
 PS_ORDER = ["timestamp", "Side", "future_strike"]
 
 
-def kpi_measures() -> list:
-    return [
-        F.count(F.lit(1)).alias("events"),
-        F.min("timestamp").alias("first_time"),
-        F.max("timestamp").alias("last_time"),
-        F.sum(F.col("spx_price").cast("double")).alias("price_sum"),
-        F.count("spx_price").alias("price_rows"),
-        F.sum(is_ps_event()).alias("ps_events"),
-    ]
+def kpi_measures() -> list[Column]:
+    return measures(
+        events="count(*)",
+        first_time="min(timestamp)",
+        last_time="max(timestamp)",
+        price_sum="sum(CAST(spx_price AS DOUBLE))",
+        price_rows="count(spx_price)",
+        ps_events=f"sum({PS_EVENT})",
+    )
 
 
 def kpi_from_strikes(by_strike: DataFrame) -> DataFrame:
     """The headline row from `kpi_measures` grouped at least by spx_strike and future_strike."""
     row = by_strike.agg(
-        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
-        F.count_distinct("spx_strike").alias("unique_strikes"),
-        F.min("first_time").alias("start_date"),
-        F.max("last_time").alias("end_date"),
-        F.count_distinct("future_strike").alias("unique_es_strikes"),
-        F.try_divide(F.sum("price_sum"), F.sum("price_rows")).alias("avg_spx_price"),
-        F.sum("ps_events").alias("total_ps_events"),
+        *measures(
+            total_events="coalesce(sum(events), 0L)",
+            unique_strikes="count(DISTINCT spx_strike)",
+            start_date="min(first_time)",
+            end_date="max(last_time)",
+            unique_es_strikes="count(DISTINCT future_strike)",
+            avg_spx_price="try_divide(sum(price_sum), sum(price_rows))",
+            total_ps_events="sum(ps_events)",
+        )
     )
     return finite_or_null(row)
 
@@ -49,13 +51,11 @@ def kpi(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
     return kpi_from_strikes(pairs)
 
 
-def basis_measures(es_scale: float = 100.0) -> list:
+def basis_measures(es_scale: float = 100.0) -> list[Column]:
     points = es_points(es_scale)
-    return [
-        F.avg(points).alias("es_price"),
-        F.avg("spx_price").alias("spx_price"),
-        F.avg(points - F.col("spx_price")).alias("basis"),
-    ]
+    return measures(
+        es_price=f"avg({points})", spx_price="avg(spx_price)", basis=f"avg({points} - spx_price)"
+    )
 
 
 def basis(
@@ -73,13 +73,12 @@ def basis(
     return ordered(means, ["time_bucket"], limit, 50000)
 
 
-def net_flow_measures() -> list:
-    size = F.col("mbo_size")
-    return [
-        F.sum(F.col("call_delta") * size).alias("call_delta_flow"),
-        F.sum(-F.col("put_delta") * size).alias("put_delta_flow"),
-        F.sum((F.col("call_delta") - F.col("put_delta")) * size).alias("net_delta"),
-    ]
+def net_flow_measures() -> list[Column]:
+    return measures(
+        call_delta_flow="sum(call_delta * mbo_size)",
+        put_delta_flow="sum(-put_delta * mbo_size)",
+        net_delta="sum((call_delta - put_delta) * mbo_size)",
+    )
 
 
 def net_flow(
@@ -97,7 +96,7 @@ def net_flow(
 
 def _ps_events(flow: DataFrame, f: FlowFilter | None, only_events: bool) -> DataFrame:
     events = apply_filters(flow, f)
-    return events.where(F.col("MBO_pulling_stacking") != 0) if only_events else events
+    return events.where("MBO_pulling_stacking != 0") if only_events else events
 
 
 def pulling_stacking(
@@ -126,7 +125,8 @@ def recent_pulling_stacking(
 
 def ps_split(ps: DataFrame) -> DataFrame:
     """Add the price under `pulling` where the mark is negative and under `stacking` where it is positive."""
-    mark, price = F.col("MBO_pulling_stacking"), F.col("spx_price")
-    return ps.withColumns(
-        {"pulling": F.when(mark < 0, price), "stacking": F.when(mark > 0, price)}
+    return ps.selectExpr(
+        "*",
+        "CASE WHEN MBO_pulling_stacking < 0 THEN spx_price END AS pulling",
+        "CASE WHEN MBO_pulling_stacking > 0 THEN spx_price END AS stacking",
     )

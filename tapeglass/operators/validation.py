@@ -41,7 +41,7 @@ def cast_beside_raw(raw: DataFrame, *keep: str) -> DataFrame:
     What cannot be cast or parsed becomes NULL; the row checks count it.
     """
     present = [f for f in FLOW_SCHEMA.fields if f.name in raw.columns]
-    sizes = [parse_sizes(F.col("MBO")).alias("mbo_sizes")] if "MBO" in raw.columns else []
+    sizes = [parse_sizes().alias("mbo_sizes")] if "MBO" in raw.columns else []
     return raw.select(
         *keep,
         F.struct(*[f.name for f in present]).alias("raw"),
@@ -103,7 +103,7 @@ def validation_report(df: DataFrame, raw: bool = True) -> DataFrame:
     if raw:
         rows = cast_beside_raw(df)
     else:
-        rows = df.withColumn("mbo_sizes", parse_sizes(F.col("MBO"))) if "MBO" in df.columns else df
+        rows = df.withColumn("mbo_sizes", parse_sizes()) if "MBO" in df.columns else df
     counted = rows.agg(*check_metrics(df.columns, with_raw=raw))
     lines = [
         F.struct(

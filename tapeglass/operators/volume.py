@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeglass.functions.mbo import explode_mbo, with_mbo_size
+from tapeglass.functions.scalars import measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.greeks import bucket_column
 from tapeglass.operators.ordering import check_range, ordered
@@ -26,28 +27,26 @@ def heatmap(
 
 def volume_over_time(heatmap_df: DataFrame) -> DataFrame:
     """Heatmap cells summed over strikes, NULL counted as 0."""
-    total = F.sum(F.coalesce(F.col("total_size"), F.lit(0.0))).alias("total_size")
-    return ordered(heatmap_df.groupBy("time_bucket").agg(total), ["time_bucket"], None, 0)
+    total = measures(total_size="sum(coalesce(total_size, 0D))")
+    return ordered(heatmap_df.groupBy("time_bucket").agg(*total), ["time_bucket"], None, 0)
 
 
-def spread_measures() -> list:
+def spread_measures() -> list[Column]:
     """Means of the two sides, and their row counts to tell which buckets hold both."""
-    ask, bid = F.col("Side") == "Ask", F.col("Side") == "Bid"
-    return [
-        F.avg(F.when(ask, F.col("future_strike"))).alias("ask_strike"),
-        F.avg(F.when(bid, F.col("future_strike"))).alias("bid_strike"),
-        F.avg(F.when(ask, F.col("spx_price"))).alias("ask_spx_price"),
-        F.count_if(ask).alias("ask_rows"),
-        F.count_if(bid).alias("bid_rows"),
-    ]
+    ask, bid = "Side = 'Ask'", "Side = 'Bid'"
+    return measures(
+        ask_strike=f"avg(CASE WHEN {ask} THEN future_strike END)",
+        bid_strike=f"avg(CASE WHEN {bid} THEN future_strike END)",
+        ask_spx_price=f"avg(CASE WHEN {ask} THEN spx_price END)",
+        ask_rows=f"count_if({ask})",
+        bid_rows=f"count_if({bid})",
+    )
 
 
 def spread_from_sides(sides: DataFrame) -> DataFrame:
     """Spread and price of the buckets that hold both sides."""
-    return sides.where((F.col("ask_rows") > 0) & (F.col("bid_rows") > 0)).select(
-        "time_bucket",
-        (F.col("ask_strike") - F.col("bid_strike")).alias("spread"),
-        F.col("ask_spx_price").alias("spx_price"),
+    return sides.where("ask_rows > 0 AND bid_rows > 0").selectExpr(
+        "time_bucket", "ask_strike - bid_strike AS spread", "ask_spx_price AS spx_price"
     )
 
 
@@ -76,22 +75,19 @@ def depth(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 2000
     """Event count and total size by (future strike, Side); strike bounds apply to the SPX strike."""
     sized = with_mbo_size(apply_filters(flow, f))
     book = sized.groupBy("future_strike", "Side").agg(
-        F.count(F.lit(1)).alias("event_count"), F.sum("mbo_size").alias("total_size")
+        *measures(event_count="count(*)", total_size="sum(mbo_size)")
     )
     return ordered(book, ["future_strike", "Side"], limit, 20000)
 
 
 def depth_ladder(depth_df: DataFrame, top: int = 40) -> DataFrame:
     """Bid size up, ask size down, for the `top` strikes of the largest combined size."""
-
-    def size_of(side: str):
-        return F.coalesce(F.sum(F.when(F.col("Side") == side, F.col("total_size"))), F.lit(0.0))
-
-    ladder = depth_df.groupBy(F.col("future_strike").alias("strike")).agg(
-        size_of("Bid").alias("bid"), (F.lit(0.0) - size_of("Ask")).alias("ask")
+    size_of = "coalesce(sum(CASE WHEN Side = '{}' THEN total_size END), 0D)"
+    ladder = depth_df.groupBy(F.expr("future_strike AS strike")).agg(
+        *measures(bid=size_of.format("Bid"), ask=f"0D - {size_of.format('Ask')}")
     )
-    combined = F.abs("bid") + F.abs("ask")
-    return ladder.orderBy(combined.desc(), F.col("strike").asc()).limit(top).orderBy("strike")
+    combined = F.expr("abs(bid) + abs(ask)")
+    return ladder.orderBy(combined.desc(), F.asc("strike")).limit(top).orderBy("strike")
 
 
 def histogram_values(
@@ -107,7 +103,7 @@ def histogram_values(
 def size_counts(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
     """Number of occurrences of each order size; sizes repeat, so this is small against the events."""
     values = histogram_values(flow, f)
-    return values.groupBy("mbo_value").agg(F.count(F.lit(1)).alias("occurrences"))
+    return values.groupBy("mbo_value").agg(*measures(occurrences="count(*)"))
 
 
 def histogram_bins(
@@ -125,28 +121,27 @@ def histogram_bins(
 def bin_counts(sizes: DataFrame, bins: int) -> DataFrame:
     """Equal-width bins over a (mbo_value, occurrences) frame."""
     # The test on occurrences is always true; it keeps the two branches the same up to the shuffle.
-    positive = sizes.where((F.col("mbo_value") > 0) & (F.col("occurrences") > 0))
-    largest = positive.agg(F.max("mbo_value").alias("largest")).where(F.col("largest").isNotNull())
-    step = F.col("largest") / F.lit(float(bins))
-    position = F.least(F.floor(F.col("mbo_value") / step), F.lit(bins - 1)).cast("int")
+    positive = sizes.where("mbo_value > 0 AND occurrences > 0")
+    largest = positive.selectExpr("max(mbo_value) AS largest").where("largest IS NOT NULL")
+    step = f"(largest / {bins}D)"
+    position = f"CAST(least(floor(mbo_value / {step}), {bins - 1}) AS INT)"
     counted = (
         positive.crossJoin(F.broadcast(largest))
-        .groupBy(position.alias("bin"))
-        .agg(F.sum("occurrences").alias("filled"))
+        .groupBy(F.expr(f"{position} AS bin"))
+        .agg(*measures(filled="sum(occurrences)"))
     )
     every_bin = (
         sizes.sparkSession.range(bins, numPartitions=1)
-        .select(F.col("id").cast("int").alias("bin"))
         .crossJoin(F.broadcast(largest))
-        .select("bin", (F.col("bin") * step).alias("lower_edge"))
+        .selectExpr("CAST(id AS INT) AS bin", f"id * {step} AS lower_edge")
     )
     return (
         every_bin.join(F.broadcast(counted), "bin", "left")
-        .select(
+        .selectExpr(
             "bin",
             "lower_edge",
-            F.round("lower_edge", 0).cast("long").cast("string").alias("range"),
-            F.coalesce("filled", F.lit(0)).cast("long").alias("count"),
+            "CAST(CAST(round(lower_edge, 0) AS BIGINT) AS STRING) AS range",
+            "coalesce(filled, 0L) AS count",
         )
         .orderBy("bin")
     )

@@ -6,13 +6,17 @@ pass: the table is read seven times for 23 results, and every shared pass ends i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from collections.abc import Callable
+from functools import cache, partial
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tapeglass.functions.mbo import with_mbo_size
-from tapeglass.functions.scalars import expiry_4
+from tapeglass.functions.scalars import expiry_4, measures
+from tapeglass.functions.time import time_bucket
 from tapeglass.operators.correlation import correlation, matrix_record
 from tapeglass.operators.filters import ALL_ROWS, FlowFilter, apply_filters
-from tapeglass.operators.greeks import METRICS, bucket_column, gex_measures
+from tapeglass.operators.greeks import METRICS, gex_measures
 from tapeglass.operators.ordering import ordered
 from tapeglass.operators.signals import (
     basis_measures,
@@ -21,12 +25,7 @@ from tapeglass.operators.signals import (
     net_flow_measures,
     pulling_stacking,
 )
-from tapeglass.operators.volume import (
-    heatmap,
-    size_counts,
-    spread_from_sides,
-    spread_measures,
-)
+from tapeglass.operators.volume import heatmap, size_counts, spread_from_sides, spread_measures
 from tapeglass.schema import CALL_GREEKS
 
 # Bucket width and row limits of the snapshot.
@@ -44,9 +43,9 @@ LIMITS = {
 }
 
 
-def bucket_panel(flow: DataFrame, f: FlowFilter, **width: int) -> DataFrame:
+def bucket_panel(flow: DataFrame, f: FlowFilter) -> DataFrame:
     """Everything grouped by time bucket alone: basis, net flow, spread and intraday exposure."""
-    bucket = bucket_column(width.get("minutes", 1), width.get("seconds"))
+    bucket = time_bucket(seconds=BUCKET_SECONDS)
     sized = with_mbo_size(apply_filters(flow, f)).withColumn("time_bucket", bucket)
     return sized.groupBy("time_bucket").agg(
         *basis_measures(), *net_flow_measures(), *spread_measures(), *gex_measures()[1:]
@@ -57,10 +56,13 @@ def expiry_panel(flow: DataFrame, f: FlowFilter) -> DataFrame:
     """Sums and counts by (spx_strike, t): the surfaces and theta directly, the strike profiles by adding up."""
     sized = with_mbo_size(apply_filters(flow, f))
     averaged = [*CALL_GREEKS, "put_vanna", "put_charm", "put_theta", "spx_price"]
-    sums = [F.sum(F.col(c).cast("double")).alias(f"sum_{c}") for c in averaged]
-    counts = [F.count(c).alias(f"n_{c}") for c in averaged]
     return sized.groupBy("spx_strike", expiry_4()).agg(
-        F.count(F.lit(1)).alias("events"), *sums, *counts, *gex_measures()[1:]
+        *measures(
+            events="count(*)",
+            **{f"sum_{c}": f"sum(CAST({c} AS DOUBLE))" for c in averaged},
+            **{f"n_{c}": f"count({c})" for c in averaged},
+        ),
+        *gex_measures()[1:],
     )
 
 
@@ -68,92 +70,88 @@ def pair_panel(flow: DataFrame, f: FlowFilter) -> DataFrame:
     """Headline measures and sizes by (spx_strike, future_strike, Side): kpi and depth add them up."""
     sized = with_mbo_size(apply_filters(flow, f))
     return sized.groupBy("spx_strike", "future_strike", "Side").agg(
-        *kpi_measures(), F.sum("mbo_size").alias("size")
+        *kpi_measures(), *measures(size="sum(mbo_size)")
     )
 
 
-def _mean(column: str) -> Column:
-    return F.try_divide(F.sum(f"sum_{column}"), F.sum(f"n_{column}"))
-
-
-def snapshot_results(flow: DataFrame, f: FlowFilter = ALL_ROWS) -> tuple[dict[str, DataFrame], list]:
-    """The 23 named results, and the persisted panels behind them for the caller to release."""
-    buckets = bucket_panel(flow, f, seconds=BUCKET_SECONDS).persist()
-    expiries = expiry_panel(flow, f).persist()
-    pairs = pair_panel(flow, f).persist()
-
-    def by_bucket(*columns: str) -> DataFrame:
-        return ordered(buckets.select("time_bucket", *columns), ["time_bucket"], None, 0)
-
-    def by_expiry(**columns: str) -> DataFrame:
-        means = [F.try_divide(f"sum_{c}", f"n_{c}").alias(name) for name, c in columns.items()]
-        return expiries.select("spx_strike", "t", *means)
-
-    def by_strike(*measures: Column) -> DataFrame:
-        return expiries.groupBy("spx_strike").agg(*measures)
-
-    results = {
-        "kpi": kpi_from_strikes(pairs),
-        "basis": by_bucket("es_price", "spx_price", "basis"),
-        "pulling_stacking": pulling_stacking(flow, f, LIMITS["pulling_stacking"]),
-        "net_flow": by_bucket("call_delta_flow", "put_delta_flow", "net_delta"),
-        "heatmap": heatmap(flow, f, limit=LIMITS["heatmap"], bucket_seconds=BUCKET_SECONDS),
+def snapshot_queries(
+    flow: DataFrame,
+    f: FlowFilter = ALL_ROWS,
+    keep: Callable[[DataFrame], DataFrame] = lambda panel: panel,
+) -> dict[str, Callable[[], DataFrame]]:
+    """The 23 results by name, each built when called; `keep` is applied to the panels they share."""
+
+    @cache
+    def buckets() -> DataFrame:
+        return keep(bucket_panel(flow, f))
+
+    @cache
+    def expiries() -> DataFrame:
+        return keep(expiry_panel(flow, f))
+
+    @cache
+    def pairs() -> DataFrame:
+        return keep(pair_panel(flow, f))
+
+    def by_bucket(*columns: str, limit: int | None = None) -> DataFrame:
+        return ordered(buckets().select("time_bucket", *columns), ["time_bucket"], limit, 10000)
+
+    def by_expiry(limit: int, **means: str) -> DataFrame:
+        columns = [f"try_divide(sum_{c}, n_{c}) AS {name}" for name, c in means.items()]
+        rows = expiries().selectExpr("spx_strike", "t", *columns)
+        return ordered(rows, ["spx_strike", "t"], limit, 50000)
+
+    def by_strike(limit: int, **columns: str) -> DataFrame:
+        rows = expiries().groupBy("spx_strike").agg(*measures(**columns))
+        return ordered(rows, ["spx_strike"], limit, 50000)
+
+    def mean(column: str) -> str:
+        return f"try_divide(sum(sum_{column}), sum(n_{column}))"
+
+    def depth() -> DataFrame:
+        sums = measures(event_count="sum(events)", total_size="sum(size)")
+        rows = pairs().groupBy("future_strike", "Side").agg(*sums)
+        return ordered(rows, ["future_strike", "Side"], LIMITS["depth"], 20000)
+
+    exposure = {name: f"sum({name})" for name in ("long_gex", "short_gex", "net_gex")}
+    queries = {
+        "kpi": lambda: kpi_from_strikes(pairs()),
+        "basis": lambda: by_bucket("es_price", "spx_price", "basis"),
+        "pulling_stacking": lambda: pulling_stacking(flow, f, LIMITS["pulling_stacking"]),
+        "net_flow": lambda: by_bucket("call_delta_flow", "put_delta_flow", "net_delta"),
+        "heatmap": lambda: heatmap(flow, f, limit=LIMITS["heatmap"], bucket_seconds=BUCKET_SECONDS),
         # Counts per size instead of a few sizes in no order: complete, and still small.
-        "histogram": size_counts(flow, f).orderBy("mbo_value"),
-        "spread": ordered(spread_from_sides(buckets), ["time_bucket"], None, 0),
-        "depth": ordered(
-            pairs.groupBy("future_strike", "Side").agg(
-                F.sum("events").alias("event_count"), F.sum("size").alias("total_size")
-            ),
-            ["future_strike", "Side"],
-            LIMITS["depth"],
-            20000,
-        ),
+        "histogram": lambda: size_counts(flow, f).orderBy("mbo_value"),
+        "spread": lambda: ordered(spread_from_sides(buckets()), ["time_bucket"], None, 0),
+        "depth": depth,
     }
     for greek in CALL_GREEKS:
-        results[f"surface_{greek}"] = ordered(
-            by_expiry(greek_value=greek), ["spx_strike", "t"], LIMITS["surface"], 50000
-        )
+        queries[f"surface_{greek}"] = partial(by_expiry, LIMITS["surface"], greek_value=greek)
     for metric in METRICS:
-        results[f"vanna_charm_{metric}"] = ordered(
-            by_strike(
-                _mean(f"call_{metric}").alias("call_value"), _mean(f"put_{metric}").alias("put_value")
-            ),
-            ["spx_strike"],
+        queries[f"vanna_charm_{metric}"] = partial(
+            by_strike,
             LIMITS["vanna_charm"],
-            10000,
+            call_value=mean(f"call_{metric}"),
+            put_value=mean(f"put_{metric}"),
         )
-    results["theta"] = ordered(
-        by_expiry(call_theta="call_theta", put_theta="put_theta"),
-        ["spx_strike", "t"],
-        LIMITS["theta"],
-        50000,
-    )
-    results["scatter"] = ordered(
-        by_strike(
-            _mean("call_vega").alias("call_vega"),
-            _mean("call_vomma").alias("call_vomma"),
-            F.sum("events").alias("mbo_count"),
+    queries |= {
+        "theta": partial(
+            by_expiry, LIMITS["theta"], call_theta="call_theta", put_theta="put_theta"
         ),
-        ["spx_strike"],
-        LIMITS["scatter"],
-        50000,
-    )
-    exposure = [F.sum(leg).alias(leg) for leg in ("long_gex", "short_gex", "net_gex")]
-    results["gex"] = ordered(
-        by_strike(_mean("spx_price").alias("spx_price"), *exposure),
-        ["spx_strike"],
-        LIMITS["gex"],
-        5000,
-    )
-    results["gex_intraday"] = ordered(
-        buckets.select("time_bucket", "spx_price", "net_gex", "long_gex", "short_gex"),
-        ["time_bucket"],
-        LIMITS["gex_intraday"],
-        10000,
-    )
-    results["correlation"] = matrix_record(correlation(flow, f))
-    return results, [buckets, expiries, pairs]
+        "scatter": partial(
+            by_strike,
+            LIMITS["scatter"],
+            call_vega=mean("call_vega"),
+            call_vomma=mean("call_vomma"),
+            mbo_count="sum(events)",
+        ),
+        "gex": partial(by_strike, LIMITS["gex"], spx_price=mean("spx_price"), **exposure),
+        "gex_intraday": lambda: by_bucket(
+            "spx_price", "net_gex", "long_gex", "short_gex", limit=LIMITS["gex_intraday"]
+        ),
+        "correlation": lambda: matrix_record(correlation(flow, f)),
+    }
+    return queries
 
 
 def export_snapshot(flow: DataFrame, out_dir: str, f: FlowFilter = ALL_ROWS) -> DataFrame:
@@ -163,12 +161,17 @@ def export_snapshot(flow: DataFrame, out_dir: str, f: FlowFilter = ALL_ROWS) ->
     computed twice.
     """
     spark = flow.sparkSession
-    results, panels = snapshot_results(flow, f)
-    records = []
-    for name, result in results.items():
+    panels, records = [], []
+
+    def keep(panel: DataFrame) -> DataFrame:
+        panels.append(panel.persist())
+        return panel
+
+    for name, build in snapshot_queries(flow, f, keep).items():
         counted = Observation(name)
         (
-            result.observe(counted, F.count(F.lit(1)).alias("records"))
+            build()
+            .observe(counted, F.count(F.lit(1)).alias("records"))
             .write.mode("overwrite")
             .option("ignoreNullFields", "false")
             .json(f"{out_dir}/{name}")

@@ -64,5 +64,10 @@ def flow_from_events(events: DataFrame, *keep: str) -> DataFrame:
     return events.selectExpr(*keep, *flow_expressions())
 
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
 def load_flow(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    return flow_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), *keep)
+    return flow_from_events(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"), *keep)

@@ -62,7 +62,7 @@ def stage_rows(rows: DataFrame, folder: str) -> dict:
     )
     staged = checked.withColumns(
         {
-            "mbo_size": sum_sizes(F.col("mbo_sizes")),
+            "mbo_size": sum_sizes(),
             "date": F.to_date(wall_clock(F.col("timestamp"))),
         }
     )
