@@ -41,15 +41,18 @@ def in_session(
 ) -> Column:
     """True from `opens` to `closes`, both inclusive to the microsecond.
 
-    Integer arithmetic on the clock fields stays in generated code; a formatted string compare does not.
+    The seconds of a TIMESTAMP_NTZ are plain long arithmetic; calendar fields or a formatted string would
+    build date objects per row. Fractions are looked at on the closing second only.
     """
     first, last = (
         at.hour * 3600 + at.minute * 60 + at.second
         for at in (time.fromisoformat(opens), time.fromisoformat(closes))
     )
-    clock = f"(hour({wall}) * 3600 + minute({wall}) * 60 + second({wall}))"
+    clock = f"unix_timestamp({wall}) % 86400"
     on_the_dot = f"extract(SECOND FROM {wall}) = second({wall})"
-    return F.expr(f"{clock} >= {first} AND ({clock} < {last} OR ({clock} = {last} AND {on_the_dot}))")
+    return F.expr(
+        f"({clock} BETWEEN {first} AND {last - 1}) OR ({clock} = {last} AND {on_the_dot})"
+    )
 
 
 def time_bucket(

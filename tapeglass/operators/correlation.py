@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,6 +23,45 @@ def _place(name: str) -> str:
     return f"array_position({GREEK_ARRAY}, {name})"
 
 
+PAIRS = list(combinations_with_replacement(range(len(GREEKS)), 2))
+
+
+def _centred(events: DataFrame) -> DataFrame:
+    """The greeks as doubles less their mean; NULL and non-finite values count as 0.
+
+    The means are one broadcast row. A constant column is centred on its value, so that it becomes exactly 0.
+    """
+    finite = "CASE WHEN abs({0}) < double('inf') THEN CAST({0} AS DOUBLE) ELSE 0D END AS {0}"
+    greeks = events.selectExpr(*[finite.format(g) for g in GREEKS])
+    centre = "CASE WHEN min({0}) = max({0}) THEN min({0}) ELSE avg({0}) END"
+    centres = greeks.agg(*measures(**{f"at_{g}": centre.format(g) for g in GREEKS}))
+    return greeks.crossJoin(F.broadcast(centres)).selectExpr(*[f"{g} - at_{g} AS {g}" for g in GREEKS])
+
+
+def _products(events: DataFrame) -> DataFrame:
+    """One row per pair of greeks (i <= j): `cell` = 16 i + j and the sum of products of the centred values.
+
+    Generated code handles up to 100 columns, fewer than the 136 sums. Each event is therefore taken twice,
+    once for either half of the pairs, which is still several times faster than one wide aggregation.
+    """
+    width, half = len(GREEKS), len(PAIRS) // 2
+    columns = {}
+    for k, (one, two) in enumerate(zip(PAIRS[:half], PAIRS[half:])):
+        left, right = (f"if(half, {GREEKS[a]}, {GREEKS[b]})" for a, b in zip(one, two))
+        columns[f"s{k}"] = f"sum({left} * {right})"
+    halves = (
+        _centred(events)
+        .selectExpr("explode(array(true, false)) AS half", *GREEKS)
+        .groupBy("half")
+        .agg(*measures(**columns))
+    )
+    cells = ", ".join(
+        f"struct(if(half, {a * width + b}, {c * width + d}) AS cell, s{k} AS total)"
+        for k, ((a, b), (c, d)) in enumerate(zip(PAIRS[:half], PAIRS[half:]))
+    )
+    return halves.selectExpr(f"inline(array({cells}))")
+
+
 def correlation(
     flow: DataFrame,
     f: FlowFilter | None = None,
@@ -31,34 +70,26 @@ def correlation(
 ) -> DataFrame:
     """256 rows (greek_i, greek_j, r), rounded to four places; no rows for empty input.
 
-    NULL counts as 0, the diagonal is 1 and a pair with a constant column is 0. One aggregation over the
-    whole table; `sample` asks for a seeded fraction of it instead.
+    NULL and non-finite values count as 0, the diagonal is 1 and a pair with a constant column is 0. The
+    whole table counts; `sample` asks for a seeded fraction of it instead.
     """
     events = apply_filters(flow, f)
     if sample is not None:
         events = events.sample(fraction=sample, seed=seed)
-    greeks = events.selectExpr(*[f"CAST(coalesce({g}, 0) AS DOUBLE) AS {g}" for g in GREEKS])
-    pairs = list(combinations(GREEKS, 2))
-    moments = greeks.agg(
-        *measures(
-            events="count(*)",
-            **{f"sd_{g}": f"stddev_pop({g})" for g in GREEKS},
-            **{f"cov_{a}_{b}": f"covar_pop({a}, {b})" for a, b in pairs},
-        )
+    width = len(GREEKS)
+    # At most 136 entries, one per pair.
+    totals = _products(events).selectExpr("map_from_entries(collect_list(struct(cell, total))) AS s")
+    row, across = f"k div {width}", f"k % {width}"
+    product = f"s[int(least({row}, {across}) * {width} + greatest({row}, {across}))]"
+    deviations = " * ".join(f"sqrt(s[int(({at}) * {width + 1})])" for at in (row, across))
+    r = f"coalesce(round(try_divide({product}, {deviations}), 4), 0D)"
+    cell = (
+        f"named_struct('greek_i', {GREEK_ARRAY}[int({row})], 'greek_j', {GREEK_ARRAY}[int({across})],"
+        f" 'r', CASE WHEN {row} = {across} THEN 1D ELSE {r} END)"
     )
-
-    def r(a: str, b: str) -> str:
-        if a == b:
-            return "1D"
-        first, second = sorted((a, b), key=GREEKS.index)
-        return f"coalesce(round(try_divide(cov_{first}_{second}, sd_{first} * sd_{second}), 4), 0D)"
-
-    cells = ", ".join(
-        f"named_struct('greek_i', '{a}', 'greek_j', '{b}', 'r', {r(a, b)})"
-        for a in GREEKS
-        for b in GREEKS
+    return totals.where("size(s) > 0").selectExpr(
+        f"inline(transform(sequence(0, {width * width - 1}), k -> {cell}))"
     )
-    return moments.where("events > 0").selectExpr(f"inline(array({cells}))")
 
 
 def correlation_matrix(long_df: DataFrame, lower_only: bool = False) -> DataFrame:

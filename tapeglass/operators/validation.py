@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, types as T
 
-from tapeglass.functions.mbo import parse_sizes
+from tapeglass.functions.mbo import PARSED_SIZES, parse_sizes
+from tapeglass.functions.scalars import measures
 from tapeglass.schema import FLOW_SCHEMA, SIDES
 
 REPORT_SCHEMA = "column string, check string, n_bad bigint, sample string"
@@ -41,41 +42,42 @@ def cast_beside_raw(raw: DataFrame, *keep: str) -> DataFrame:
     What cannot be cast or parsed becomes NULL; the row checks count it.
     """
     present = [f for f in FLOW_SCHEMA.fields if f.name in raw.columns]
-    sizes = [parse_sizes().alias("mbo_sizes")] if "MBO" in raw.columns else []
-    return raw.select(
+    sizes = [f"{PARSED_SIZES} AS mbo_sizes"] if "MBO" in raw.columns else []
+    return raw.selectExpr(
         *keep,
-        F.struct(*[f.name for f in present]).alias("raw"),
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in present],
+        f"struct({', '.join(f.name for f in present)}) AS raw",
+        *[f"try_cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in present],
         *sizes,
     )
 
 
-def _bad_side() -> Column:
-    return F.col("Side").isNotNull() & ~F.col("Side").isin(SIDES)
+BAD_SIDE = f"(Side IS NOT NULL AND Side NOT IN ({', '.join(repr(s) for s in SIDES)}))"
 
 
-def row_checks(columns: list[str], with_raw: bool) -> dict[tuple[str, str], tuple[Column, Column]]:
+def row_checks(columns: list[str], with_raw: bool) -> dict[tuple[str, str], tuple[str, str]]:
     """(column, check) to (is bad, value to show), over typed rows with `mbo_sizes` and maybe `raw`."""
     checks = {}
     for field in CAST_FIELDS if with_raw else []:
         if field.name in columns:
-            text = F.col(f"raw.{field.name}")
-            failed = text.isNotNull() & F.col(field.name).isNull()
-            checks[field.name, "bad_cast"] = (failed, text.cast("string"))
+            text = f"raw.{field.name}"
+            checks[field.name, "bad_cast"] = (
+                f"({text} IS NOT NULL AND {field.name} IS NULL)",
+                f"CAST({text} AS STRING)",
+            )
     if "Side" in columns:
-        checks["Side", "side_domain"] = (_bad_side(), F.col("Side"))
+        checks["Side", "side_domain"] = (BAD_SIDE, "Side")
     if "MBO" in columns:
-        unparsed = F.col("MBO").isNotNull() & F.col("mbo_sizes").isNull()
-        checks["MBO", "bad_json"] = (unparsed, F.col("MBO"))
+        checks["MBO", "bad_json"] = ("(MBO IS NOT NULL AND mbo_sizes IS NULL)", "MBO")
     return checks
 
 
 def check_metrics(columns: list[str], with_raw: bool) -> list[Column]:
     """Aggregates of the row checks: a count `n<i>` and the smallest bad value `v<i>` of check i."""
-    metrics = []
+    texts = {}
     for i, (bad, shown) in enumerate(row_checks(columns, with_raw).values()):
-        metrics += [F.count_if(bad).alias(f"n{i}"), F.min(F.when(bad, shown)).alias(f"v{i}")]
-    return metrics
+        texts[f"n{i}"] = f"count_if({bad})"
+        texts[f"v{i}"] = f"min(CASE WHEN {bad} THEN {shown} END)"
+    return measures(**texts)
 
 
 def report_from_metrics(columns: list[str], metrics: dict) -> list[tuple[str, str, int, str]]:
@@ -105,19 +107,14 @@ def validation_report(df: DataFrame, raw: bool = True) -> DataFrame:
     else:
         rows = df.withColumn("mbo_sizes", parse_sizes()) if "MBO" in df.columns else df
     counted = rows.agg(*check_metrics(df.columns, with_raw=raw))
-    lines = [
-        F.struct(
-            F.lit(column).alias("column"),
-            F.lit(check).alias("check"),
-            F.col(f"n{i}").alias("n_bad"),
-            F.col(f"v{i}").alias("sample"),
-        )
+    lines = ", ".join(
+        f"named_struct('column', '{column}', 'check', '{check}', 'n_bad', n{i}, 'sample', v{i})"
         for i, (column, check) in enumerate(checks)
-    ]
-    bad = counted.select(F.inline(F.array(*lines))).where(F.col("n_bad") > 0)
+    )
+    bad = counted.selectExpr(f"inline(array({lines}))").where("n_bad > 0")
     return issues.unionByName(bad) if found else bad
 
 
 def bad_sides(df: DataFrame) -> DataFrame:
     """Every Side value outside the domain with its row count."""
-    return df.where(_bad_side()).groupBy("Side").agg(F.count(F.lit(1)).alias("n_bad"))
+    return df.where(BAD_SIDE).groupBy("Side").agg(*measures(n_bad="count(*)"))

@@ -109,6 +109,16 @@ def test_null_greeks_count_as_zero(spark):
     assert cells["call_vega", "put_vega"] == 1.0
 
 
+def test_non_finite_greeks_count_as_zero_and_large_means_do_no_harm(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, 4.0]
+    rows = [{"call_vega": v, "put_vega": w} for v, w in zip(odd, [0.0, 0.0, 0.0, None, 4.0])]
+    cells = {(r.greek_i, r.greek_j): r.r for r in tg.correlation(flow_of(spark, *rows)).collect()}
+    assert cells["call_vega", "put_vega"] == 1.0
+    rows = [{"call_vega": 1e6 + i, "put_vega": float(i % 2)} for i in range(100)]
+    cells = {(r.greek_i, r.greek_j): r.r for r in tg.correlation(flow_of(spark, *rows)).collect()}
+    assert cells["call_vega", "put_vega"] == 0.0173
+
+
 def test_matrix_shapes(spark, empty):
     long_df = tg.correlation(flow_of(spark, {}, {"call_vega": 3.0}))
     lower = tg.correlation_matrix(long_df, lower_only=True).collect()

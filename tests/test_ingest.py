@@ -4,6 +4,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 import tapeglass as tg
 from tapeglass.operators.dedup import dedup_first
@@ -204,9 +205,8 @@ def test_minute_files_decode_or_are_refused_whole(spark, landing):
 def test_truncated_json_is_refused(spark, tmp_path):
     body = json.dumps([record(), record(Side="Bid")])
     pack(tmp_path / "raw" / minute_name("0931"), body[:-20])
-    pack(tmp_path / "raw" / minute_name("0932"), json.dumps(record()) + " tail")
     rows = tg.scan_minute_files(spark, str(tmp_path / "raw")).collect()
-    assert [r._error for r in rows if r._file.endswith("0931.csv.gz")] == ["not a JSON array of records"]
+    assert [r._error for r in rows] == ["not a JSON array of records"]
 
 
 def test_stream_ingests_in_batches_and_restarts(spark, landing, tmp_path):
@@ -250,7 +250,7 @@ def test_coverage_gaps(spark, tmp_path):
 
 
 def test_validation_report_on_missing_and_mistyped_columns(spark):
-    flow = flow_of(spark, {}).drop("put_rho").withColumn("t", tg.operators.validation.F.lit("x"))
+    flow = flow_of(spark, {}).drop("put_rho").withColumn("t", F.lit("x"))
     found = {(r.column, r.check) for r in tg.validation_report(flow, raw=False).collect()}
     assert found == {("put_rho", "missing_column"), ("t", "type_mismatch")}
 
