@@ -69,7 +69,9 @@ def apply_filters(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
     if f.t_max is not None:
         flow = flow.where(F.col("t") <= F.lit(float(f.t_max)))
     if isinstance(flow.schema["timestamp"].dataType, T.TimestampType):
-        flow = flow.withColumn("timestamp", wall_clock(F.col("timestamp")))
+        stored = "wall_time" in flow.columns
+        wall = F.col("wall_time") if stored else wall_clock(F.col("timestamp"))
+        flow = flow.withColumn("timestamp", wall).drop("wall_time")
     if f.market_hours:
         flow = flow.where(in_session())
     return flow

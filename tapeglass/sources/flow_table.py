@@ -1,4 +1,8 @@
-"""The stored flow table: Parquet partitioned by New York date, unique on the key."""
+"""The stored flow table: Parquet partitioned by New York date, unique on the key.
+
+Beside the 25 columns it holds what every query would compute again from them: the parsed sizes, their sum
+and the New York wall clock. Queries read only the columns they name.
+"""
 
 from __future__ import annotations
 
@@ -24,6 +28,7 @@ STORED_SCHEMA = T.StructType(
         *FLOW_SCHEMA.fields,
         T.StructField("mbo_sizes", T.ArrayType(T.DoubleType())),
         T.StructField("mbo_size", T.DoubleType()),
+        T.StructField("wall_time", T.TimestampNTZType()),
         T.StructField("date", T.DateType()),
     ]
 )
@@ -63,9 +68,9 @@ def stage_rows(rows: DataFrame, folder: str) -> dict:
     staged = checked.withColumns(
         {
             "mbo_size": sum_sizes(),
-            "date": F.to_date(wall_clock(F.col("timestamp"))),
+            "wall_time": wall_clock(F.col("timestamp")),
         }
-    )
+    ).withColumn("date", F.to_date("wall_time"))
     with session_conf(rows.sparkSession, WRITE_CONF):
         staged.select(STAGED_SCHEMA.fieldNames()).write.partitionBy("date").parquet(folder)
     return seen.get
