@@ -33,8 +33,11 @@ def es_points(scale: float) -> str:
 
 
 def expiry_4() -> Column:
-    """Time to expiry rounded to four places."""
-    return F.expr("round(t, 4) AS t")
+    """Time to expiry rounded to four places, halves away from zero.
+
+    Plain double arithmetic: `round` on a FLOAT goes through a decimal object per row.
+    """
+    return F.expr("CAST(signum(t) * floor(abs(t) * 10000D + 0.5D) / 10000D AS FLOAT) AS t")
 
 
 def measures(**columns: str) -> list[Column]:

@@ -189,6 +189,14 @@ def test_depth_ladder_keeps_the_largest_strikes(spark):
     assert (lone.bid, lone.ask) == (0.0, 0.0)
 
 
+def test_expiry_rounding(spark):
+    times = [0.03125, -0.03125, 0.00004, 0.00006, 0.0827, 0.0, 12.34565, None]
+    flow = flow_of(spark, *[{"t": t, "spx_strike": i} for i, t in enumerate(times)])
+    rounded = column(tg.surface(flow).orderBy("spx_strike"), "t")
+    expected = [0.0313, -0.0313, 0.0, 0.0001, 0.0827, 0.0, 12.3456, None]
+    assert [None if t is None else round(t, 6) for t in rounded] == expected
+
+
 def test_non_finite_results_become_null(spark):
     flow = flow_of(spark, {"call_vega": float("nan")}, {"spx_strike": 1, "call_vega": float("inf")})
     assert column(tg.surface(flow, "call_vega"), "greek_value") == [None, None]
