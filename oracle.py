@@ -186,9 +186,15 @@ SELECT * FROM calendar WHERE (date, minute) NOT IN
 
 # Text as it would stand in a file, with faults that depend on the event type; see raw_text in the entry module.
 RAW_TEXT = {
-    "timestamp": "CASE event_type WHEN 'error' THEN concat('at ', CAST(event_id AS VARCHAR(20))) ELSE CAST(timestamp AS VARCHAR(40)) END",
+    "timestamp": (
+        "CASE event_type WHEN 'error' THEN concat('at ', CAST(event_id AS VARCHAR(20)))"
+        " ELSE CAST(timestamp AS VARCHAR(40)) END"
+    ),
     "Side": "CASE event_type WHEN 'signup' THEN 'Mid' WHEN 'view' THEN NULL ELSE Side END",
-    "future_strike": "CASE event_type WHEN 'purchase' THEN concat('s', CAST(spx_strike AS VARCHAR(20))) ELSE CAST(spx_strike AS VARCHAR(20)) END",
+    "future_strike": (
+        "CASE event_type WHEN 'purchase' THEN concat('s', CAST(spx_strike AS VARCHAR(20)))"
+        " ELSE CAST(spx_strike AS VARCHAR(20)) END"
+    ),
     "MBO": "CASE event_type WHEN 'click' THEN concat('[', CAST(spx_strike AS VARCHAR(20)), ',') ELSE MBO END",
 }
 
@@ -205,6 +211,19 @@ SELECT "column", "check", count(*) AS n_bad, min(v) AS sample FROM found GROUP B
 BAD_SIDES = f""", raw AS (SELECT {RAW_TEXT["Side"]} AS Side FROM flow)
 SELECT Side, count(*) AS n_bad FROM raw WHERE Side NOT IN ('Bid', 'Ask') GROUP BY 1"""
 
+# Row limits of the snapshot results.
+SNAPSHOT_LIMITS = {
+    "pulling_stacking": 10000,
+    "heatmap": 5000,
+    "depth": 2000,
+    "surface": 5000,
+    "vanna_charm": 1000,
+    "theta": 5000,
+    "scatter": 5000,
+    "gex": 500,
+    "gex_intraday": 1000,
+}
+
 INGESTED = ", ".join(
     ["timestamp", "Side", "future_strike", "MBO_pulling_stacking", "current_es_price", "spx_strike", "t", "spx_price"]
     + GREEKS
@@ -304,4 +323,14 @@ def oracle_queries() -> dict[str, str]:
         ),
     }
     sql |= {f"snapshot_surface_{g}": SURFACE.format(greek=g, src="flow") for g in CALL_GREEKS}
+    values = SIZE_VALUES.format(sizes=SIZES, src="flow")
+    sql["snapshot_histogram"] = f"SELECT mbo_value, count(*) AS occurrences FROM ({values}) GROUP BY 1"
+    limits = {**SNAPSHOT_LIMITS, **{f"surface_{g}": SNAPSHOT_LIMITS["surface"] for g in CALL_GREEKS}}
+    counted = ["SELECT 'correlation' AS name, CAST(1 AS BIGINT) AS records"]
+    for short in [n.removeprefix("snapshot_") for n in sql if n.startswith("snapshot_")]:
+        name = f"vanna_charm_{short}" if short in ("vanna", "charm") else short
+        rows = f"({sql[f'snapshot_{short}']})"
+        most = limits.get("vanna_charm" if short in ("vanna", "charm") else short, 10**12)
+        counted.append(f"SELECT '{name}', least(count(*), {most}) FROM {rows}")
+    sql["snapshot_export"] = " UNION ALL ".join(counted)
     return {name: BASE + text for name, text in sql.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 from tapeglass.functions.mbo import with_mbo_size
 from tapeglass.functions.scalars import IS_ASK, IS_BID, SIDE_SIGN, expiry_4, measures

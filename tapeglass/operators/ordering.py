@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tapeglass.functions.scalars import finite_or_null
 
@@ -29,34 +29,42 @@ def ordered(df: DataFrame, by: list[str], limit: int | None, most: int) -> DataF
 def _scan_partitions(df: DataFrame) -> int:
     """Input partitions to expect, from the size that the optimizer knows."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per_partition = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
-    return size // max(int(per_partition.rstrip("b")), 1) + 1
+    per_partition = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return size // max(per_partition, 1) + 1
+
+
+def _bucket_of_nth(counts: DataFrame, n: int, last: bool) -> Row | None:
+    """The (bucket, count, seen) row that holds the n-th event from the front or the back."""
+    nearest = F.desc("bucket") if last else F.asc("bucket")
+    running = Window.orderBy(nearest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = counts.withColumn("seen", F.sum("count").over(running))
+    return seen.where(F.col("seen") >= n).orderBy(nearest).first()
 
 
 def cut_by_time(df: DataFrame, n: int, last: bool = False, time: str = "timestamp") -> DataFrame:
     """A superset of the first (or last) `n` rows by `time`, cut at the exact n-th timestamp.
 
-    Counts per minute find the minute of the n-th row, counts per millisecond inside that minute and per
-    microsecond inside that millisecond narrow it down. Each step reads the one time column, keeps one count
-    per bucket and returns one row, so no task ever holds more than the counts. Rows without a time are kept
-    only when the table has fewer than `n` timed rows.
+    Counts per date partition, where there are any, then per minute, millisecond and microsecond inside the
+    bucket found before narrow the n-th row down. Each step reads the one time column, keeps one count per
+    bucket and returns one row, so no task ever holds more than the counts. Rows without a time are kept only
+    when the table has fewer than `n` timed rows.
     """
-    scope, missing = df.select(time).where(F.col(time).isNotNull()), n
-    nearest = F.col("bucket").desc() if last else F.col("bucket").asc()
-    running = Window.orderBy(nearest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scope, missing = df.where(F.col(time).isNotNull()), n
+    if "date" in df.columns:
+        found = _bucket_of_nth(scope.groupBy(F.col("date").alias("bucket")).count(), missing, last)
+        if found is None:
+            return df
+        missing -= found.seen - found["count"]
+        scope = scope.where(F.col("date") == F.lit(found.bucket))
+        df = df.where(F.col("date") >= found.bucket if last else F.col("date") <= found.bucket)
     for width in CUT_WIDTHS:
-        counts = scope.select(F.window(time, width).alias("w")).groupBy("w").count()
-        found = (
-            counts.select(F.col("w.start").alias("bucket"), F.col("w.end").alias("upto"), "count")
-            .withColumn("seen", F.sum("count").over(running))
-            .where(F.col("seen") >= missing)
-            .orderBy(nearest)
-            .first()
-        )
+        per_bucket = scope.select(F.window(time, width).alias("w")).groupBy("w").count()
+        counts = per_bucket.selectExpr("w.start AS bucket", "w.end AS upto", "count")
+        found = _bucket_of_nth(counts, missing, last)
         if found is None:
             return df
         missing -= found.seen - found["count"]
-        low, high = (F.lit(edge.isoformat()).cast("timestamp_ntz") for edge in (found.bucket, found.upto))
+        low, high = (F.lit(at.isoformat()).cast("timestamp_ntz") for at in (found.bucket, found.upto))
         scope = scope.where((F.col(time) >= low) & (F.col(time) < high))
     return df.where(F.col(time) >= low) if last else df.where(F.col(time) < high)
 

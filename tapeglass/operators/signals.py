@@ -96,7 +96,11 @@ def net_flow(
 
 def _ps_events(flow: DataFrame, f: FlowFilter | None, only_events: bool) -> DataFrame:
     events = apply_filters(flow, f)
-    return events.where("MBO_pulling_stacking != 0") if only_events else events
+    if only_events:
+        events = events.where("MBO_pulling_stacking != 0")
+    # The date partition lets the time cut skip whole days.
+    partition = [name for name in ("date",) if name in events.columns]
+    return events.select(*dict.fromkeys(PS_COLUMNS + PS_ORDER + partition))
 
 
 def pulling_stacking(
@@ -106,7 +110,7 @@ def pulling_stacking(
     only_events: bool = False,
 ) -> DataFrame:
     """Time, price and pulling/stacking mark in time order; `only_events` drops the rows marked 0."""
-    events = _ps_events(flow, f, only_events).select(*dict.fromkeys(PS_COLUMNS + PS_ORDER))
+    events = _ps_events(flow, f, only_events)
     if limit is None:
         rows = events.orderBy([F.col(name).asc_nulls_last() for name in PS_ORDER])
     else:
@@ -119,7 +123,7 @@ def recent_pulling_stacking(
     flow: DataFrame, f: FlowFilter | None = None, n: int = 500, only_events: bool = False
 ) -> DataFrame:
     """The last `n` rows of the pulling/stacking series, in time order."""
-    events = _ps_events(flow, f, only_events).select(*dict.fromkeys(PS_COLUMNS + PS_ORDER))
+    events = _ps_events(flow, f, only_events)
     return finite_or_null(last_n(events, n, PS_ORDER).select(PS_COLUMNS))
 
 

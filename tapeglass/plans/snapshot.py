@@ -1,7 +1,8 @@
 """All queries with the snapshot settings, exported as JSON with a manifest.
 
 Snapshot settings: no session filter, 5-second buckets, the limits below. Queries that group alike share one
-pass: the table is read seven times for 23 results, and every shared pass ends in a small frame.
+pass: the table is read eight times (twice for the correlation) for 23 results, and every
+shared pass ends in a small frame.
 """
 
 from __future__ import annotations

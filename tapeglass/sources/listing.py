@@ -21,13 +21,22 @@ def list_files(
 ) -> DataFrame:
     """The distinct files (path, length, modificationTime) that the paths and globs match.
 
-    Only the listing is read, no content. A pattern without a match is logged and left out.
+    Only the listing is read, no content. `**` stands for any depth of folders and may be followed by a file
+    name pattern. A pattern without a match is logged and left out.
     """
     found = []
     for pattern in [patterns] if isinstance(patterns, str) else patterns:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+        folder, deep, name = pattern.partition("**")
+        name = name.strip("/")
+        if "/" in name:
+            raise ValueError(f"only a file name pattern may follow **: {pattern}")
+        reader = spark.read.format("binaryFile")
+        reader = reader.option("recursiveFileLookup", str(recursive or bool(deep)).lower())
+        if name:
+            reader = reader.option("pathGlobFilter", name)
         try:
-            found.append(reader.load(pattern).select("path", "length", "modificationTime"))
+            files = reader.load(folder or ".")
+            found.append(files.select("path", "length", "modificationTime"))
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise

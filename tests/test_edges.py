@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import tapeglass as tg
 from tapeglass.functions.mbo import with_mbo_size
@@ -233,10 +234,13 @@ def test_pulling_stacking_order_and_marks(spark):
 
 @pytest.mark.parametrize("n", [1, 7, 100, 399, 400, 5000])
 @pytest.mark.parametrize("last", [False, True])
-def test_cut_by_time_keeps_the_edge_and_little_else(spark, n, last):
+@pytest.mark.parametrize("dated", [False, True])
+def test_cut_by_time_keeps_the_edge_and_little_else(spark, n, last, dated):
     # 400 rows: one hot millisecond holds half of them, eight rows share each microsecond.
-    hot = f"timestamp_micros(1744624800000000 + CASE WHEN id < 200 THEN 61500000 + id div 8 ELSE id * 977777 END)"
+    hot = f"timestamp_micros(1744624800000000 + CASE WHEN id < 200 THEN 61500000 + id div 8 ELSE id * 977777777 END)"
     flow = spark.range(400).selectExpr("id", f"CAST({hot} AS TIMESTAMP_NTZ) AS timestamp")
+    if dated:
+        flow = flow.withColumn("date", F.to_date("timestamp"))
     cut = cut_by_time(flow, n, last)
     order = ["timestamp", "id"]
     expected = last_n(flow, n, order).collect()
@@ -248,6 +252,18 @@ def test_cut_by_time_keeps_the_edge_and_little_else(spark, n, last):
     assert cut.count() <= min(n, 400) + 8
 
 
+def test_large_inputs_take_the_time_cut(spark, monkeypatch):
+    from tapeglass.operators import ordering
+    from tapeglass.sources.events_view import load_flow
+
+    flow = load_flow(spark, "/root/testdata/sf0.001").withColumn("date", F.to_date("timestamp"))
+    plain = [tg.pulling_stacking(flow, limit=50).collect(), tg.recent_pulling_stacking(flow, n=50).collect()]
+    monkeypatch.setattr(ordering, "PLAIN_TOP_N_ROWS", 0)
+    cut = [tg.pulling_stacking(flow, limit=50), tg.recent_pulling_stacking(flow, n=50)]
+    assert [df.collect() for df in cut] == plain
+    assert "2024-01" in cut[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_invariants_on_benchmark_rows(spark):
     from tapeglass.sources.events_view import load_flow
 

@@ -125,6 +125,17 @@ def test_listing_warns_and_ledger_records(spark, tmp_path, caplog):
     assert len(ledger) == 1 and ledger[0].endswith("a.csv")
 
 
+def test_listing_looks_into_folders_after_two_stars(spark, tmp_path):
+    for folder in ("x", "x/y"):
+        (tmp_path / folder).mkdir()
+        write_csv(tmp_path / folder / "a.csv", csv_line())
+        write_csv(tmp_path / folder / "a.txt", csv_line())
+    assert list_files(spark, str(tmp_path / "**" / "*.csv")).count() == 2
+    assert list_files(spark, str(tmp_path / "**")).count() == 4
+    with pytest.raises(ValueError):
+        list_files(spark, str(tmp_path / "**" / "y" / "*.csv"))
+
+
 def test_time_filters_reach_the_stored_table_scan(spark, tmp_path):
     out = str(tmp_path / "flow")
     lines = [csv_line(timestamp=f"2025-04-{d}T12:00:00.000000-04:00") for d in (21, 22, 23)]
@@ -221,7 +232,8 @@ def test_stream_ingests_in_batches_and_restarts(spark, landing, tmp_path):
     refused = spark.read.parquet(f"{out}_quarantine")
     assert refused.count() == 5 and {"path", "error"} <= set(refused.columns)
     # A late file brings one known key and one new key; only the new file is read.
-    pack(landing / "20250414" / minute_name("0938"), json.dumps([record(call_vega=9.0), record(spx_price=2.0, future_strike=3.0)]))
+    late = [record(call_vega=9.0), record(spx_price=2.0, future_strike=3.0)]
+    pack(landing / "20250414" / minute_name("0938"), json.dumps(late))
     again = tg.start_minute_stream(spark, str(landing), out, checkpoint, files_per_batch=2)
     again.awaitTermination()
     assert sum(p["numInputRows"] for p in again.recentProgress) == 1
