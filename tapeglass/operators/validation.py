@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import DataFrame, types as T
 
 from tapeglass.functions.mbo import PARSED_SIZES, parse_sizes
 from tapeglass.functions.scalars import measures
@@ -71,47 +71,57 @@ def row_checks(columns: list[str], with_raw: bool) -> dict[tuple[str, str], tupl
     return checks
 
 
-def check_metrics(columns: list[str], with_raw: bool) -> list[Column]:
-    """Aggregates of the row checks: a count `n<i>` and the smallest bad value `v<i>` of check i."""
-    texts = {}
-    for i, (bad, shown) in enumerate(row_checks(columns, with_raw).values()):
-        texts[f"n{i}"] = f"count_if({bad})"
-        texts[f"v{i}"] = f"min(CASE WHEN {bad} THEN {shown} END)"
-    return measures(**texts)
+def findings(columns: list[str], with_raw: bool) -> str:
+    """The failed checks of a row as an array of (column, check, value); NULL for a good row.
 
+    For rows on their way to files: good rows cost a few null tests, the array is built for bad rows only.
+    Read it back from the files to filter on it, as the optimizer takes very long over a filter on this text.
+    """
+    checks = row_checks(columns, with_raw)
+    tests = [bad for bad, _ in checks.values()]
+    any_bad = f"greatest({', '.join(tests)})" if len(tests) > 1 else tests[0]
+    failed = ", ".join(
+        f"if({bad}, named_struct('column', '{column}', 'check', '{check}', 'value', {shown}), NULL)"
+        for (column, check), (bad, shown) in checks.items()
+    )
+    return f"CASE WHEN {any_bad} THEN array_compact(array({failed})) END"
 
-def report_from_metrics(columns: list[str], metrics: dict) -> list[tuple[str, str, int, str]]:
-    """Report rows from the metrics that a write observed."""
-    return [
-        (column, check, metrics[f"n{i}"], metrics[f"v{i}"])
-        for i, (column, check) in enumerate(row_checks(columns, with_raw=True))
-        if metrics[f"n{i}"]
-    ]
+
+def summarize(rows: DataFrame, found: str) -> DataFrame:
+    """Report rows (column, check, n_bad, sample) from stored findings; `sample` is the smallest bad value."""
+    return (
+        rows.where(f"{found} IS NOT NULL")
+        .selectExpr(f"inline({found})")
+        .groupBy("column", "check")
+        .agg(*measures(n_bad="count(*)", sample="min(value)"))
+    )
 
 
 def validation_report(df: DataFrame, raw: bool = True) -> DataFrame:
     """Rows (column, check, n_bad, sample) for every check that found something; no rows means valid.
 
     `raw` frames hold text still to be cast; typed frames get the type check instead. All row checks share
-    one aggregation.
+    one pass.
     """
     found = (
         [(name, "missing_column", 1, None) for name in missing_columns(df)] if raw else schema_issues(df)
     )
     issues = df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
-    checks = list(row_checks(df.columns, with_raw=raw))
-    if not checks:
+    if not row_checks(df.columns, with_raw=raw):
         return issues
     if raw:
         rows = cast_beside_raw(df)
     else:
         rows = df.withColumn("mbo_sizes", parse_sizes()) if "MBO" in df.columns else df
-    counted = rows.agg(*check_metrics(df.columns, with_raw=raw))
+    checks = row_checks(df.columns, with_raw=raw)
+    counts = {}
+    for i, (bad, shown) in enumerate(checks.values()):
+        counts |= {f"n{i}": f"count_if({bad})", f"v{i}": f"min(CASE WHEN {bad} THEN {shown} END)"}
     lines = ", ".join(
         f"named_struct('column', '{column}', 'check', '{check}', 'n_bad', n{i}, 'sample', v{i})"
         for i, (column, check) in enumerate(checks)
     )
-    bad = counted.selectExpr(f"inline(array({lines}))").where("n_bad > 0")
+    bad = rows.agg(*measures(**counts)).selectExpr(f"inline(array({lines}))").where("n_bad > 0")
     return issues.unionByName(bad) if found else bad
 
 

@@ -11,14 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tapeglass.functions.mbo import sum_sizes
+from tapeglass.functions.scalars import measures
 from tapeglass.functions.time import wall_clock
 from tapeglass.operators.dedup import dedup_first, merge_new
 from tapeglass.operators.validation import (
     ValidationError,
     cast_beside_raw,
-    check_metrics,
+    findings,
     missing_columns,
-    report_from_metrics,
+    summarize,
 )
 from tapeglass.schema import FLOW_COLUMNS, FLOW_SCHEMA, KEY
 from tapeglass.session import drop_folder, path_exists, scratch_folder, session_conf
@@ -33,8 +34,11 @@ STORED_SCHEMA = T.StructType(
     ]
 )
 STORED_COLUMNS = STORED_SCHEMA.fieldNames()
-# Where a row stood in the input, and why its file was refused (NULL for accepted files).
+# Where a row stood in the input. Staged rows also hold why their file was refused and what checks failed.
 INPUT_ORDER = ["_file", "_block", "_row"]
+FINDINGS_TYPE = T.ArrayType(
+    T.StructType([T.StructField(name, T.StringType()) for name in ("column", "check", "value")])
+)
 STAGED_SCHEMA = T.StructType(
     [
         *STORED_SCHEMA.fields[:-1],
@@ -42,6 +46,7 @@ STAGED_SCHEMA = T.StructType(
         T.StructField("_block", T.LongType()),
         T.StructField("_row", T.LongType()),
         T.StructField("_error", T.StringType()),
+        T.StructField("_findings", FINDINGS_TYPE),
         STORED_SCHEMA["date"],
     ]
 )
@@ -62,15 +67,16 @@ def stage_rows(rows: DataFrame, folder: str) -> dict:
     everything that follows works on the staged files, so a lost executor repeats tasks over those only.
     """
     seen = Observation("ingest")
-    checked = cast_beside_raw(rows, *INPUT_ORDER, "_error").observe(
-        seen, F.count(F.lit(1)).alias("rows"), *check_metrics(FLOW_COLUMNS, with_raw=True)
-    )
-    staged = checked.withColumns(
+    checked = cast_beside_raw(rows, *INPUT_ORDER, "_error").withColumns(
         {
             "mbo_size": sum_sizes(),
             "wall_time": wall_clock(F.col("timestamp")),
+            "_findings": F.expr(findings(FLOW_COLUMNS, with_raw=True)),
         }
-    ).withColumn("date", F.to_date("wall_time"))
+    )
+    staged = checked.withColumn("date", F.to_date("wall_time")).observe(
+        seen, *measures(rows="count(*)", bad_rows="count(_findings)")
+    )
     with session_conf(rows.sparkSession, WRITE_CONF):
         staged.select(STAGED_SCHEMA.fieldNames()).write.partitionBy("date").parquet(folder)
     return seen.get
@@ -105,7 +111,7 @@ def _touched(existing: DataFrame, staged: DataFrame) -> DataFrame:
 def append_staged(spark: SparkSession, folder: str, path: str) -> int:
     """Append the staged rows whose key the table lacks; existing rows win, first input row wins."""
     staged = spark.read.schema(STAGED_SCHEMA).parquet(folder).where(F.col("_error").isNull())
-    new = staged.drop("_error")
+    new = staged.drop("_error", "_findings")
     if path_exists(spark, path):
         table = spark.read.schema(STORED_SCHEMA).parquet(path)
         existing = _touched(table, staged).select(KEY)
@@ -158,12 +164,14 @@ def append_flow(
     folder = scratch_folder(spark, "stage")
     try:
         metrics = stage_rows(rows, folder)
-        report = report_from_metrics(FLOW_COLUMNS, metrics)
+        staged = spark.read.schema(STAGED_SCHEMA).parquet(folder)
+        # At most one row per column and check; good input needs no second look.
+        report = [tuple(r) for r in summarize(staged, "_findings").collect()] if metrics["bad_rows"] else []
         fatal = [r for r in report if validate or (strict and r[1] == "bad_cast")]
         if fatal:
             raise ValidationError("; ".join(f"{c}: {k} x{n} ({v!r})" for c, k, n, v in fatal))
         if on_staged is not None:
-            on_staged(spark.read.schema(STAGED_SCHEMA).parquet(folder))
+            on_staged(staged)
         appended = append_staged(spark, folder, path)
     finally:
         drop_folder(spark, folder)
