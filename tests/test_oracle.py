@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the benchmark tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as spark_entry
@@ -18,10 +20,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    """The text operators (opN_ and pipeline) have SQL where SQL can express them, and their own tests."""
+    assert set(ORACLE) <= set(QUERIES)
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in set(QUERIES) - set(ORACLE))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, duck, name):
     columns, rows = spark_table(QUERIES[name](spark, SF_DIR))
     expected_columns, expected = duck_table(duck, ORACLE[name])
