@@ -11,7 +11,7 @@ from tapeglass.sources.events_view import flow_expressions
 from tapeglass.sources.minute_calendar import FIRST_MINUTE, LAST_MINUTE
 
 FLOW = f"SELECT event_id, event_type, {', '.join(flow_expressions())} FROM events"
-SIZES = "from_json(MBO, '[\"DOUBLE\"]')"
+SIZES = "from_json(CASE WHEN json_valid(MBO) THEN MBO END, '[\"DOUBLE\"]')"
 BASE = f"""
 WITH flow AS ({FLOW}),
 live AS (
@@ -65,26 +65,33 @@ GEX_INTRADAY = (
     "SELECT time_bucket(INTERVAL '{width}', timestamp) AS time_bucket, " + EXPOSURE + " FROM {src} GROUP BY 1"
 )
 
-SURFACE = """
-SELECT spx_strike, round(t, 4) AS t, avg({greek}) AS greek_value FROM {src} GROUP BY 1, 2"""
+def _finite(value: str) -> str:
+    return f"CASE WHEN isfinite({value}) THEN {value} END"
+
+
+# Infinite and missing expiries are groups of their own; both are shown as NULL.
+EXPIRY = "CASE WHEN isfinite(t) THEN round(t, 4) ELSE t END"
+SURFACE = f"""
+SELECT spx_strike, {_finite('e')} AS t, {_finite('avg({greek})')} AS greek_value
+FROM (SELECT *, {EXPIRY} AS e FROM {{src}}) GROUP BY spx_strike, e"""
 
 STRIKE_MEANS = """
 SELECT spx_strike, avg(call_{metric}) AS call_value, avg(put_{metric}) AS put_value FROM {src} GROUP BY 1"""
 
-THETA = """
-SELECT spx_strike, round(t, 4) AS t, avg(call_theta) AS call_theta, avg(put_theta) AS put_theta
-FROM {src} GROUP BY 1, 2"""
+THETA = f"""
+SELECT spx_strike, {_finite('e')} AS t, avg(call_theta) AS call_theta, avg(put_theta) AS put_theta
+FROM (SELECT *, {EXPIRY} AS e FROM {{src}}) GROUP BY spx_strike, e"""
 
-SCATTER = """
-SELECT spx_strike, avg(call_vega) AS call_vega, avg(call_vomma) AS call_vomma, count(*) AS mbo_count
-FROM {src} GROUP BY 1"""
+SCATTER = f"""
+SELECT spx_strike, avg(call_vega) AS call_vega, {_finite('avg(call_vomma)')} AS call_vomma, count(*) AS mbo_count
+FROM {{src}} GROUP BY 1"""
 
-# NULL counts as 0; corr() is NULL or NaN on a constant column, which counts as 0 as well.
+# NULL, NaN and infinity count as 0; corr() is NULL or NaN on a constant column, which counts as 0 as well.
 def _correlation(src: str) -> str:
     def r(a: str, b: str) -> str:
         return f"CASE WHEN isfinite(corr({a}, {b})) THEN round(corr({a}, {b}), 4) ELSE CAST(0 AS DOUBLE) END"
 
-    zeroed = ", ".join(f"CAST(coalesce({g}, 0) AS DOUBLE) AS {g}" for g in GREEKS)
+    zeroed = ", ".join(f"CAST(CASE WHEN isfinite({g}) THEN {g} ELSE 0 END AS DOUBLE) AS {g}" for g in GREEKS)
     wide = ", ".join(f"{r(a, b)} AS {a}__{b}" for a in GREEKS for b in GREEKS if a != b)
     cells = " UNION ALL ".join(
         f"SELECT '{a}' AS greek_i, '{b}' AS greek_j, "
@@ -174,7 +181,7 @@ COARSE = """, coarse AS (
 SELECT * EXCLUDE (event_id, event_type) FROM coarse
 QUALIFY row_number() OVER (PARTITION BY timestamp, Side, future_strike ORDER BY {rank}event_id) = 1"""
 
-DAYS = """, days AS (SELECT DISTINCT CAST(timestamp AS DATE) AS date FROM flow),
+DAYS = """, days AS (SELECT DISTINCT CAST(timestamp AS DATE) AS date FROM flow WHERE timestamp IS NOT NULL),
 expected AS (SELECT date, i AS clock FROM days, range({first}, {last} + 1) r(i)),
 calendar AS (SELECT date, printf('%02d%02d', CAST(floor(clock / 60) AS BIGINT), clock % 60) AS minute,
   printf('loaded_lob_%s__%s_%02d%02d.csv.gz', strftime(date, '%Y%m%d'), strftime(date, '%Y%m%d'),
@@ -182,13 +189,15 @@ calendar AS (SELECT date, printf('%02d%02d', CAST(floor(clock / 60) AS BIGINT),
 
 GAPS = """
 SELECT * FROM calendar WHERE (date, minute) NOT IN
-  (SELECT (CAST(timestamp AS DATE), strftime(timestamp, '%H%M')) FROM flow)"""
+  (SELECT (CAST(timestamp AS DATE), strftime(timestamp, '%H%M')) FROM flow WHERE timestamp IS NOT NULL)"""
 
 # Text as it would stand in a file, with faults that depend on the event type; see raw_text in the entry module.
 RAW_TEXT = {
     "timestamp": (
         "CASE event_type WHEN 'error' THEN concat('at ', CAST(event_id AS VARCHAR(20)))"
-        " ELSE CAST(timestamp AS VARCHAR(40)) END"
+        " ELSE CASE event_id % 7 WHEN 1 THEN '10:00' WHEN 2 THEN '2025' WHEN 3 THEN CAST(timestamp AS VARCHAR(40))"
+        " WHEN 4 THEN NULL ELSE CASE WHEN timestamp IS NOT NULL"
+        " THEN concat(replace(CAST(timestamp AS VARCHAR(40)), ' ', 'T'), '-05:00') END END END"
     ),
     "Side": "CASE event_type WHEN 'signup' THEN 'Mid' WHEN 'view' THEN NULL ELSE Side END",
     "future_strike": (
@@ -201,9 +210,12 @@ RAW_TEXT = {
 REPORT = f""", raw AS (SELECT {", ".join(f"{e} AS {n}" for n, e in RAW_TEXT.items())} FROM flow),
 found AS (
   SELECT 'timestamp' AS "column", 'bad_cast' AS "check", timestamp AS v FROM raw
-    WHERE timestamp IS NOT NULL AND TRY_CAST(timestamp AS TIMESTAMP) IS NULL
+    WHERE NOT regexp_full_match(timestamp, '\\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d([.]\\d+)?[+-]\\d\\d:?\\d\\d')
   UNION ALL SELECT 'future_strike', 'bad_cast', future_strike FROM raw
     WHERE future_strike IS NOT NULL AND TRY_CAST(future_strike AS FLOAT) IS NULL
+  UNION ALL SELECT 'timestamp', 'null_key', NULL FROM raw WHERE timestamp IS NULL
+  UNION ALL SELECT 'Side', 'null_key', NULL FROM raw WHERE Side IS NULL
+  UNION ALL SELECT 'future_strike', 'null_key', NULL FROM raw WHERE future_strike IS NULL
   UNION ALL SELECT 'Side', 'side_domain', Side FROM raw WHERE Side NOT IN ('Bid', 'Ask')
   UNION ALL SELECT 'MBO', 'bad_json', MBO FROM raw WHERE NOT json_valid(MBO))
 SELECT "column", "check", count(*) AS n_bad, min(v) AS sample FROM found GROUP BY 1, 2"""
@@ -211,24 +223,14 @@ SELECT "column", "check", count(*) AS n_bad, min(v) AS sample FROM found GROUP B
 BAD_SIDES = f""", raw AS (SELECT {RAW_TEXT["Side"]} AS Side FROM flow)
 SELECT Side, count(*) AS n_bad FROM raw WHERE Side NOT IN ('Bid', 'Ask') GROUP BY 1"""
 
-# Row limits of the snapshot results.
-SNAPSHOT_LIMITS = {
-    "pulling_stacking": 10000,
-    "heatmap": 5000,
-    "depth": 2000,
-    "surface": 5000,
-    "vanna_charm": 1000,
-    "theta": 5000,
-    "scatter": 5000,
-    "gex": 500,
-    "gex_intraday": 1000,
-}
-
-INGESTED = ", ".join(
-    ["timestamp", "Side", "future_strike", "MBO_pulling_stacking", "current_es_price", "spx_strike", "t", "spx_price"]
-    + GREEKS
-    + ["mbo_size"]
-)
+INGESTED_COLUMNS = [
+    "timestamp", "Side", "future_strike", "MBO_pulling_stacking", "current_es_price", "spx_strike", "t", "spx_price",
+    *GREEKS, "mbo_size",
+]
+# Non-finite values are compared as NULL.
+INGESTED = ", ".join(f"{_finite(c)} AS {c}" if c in ("t", *GREEKS) else c for c in INGESTED_COLUMNS)
+# Events in a file of the quarantine check.
+QUARANTINE_FILE_EVENTS = 500
 FIRST_PER_KEY = (
     " QUALIFY row_number() OVER (PARTITION BY timestamp, Side, future_strike ORDER BY event_id) = 1"
 )
@@ -264,9 +266,9 @@ def oracle_queries() -> dict[str, str]:
         "histogram_bins": HISTOGRAM.format(sizes=SIZES, src="live", bins=40),
         "surface": SURFACE.format(greek="call_vega", src="live"),
         "surface_all": (
-            "SELECT spx_strike, round(t, 4) AS t, "
-            + ", ".join(f"avg({g}) AS {g}" for g in GREEKS)
-            + " FROM live GROUP BY 1, 2"
+            f"SELECT spx_strike, {_finite('e')} AS t, "
+            + ", ".join(f"{_finite(f'avg({g})')} AS {g}" for g in GREEKS)
+            + f" FROM (SELECT *, {EXPIRY} AS e FROM live) GROUP BY spx_strike, e"
         ),
         "vanna": STRIKE_MEANS.format(metric="vanna", src="live"),
         "charm": STRIKE_MEANS.format(metric="charm", src="live"),
@@ -281,7 +283,8 @@ def oracle_queries() -> dict[str, str]:
         "correlation_long": _correlation("live") + " SELECT * FROM long",
         "correlation_matrix": _correlation("live") + " " + _matrix(),
         "correlation_labels": _correlation("live") + LABELS,
-        "pulling_stacking": f"{PS} {PS_ORDER.format(d='')} LIMIT 10000",
+        "pulling_stacking": PS,
+        "first_events": f"{PS} {PS_ORDER.format(d='')} LIMIT 1000",
         "ps_events": f"{PS} WHERE MBO_pulling_stacking <> 0",
         "ps_split": (
             "SELECT timestamp, spx_price, MBO_pulling_stacking,"
@@ -307,30 +310,65 @@ def oracle_queries() -> dict[str, str]:
         "snapshot_net_flow": NET_FLOW.format(width="5 seconds", src="whole"),
         "snapshot_spread": SPREAD.format(width="5 seconds", src="flow"),
         "snapshot_heatmap": (
-            HEATMAP.format(width="5 seconds", src="whole") + " ORDER BY time_bucket, future_strike LIMIT 5000"
+            HEATMAP.format(width="5 seconds", src="whole")
         ),
         "snapshot_depth": DEPTH.format(src="whole"),
         "snapshot_theta": THETA.format(src="flow"),
         "snapshot_scatter": SCATTER.format(src="flow"),
         "snapshot_gex": GEX.format(src="whole"),
         "snapshot_gex_intraday": (
-            GEX_INTRADAY.format(width="5 seconds", src="whole") + " ORDER BY time_bucket LIMIT 1000"
+            GEX_INTRADAY.format(width="5 seconds", src="whole")
         ),
         "snapshot_vanna": STRIKE_MEANS.format(metric="vanna", src="flow"),
         "snapshot_charm": STRIKE_MEANS.format(metric="charm", src="flow"),
-        "snapshot_pulling_stacking": (
-            f"SELECT timestamp, spx_price, MBO_pulling_stacking FROM flow {PS_ORDER.format(d='')} LIMIT 10000"
-        ),
+        "snapshot_pulling_stacking": "SELECT timestamp, spx_price, MBO_pulling_stacking FROM flow",
     }
     sql |= {f"snapshot_surface_{g}": SURFACE.format(greek=g, src="flow") for g in CALL_GREEKS}
     values = SIZE_VALUES.format(sizes=SIZES, src="flow")
     sql["snapshot_histogram"] = f"SELECT mbo_value, count(*) AS occurrences FROM ({values}) GROUP BY 1"
-    limits = {**SNAPSHOT_LIMITS, **{f"surface_{g}": SNAPSHOT_LIMITS["surface"] for g in CALL_GREEKS}}
     counted = ["SELECT 'correlation' AS name, CAST(1 AS BIGINT) AS records"]
     for short in [n.removeprefix("snapshot_") for n in sql if n.startswith("snapshot_")]:
         name = f"vanna_charm_{short}" if short in ("vanna", "charm") else short
         rows = f"({sql[f'snapshot_{short}']})"
-        most = limits.get("vanna_charm" if short in ("vanna", "charm") else short, 10**12)
-        counted.append(f"SELECT '{name}', least(count(*), {most}) FROM {rows}")
+        counted.append(f"SELECT '{name}', count(*) FROM {rows}")
     sql["snapshot_export"] = " UNION ALL ".join(counted)
+    kept = ", ".join(f"{_finite(c)} AS {c}" if c in ("t", *GREEKS) else c for c in INGESTED_COLUMNS[:-1])
+    firsts = COARSE.format(greeks=greeks, rank="")
+    first, rest = firsts.split("SELECT * EXCLUDE (event_id, event_type)")
+    merged = COARSE.format(greeks=greeks, rank=existing_first).split("SELECT * EXCLUDE (event_id, event_type)")[1]
+    long = _correlation("live")
+    sql |= {
+        "append_existing": f"{first} SELECT {kept} {merged}",
+        "create_flow": f"{first} SELECT {kept} {rest}",
+        "ledger_rerun": (
+            f", kept AS (SELECT DISTINCT CAST(timestamp AS DATE), Side, future_strike FROM flow),"
+            " n AS (SELECT (SELECT count(*) FROM flow) AS whole, (SELECT count(*) FROM kept) AS firsts)"
+            " SELECT 0 AS run, 1 AS files, whole AS read, firsts AS appended FROM n"
+            " UNION ALL SELECT 1, 0, 0, 0 UNION ALL SELECT 2, 1, whole, 0 FROM n"
+        ),
+        "list_files": " SELECT 'Side=Bid' AS folder, count(DISTINCT Side) AS files FROM flow WHERE Side = 'Bid'",
+        "snapshot_files": GEX.format(src="whole"),
+        "matrix_record": long + " SELECT greek_i, greek_j, r FROM long",
+        "write_extract": (
+            f"SELECT *, 'json' AS format FROM ({PS} WHERE Side = 'Ask')"
+            f" UNION ALL SELECT *, 'csv' FROM ({PS} WHERE Side = 'Ask')"
+        ),
+        "schema_issues": """
+SELECT 'put_rho' AS "column", 'missing_column' AS "check", CAST(1 AS BIGINT) AS n_bad, NULL AS sample
+UNION ALL SELECT 't', 'type_mismatch', 1, 'string'
+UNION ALL SELECT 'timestamp', 'null_key', count(*), NULL FROM flow WHERE timestamp IS NULL
+UNION ALL SELECT 'Side', 'null_key', count(*), NULL FROM flow WHERE Side IS NULL
+UNION ALL SELECT 'MBO', 'bad_json', count(*), min(MBO) FROM flow WHERE NOT json_valid(MBO)""",
+        "non_finite": f"SELECT event_id, {_finite('t')} AS t, {_finite('call_vomma')} AS call_vomma FROM flow",
+        "validation_abort": (
+            "SELECT 'future_strike: bad_cast x' || count(*) || ' (''s'')' AS message, false AS written"
+            " FROM flow WHERE event_type = 'error'"
+        ),
+        "minute_quarantine": f"""
+SELECT CAST(file AS VARCHAR) AS path, CASE file % 6 WHEN 1 THEN 'unreadable spx_price' WHEN 2 THEN 'unreadable MBO'
+  WHEN 3 THEN 'unreadable timestamp' WHEN 4 THEN 'missing columns: put_rho' END AS error
+FROM (SELECT event_id // {QUARANTINE_FILE_EVENTS} AS file FROM flow
+  WHERE timestamp IS NOT NULL AND event_id % {QUARANTINE_FILE_EVENTS} = 123) WHERE file % 6 BETWEEN 1 AND 4""",
+        "minute_stream": f"SELECT {kept} FROM whole{FIRST_PER_KEY}",
+    }
     return {name: BASE + text for name, text in sql.items()}

@@ -10,6 +10,7 @@ from tapeglass.operators.dedup import dedup_first, merge_new, merged_table
 from tapeglass.operators.filters import ALL_ROWS, FlowFilter, apply_filters
 from tapeglass.operators.greeks import (
     gex,
+    gex_cells,
     gex_intraday,
     scatter,
     surface,
@@ -18,7 +19,7 @@ from tapeglass.operators.greeks import (
     vanna_charm,
 )
 from tapeglass.operators.levels import gex_flip, gex_levels, gex_profile
-from tapeglass.operators.ordering import first_events, last_n
+from tapeglass.operators.ordering import first_events, last_events, last_n
 from tapeglass.operators.signals import (
     basis,
     kpi,
@@ -27,11 +28,13 @@ from tapeglass.operators.signals import (
     pulling_stacking,
     recent_pulling_stacking,
 )
-from tapeglass.operators.validation import ValidationError, bad_sides, validation_report
+from tapeglass.operators.validation import ValidationError, bad_sides, schema_issues, validation_report
 from tapeglass.operators.volume import (
     depth,
+    depth_cells,
     depth_ladder,
     heatmap,
+    heatmap_cells,
     histogram_bins,
     histogram_values,
     size_counts,
@@ -39,7 +42,7 @@ from tapeglass.operators.volume import (
     volume_over_time,
 )
 from tapeglass.plans.extract import extract, write_extract
-from tapeglass.plans.snapshot import export_snapshot, snapshot_queries
+from tapeglass.plans.snapshot import SMALL_LIMITS, export_snapshot, snapshot_queries
 from tapeglass.session import build_session
 from tapeglass.sources.csv_files import ingest_csv, scan_csv
 from tapeglass.sources.flow_table import append_flow, create_flow, read_flow

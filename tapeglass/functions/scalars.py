@@ -35,9 +35,11 @@ def es_points(scale: float) -> str:
 def expiry_4() -> Column:
     """Time to expiry rounded to four places, halves away from zero.
 
-    Plain double arithmetic: `round` on a FLOAT goes through a decimal object per row.
+    Plain double arithmetic: `round` on a FLOAT goes through a decimal object per row. Values too large to have
+    decimal places, infinities and NaN stay as they are.
     """
-    return F.expr("CAST(signum(t) * floor(abs(t) * 10000D + 0.5D) / 10000D AS FLOAT) AS t")
+    rounded = "CAST(signum(t) * floor(abs(t) * 10000D + 0.5D) / 10000D AS FLOAT)"
+    return F.expr(f"CASE WHEN abs(t) < 1e9D THEN {rounded} ELSE t END AS t")
 
 
 def measures(**columns: str) -> list[Column]:

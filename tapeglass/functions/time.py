@@ -16,10 +16,14 @@ SESSION_CLOSE = "16:15:00"
 # Buckets are aligned to Monday 2000-01-03, day 10959 after 1970-01-01.
 BUCKET_ORIGIN_DAY = 10959
 
+# Text of timestamps in written files; by default writers stop at milliseconds.
+FILE_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def wall_clock(instant: Column) -> Column:
-    """New York wall clock (TIMESTAMP_NTZ) of an instant (TIMESTAMP)."""
-    return F.convert_timezone(None, F.lit(MARKET_ZONE), instant)
+    """New York wall clock (TIMESTAMP_NTZ) of an instant (TIMESTAMP), whatever zone the session is in."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(MARKET_ZONE), utc)
 
 
 def wall_literal(value: str | datetime) -> datetime:
@@ -58,7 +62,7 @@ def in_session(
 def time_bucket(
     wall: str = "timestamp", minutes: int | None = None, seconds: int | None = None
 ) -> Column:
-    """Start of the fixed-width bucket that holds `wall`."""
+    """Start of the fixed-width bucket that holds `wall`; NULL for a NULL time, whose rows stay."""
     if (minutes is None) == (seconds is None):
         raise ValueError("give the bucket width either in minutes or in seconds")
     width = seconds if seconds is not None else minutes * 60
@@ -66,4 +70,7 @@ def time_bucket(
         raise ValueError("the bucket width must be positive")
     offset = BUCKET_ORIGIN_DAY * 86400 % width
     span = f"'{width} seconds'"
-    return F.expr(f"window({wall}, {span}, {span}, '{offset} seconds').start")
+    # window() drops rows without a time, so it never sees one.
+    timed = f"coalesce({wall}, TIMESTAMP_NTZ '2000-01-03 00:00:00')"
+    start = f"window({timed}, {span}, {span}, '{offset} seconds').start"
+    return F.expr(f"CASE WHEN {wall} IS NOT NULL THEN {start} END")

@@ -15,7 +15,7 @@ METRICS = ["vanna", "charm"]
 
 
 def surface(
-    flow: DataFrame, greek: str = "call_vega", f: FlowFilter | None = None, limit: int | None = 5000
+    flow: DataFrame, greek: str = "call_vega", f: FlowFilter | None = None, limit: int | None = None
 ) -> DataFrame:
     """Mean of one greek by (spx_strike, t rounded to four places)."""
     if greek not in GREEKS:
@@ -34,7 +34,7 @@ def surface_all(
 
 
 def vanna_charm(
-    flow: DataFrame, metric: str = "vanna", f: FlowFilter | None = None, limit: int | None = 1000
+    flow: DataFrame, metric: str = "vanna", f: FlowFilter | None = None, limit: int | None = None
 ) -> DataFrame:
     """Mean call and put vanna (or charm) by strike."""
     if metric not in METRICS:
@@ -45,7 +45,7 @@ def vanna_charm(
     return ordered(means, ["spx_strike"], limit, 10000)
 
 
-def theta(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000) -> DataFrame:
+def theta(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = None) -> DataFrame:
     """Mean call and put theta by (spx_strike, t rounded to four places)."""
     means = apply_filters(flow, f).groupBy("spx_strike", expiry_4()).agg(
         *measures(call_theta="avg(call_theta)", put_theta="avg(put_theta)")
@@ -53,7 +53,7 @@ def theta(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000
     return ordered(means, ["spx_strike", "t"], limit, 50000)
 
 
-def scatter(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 5000) -> DataFrame:
+def scatter(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = None) -> DataFrame:
     """Mean call vega, mean call vomma and event count by strike."""
     means = apply_filters(flow, f).groupBy("spx_strike").agg(
         *measures(call_vega="avg(call_vega)", call_vomma="avg(call_vomma)", mbo_count="count(*)")
@@ -72,17 +72,21 @@ def gex_measures() -> list[Column]:
     )
 
 
-def gex(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 500) -> DataFrame:
+def gex_cells(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
+    """Gamma exposure by strike, in no order."""
+    return with_mbo_size(apply_filters(flow, f)).groupBy("spx_strike").agg(*gex_measures())
+
+
+def gex(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = None) -> DataFrame:
     """Gamma exposure by strike: call gamma times size, Bid rows long, Ask rows short."""
-    sized = with_mbo_size(apply_filters(flow, f))
-    return ordered(sized.groupBy("spx_strike").agg(*gex_measures()), ["spx_strike"], limit, 5000)
+    return ordered(gex_cells(flow, f), ["spx_strike"], limit, 5000)
 
 
 def gex_intraday(
     flow: DataFrame,
     f: FlowFilter | None = None,
     bucket_minutes: int = 5,
-    limit: int | None = 1000,
+    limit: int | None = None,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Gamma exposure by time bucket."""

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapeglass.functions.scalars import finite_or_null
-
-# A plain top-N sends up to N rows per input partition to one task; beyond this many, cut by time first.
-PLAIN_TOP_N_ROWS = 20_000_000
-
-# Fixed widths of the successive cuts: minutes of the table, milliseconds of one minute, microseconds of one millisecond.
-CUT_WIDTHS = ["1 minute", "1 millisecond", "1 microsecond"]
+from tapeglass.functions.time import time_bucket
 
 
 def check_range(name: str, value: int, low: int, high: int) -> None:
@@ -26,61 +21,63 @@ def ordered(df: DataFrame, by: list[str], limit: int | None, most: int) -> DataF
     return df if limit is None else df.limit(limit)
 
 
-def _scan_partitions(df: DataFrame) -> int:
-    """Input partitions to expect, from the size that the optimizer knows."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per_partition = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return size // max(per_partition, 1) + 1
+def _cut_minute(df: DataFrame, n: int, last: bool, time: str) -> Column:
+    """Start of the minute that holds the n-th timed event from the front or the back, as a scalar subquery.
+
+    Events are counted per minute before the shuffle. The running sums go over one row per day and then over the
+    minutes of one day. With fewer than n timed events it is the farthest minute; NULL without any.
+    """
+
+    def nearest(bucket: str) -> Column:
+        return F.desc(bucket) if last else F.asc(bucket)
 
+    def reached(counts: DataFrame, bucket: str, wanted: Column) -> DataFrame:
+        """Buckets up to the one that holds the wanted event, with the events before each."""
+        running = Window.orderBy(nearest(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("events").over(running), F.lit(0))
+        return counts.withColumn("before", before).where(F.col("before") < wanted)
 
-def _bucket_of_nth(counts: DataFrame, n: int, last: bool) -> Row | None:
-    """The (bucket, count, seen) row that holds the n-th event from the front or the back."""
-    nearest = F.desc("bucket") if last else F.asc("bucket")
-    running = Window.orderBy(nearest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = counts.withColumn("seen", F.sum("count").over(running))
-    return seen.where(F.col("seen") >= n).orderBy(nearest).first()
+    timed = df.where(F.col(time).isNotNull())
+    minutes = timed.groupBy(time_bucket(time, minutes=1).alias("minute")).agg(F.count(F.lit(1)).alias("events"))
+    days = minutes.groupBy(F.to_date("minute").alias("day")).agg(F.sum("events").alias("events"))
+    farthest = F.min_by if last else F.max_by
+    day = reached(days, "day", F.lit(n)).agg(
+        farthest("day", "day").alias("day"), farthest("before", "day").alias("day_before")
+    )
+    inside = minutes.join(F.broadcast(day), F.to_date("minute") == F.col("day"))
+    rows = reached(inside, "minute", F.lit(n) - F.col("day_before"))
+    return rows.agg((F.min if last else F.max)("minute").alias("cut")).scalar()
 
 
 def cut_by_time(df: DataFrame, n: int, last: bool = False, time: str = "timestamp") -> DataFrame:
-    """A superset of the first (or last) `n` rows by `time`, cut at the exact n-th timestamp.
+    """A superset of the first (or last) `n` rows by `time`, whole minutes up to the one of the n-th row.
 
-    Counts per date partition, where there are any, then per minute, millisecond and microsecond inside the
-    bucket found before narrow the n-th row down. Each step reads the one time column, keeps one count per
-    bucket and returns one row, so no task ever holds more than the counts. Rows without a time are kept only
-    when the table has fewer than `n` timed rows.
+    `time` is a TIMESTAMP_NTZ. The cut is part of the plan: it reads the time column once more and is found when
+    the result runs, for any size alike. Where there is a `date` column it prunes partitions. Rows without a time
+    stay, since they come last in either direction.
     """
-    scope, missing = df.where(F.col(time).isNotNull()), n
+    cut = _cut_minute(df, n, last, time)
+    upto = cut + F.expr("INTERVAL '1' MINUTE")
+    kept = F.col(time) >= cut if last else F.col(time) < upto
+    df = df.where(kept | F.col(time).isNull())
     if "date" in df.columns:
-        found = _bucket_of_nth(scope.groupBy(F.col("date").alias("bucket")).count(), missing, last)
-        if found is None:
-            return df
-        missing -= found.seen - found["count"]
-        scope = scope.where(F.col("date") == F.lit(found.bucket))
-        df = df.where(F.col("date") >= found.bucket if last else F.col("date") <= found.bucket)
-    for width in CUT_WIDTHS:
-        per_bucket = scope.select(F.window(time, width).alias("w")).groupBy("w").count()
-        counts = per_bucket.selectExpr("w.start AS bucket", "w.end AS upto", "count")
-        found = _bucket_of_nth(counts, missing, last)
-        if found is None:
-            return df
-        missing -= found.seen - found["count"]
-        low, high = (F.lit(at.isoformat()).cast("timestamp_ntz") for at in (found.bucket, found.upto))
-        scope = scope.where((F.col(time) >= low) & (F.col(time) < high))
-    return df.where(F.col(time) >= low) if last else df.where(F.col(time) < high)
+        day = F.to_date(cut)
+        in_days = F.col("date") >= day if last else F.col("date") <= day
+        df = df.where(in_days | F.col("date").isNull())
+    return df
 
 
 def first_events(df: DataFrame, n: int, by: list[str]) -> DataFrame:
     """The first `n` raw rows in the order `by`, whose first column is the time."""
-    return _edge_events(df, n, [F.col(name).asc_nulls_last() for name in by], by[0], last=False)
+    return cut_by_time(df, n, False, by[0]).orderBy([F.col(name).asc_nulls_last() for name in by]).limit(n)
 
 
-def last_n(df: DataFrame, n: int, by: list[str]) -> DataFrame:
-    """The last `n` rows in the order `by`, returned in that order."""
-    tail = _edge_events(df, n, [F.col(name).desc_nulls_last() for name in by], by[0], last=True)
-    return tail.orderBy([F.col(name).asc_nulls_last() for name in by])
+def last_events(df: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """The last `n` raw rows in the order `by`, whose first column is the time, returned in that order."""
+    return last_n(cut_by_time(df, n, True, by[0]), n, by)
 
 
-def _edge_events(df: DataFrame, n: int, order: list[Column], time: str, last: bool) -> DataFrame:
-    if _scan_partitions(df) * n > PLAIN_TOP_N_ROWS:
-        df = cut_by_time(df, n, last, time)
-    return df.orderBy(order).limit(n)
+def last_n(df: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """The last `n` rows of a grouped result in the order `by`, returned in that order."""
+    tail = df.orderBy([F.col(name).desc_nulls_last() for name in by]).limit(n)
+    return tail.orderBy([F.col(name).asc_nulls_last() for name in by])

@@ -8,7 +8,7 @@ from tapeglass.functions.mbo import with_mbo_size
 from tapeglass.functions.scalars import PS_EVENT, es_points, finite_or_null, measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.greeks import bucket_column
-from tapeglass.operators.ordering import check_range, first_events, last_n, ordered
+from tapeglass.operators.ordering import check_range, first_events, last_events, ordered
 
 PS_COLUMNS = ["timestamp", "spx_price", "MBO_pulling_stacking"]
 PS_ORDER = ["timestamp", "Side", "future_strike"]
@@ -62,7 +62,7 @@ def basis(
     flow: DataFrame,
     f: FlowFilter | None = None,
     bucket_minutes: int = 1,
-    limit: int | None = 5000,
+    limit: int | None = None,
     es_scale: float = 100.0,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
@@ -85,7 +85,7 @@ def net_flow(
     flow: DataFrame,
     f: FlowFilter | None = None,
     bucket_minutes: int = 1,
-    limit: int | None = 5000,
+    limit: int | None = None,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Delta-weighted size by time bucket: call, put and net."""
@@ -106,17 +106,21 @@ def _ps_events(flow: DataFrame, f: FlowFilter | None, only_events: bool) -> Data
 def pulling_stacking(
     flow: DataFrame,
     f: FlowFilter | None = None,
-    limit: int | None = 10000,
+    limit: int | None = None,
     only_events: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
-    """Time, price and pulling/stacking mark in time order; `only_events` drops the rows marked 0."""
+    """Time, price and pulling/stacking mark; `only_events` drops the rows marked 0.
+
+    All rows by default, sorted by time if `in_order` asks for it; with a limit the earliest ones in time order.
+    """
     events = _ps_events(flow, f, only_events)
-    if limit is None:
-        rows = events.orderBy([F.col(name).asc_nulls_last() for name in PS_ORDER])
-    else:
+    if limit is not None:
         check_range("limit", limit, 1, 100000)
-        rows = first_events(events, limit, PS_ORDER)
-    return finite_or_null(rows.select(PS_COLUMNS))
+        events = first_events(events, limit, PS_ORDER)
+    elif in_order:
+        events = events.orderBy([F.col(name).asc_nulls_last() for name in PS_ORDER])
+    return finite_or_null(events.select(PS_COLUMNS))
 
 
 def recent_pulling_stacking(
@@ -124,7 +128,7 @@ def recent_pulling_stacking(
 ) -> DataFrame:
     """The last `n` rows of the pulling/stacking series, in time order."""
     events = _ps_events(flow, f, only_events)
-    return finite_or_null(last_n(events, n, PS_ORDER).select(PS_COLUMNS))
+    return finite_or_null(last_events(events, n, PS_ORDER).select(PS_COLUMNS))
 
 
 def ps_split(ps: DataFrame) -> DataFrame:

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, types as T
 
 from tapeglass.functions.mbo import PARSED_SIZES, parse_sizes
 from tapeglass.functions.scalars import measures
-from tapeglass.schema import FLOW_SCHEMA, SIDES
+from tapeglass.schema import FLOW_SCHEMA, KEY, SIDES
 
 REPORT_SCHEMA = "column string, check string, n_bad bigint, sample string"
+# Fixed format of timestamps in files: date, T, time, maybe a fraction, offset. Anything else, like a time alone or
+# a text without offset, would be read as some instant that depends on the day or the session.
+TIMESTAMP_FORMAT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?[+-][0-9]{2}:?[0-9]{2}$"
 CAST_FIELDS = [f for f in FLOW_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
 
 
@@ -36,6 +39,14 @@ def schema_issues(typed: DataFrame) -> list[tuple[str, str, int, str | None]]:
     return issues
 
 
+def cast_text(value: str, field: T.StructField) -> str:
+    """The text as the field's type; NULL if it cannot be read."""
+    cast = f"try_cast({value} AS {field.dataType.simpleString()})"
+    if isinstance(field.dataType, T.TimestampType):
+        return f"CASE WHEN {value} RLIKE '{TIMESTAMP_FORMAT}' THEN {cast} END"
+    return cast
+
+
 def cast_beside_raw(raw: DataFrame, *keep: str) -> DataFrame:
     """The typed columns, the parsed sizes and the columns as read under `raw`: every value is cast once.
 
@@ -43,10 +54,16 @@ def cast_beside_raw(raw: DataFrame, *keep: str) -> DataFrame:
     """
     present = [f for f in FLOW_SCHEMA.fields if f.name in raw.columns]
     sizes = [f"{PARSED_SIZES} AS mbo_sizes"] if "MBO" in raw.columns else []
+    texts = {name for name, kind in raw.dtypes if kind == "string"}
+
+    def cast(field: T.StructField) -> str:
+        typed = f"try_cast({field.name} AS {field.dataType.simpleString()})"
+        return cast_text(field.name, field) if field.name in texts else typed
+
     return raw.selectExpr(
         *keep,
         f"struct({', '.join(f.name for f in present)}) AS raw",
-        *[f"try_cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in present],
+        *[f"{cast(f)} AS {f.name}" for f in present],
         *sizes,
     )
 
@@ -64,6 +81,10 @@ def row_checks(columns: list[str], with_raw: bool) -> dict[tuple[str, str], tupl
                 f"({text} IS NOT NULL AND {field.name} IS NULL)",
                 f"CAST({text} AS STRING)",
             )
+    for name in KEY:
+        if name in columns:
+            absent = f"raw.{name}" if with_raw else name
+            checks[name, "null_key"] = (f"({absent} IS NULL)", "CAST(NULL AS STRING)")
     if "Side" in columns:
         checks["Side", "side_domain"] = (BAD_SIDE, "Side")
     if "MBO" in columns:

@@ -11,22 +11,29 @@ from tapeglass.operators.greeks import bucket_column
 from tapeglass.operators.ordering import check_range, ordered
 
 
+def heatmap_cells(
+    flow: DataFrame, f: FlowFilter | None = None, bucket_minutes: int = 1, bucket_seconds: int | None = None
+) -> DataFrame:
+    """Total size by (time bucket, future strike), in no order."""
+    bucket = bucket_column(bucket_minutes, bucket_seconds)
+    sized = with_mbo_size(apply_filters(flow, f)).withColumn("time_bucket", bucket)
+    return sized.groupBy("time_bucket", "future_strike").agg(F.sum("mbo_size").alias("total_size"))
+
+
 def heatmap(
     flow: DataFrame,
     f: FlowFilter | None = None,
     bucket_minutes: int = 1,
-    limit: int | None = 5000,
+    limit: int | None = None,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Total size by (time bucket, future strike)."""
-    bucket = bucket_column(bucket_minutes, bucket_seconds)
-    sized = with_mbo_size(apply_filters(flow, f)).withColumn("time_bucket", bucket)
-    cells = sized.groupBy("time_bucket", "future_strike").agg(F.sum("mbo_size").alias("total_size"))
+    cells = heatmap_cells(flow, f, bucket_minutes, bucket_seconds)
     return ordered(cells, ["time_bucket", "future_strike"], limit, 50000)
 
 
 def volume_over_time(heatmap_df: DataFrame) -> DataFrame:
-    """Heatmap cells summed over strikes, NULL counted as 0."""
+    """Heatmap cells, best those of `heatmap_cells`, summed over strikes, NULL counted as 0."""
     total = measures(total_size="sum(coalesce(total_size, 0D))")
     return ordered(heatmap_df.groupBy("time_bucket").agg(*total), ["time_bucket"], None, 0)
 
@@ -44,8 +51,8 @@ def spread_measures() -> list[Column]:
 
 
 def spread_from_sides(sides: DataFrame) -> DataFrame:
-    """Spread and price of the buckets that hold both sides."""
-    return sides.where("ask_rows > 0 AND bid_rows > 0").selectExpr(
+    """Spread and price of the timed buckets that hold both sides."""
+    return sides.where("time_bucket IS NOT NULL AND ask_rows > 0 AND bid_rows > 0").selectExpr(
         "time_bucket", "ask_strike - bid_strike AS spread", "ask_spx_price AS spx_price"
     )
 
@@ -54,7 +61,7 @@ def spread(
     flow: DataFrame,
     f: FlowFilter | None = None,
     bucket_minutes: int = 1,
-    limit: int | None = 5000,
+    limit: int | None = None,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Mean ask strike minus mean bid strike by time bucket, with the mean price of the ask rows.
@@ -71,13 +78,17 @@ def spread(
     return ordered(spread_from_sides(sides), ["time_bucket"], limit, 50000)
 
 
-def depth(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = 2000) -> DataFrame:
-    """Event count and total size by (future strike, Side); strike bounds apply to the SPX strike."""
+def depth_cells(flow: DataFrame, f: FlowFilter | None = None) -> DataFrame:
+    """Event count and total size by (future strike, Side), in no order."""
     sized = with_mbo_size(apply_filters(flow, f))
-    book = sized.groupBy("future_strike", "Side").agg(
+    return sized.groupBy("future_strike", "Side").agg(
         *measures(event_count="count(*)", total_size="sum(mbo_size)")
     )
-    return ordered(book, ["future_strike", "Side"], limit, 20000)
+
+
+def depth(flow: DataFrame, f: FlowFilter | None = None, limit: int | None = None) -> DataFrame:
+    """Event count and total size by (future strike, Side); strike bounds apply to the SPX strike."""
+    return ordered(depth_cells(flow, f), ["future_strike", "Side"], limit, 20000)
 
 
 def depth_ladder(depth_df: DataFrame, top: int = 40) -> DataFrame:

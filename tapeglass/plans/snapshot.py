@@ -1,6 +1,6 @@
 """All queries with the snapshot settings, exported as JSON with a manifest.
 
-Snapshot settings: no session filter, 5-second buckets, the limits below. Queries that group alike share one
+Snapshot settings: no session filter, 5-second buckets, no limits unless given. Queries that group alike share one
 pass: the table is read eight times (twice for the correlation) for 23 results, and every
 shared pass ends in a small frame.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from tapeglass.functions.mbo import with_mbo_size
 from tapeglass.functions.scalars import expiry_4, measures
-from tapeglass.functions.time import time_bucket
+from tapeglass.functions.time import FILE_TIMES, time_bucket
 from tapeglass.operators.correlation import correlation, matrix_record
 from tapeglass.operators.filters import ALL_ROWS, FlowFilter, apply_filters
 from tapeglass.operators.greeks import METRICS, gex_measures
@@ -29,9 +29,9 @@ from tapeglass.operators.signals import (
 from tapeglass.operators.volume import heatmap, size_counts, spread_from_sides, spread_measures
 from tapeglass.schema import CALL_GREEKS
 
-# Bucket width and row limits of the snapshot.
+# Bucket width, and row limits for a snapshot that is to be small.
 BUCKET_SECONDS = 5
-LIMITS = {
+SMALL_LIMITS = {
     "pulling_stacking": 10000,
     "heatmap": 5000,
     "depth": 2000,
@@ -79,8 +79,13 @@ def snapshot_queries(
     flow: DataFrame,
     f: FlowFilter = ALL_ROWS,
     keep: Callable[[DataFrame], DataFrame] = lambda panel: panel,
+    limits: dict[str, int] | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The 23 results by name, each built when called; `keep` is applied to the panels they share."""
+    """The 23 results by name, each built when called; `keep` is applied to the panels they share.
+
+    Results are whole; `limits`, such as SMALL_LIMITS, keeps the first rows of the results it names.
+    """
+    most = (limits or {}).get
 
     @cache
     def buckets() -> DataFrame:
@@ -97,12 +102,12 @@ def snapshot_queries(
     def by_bucket(*columns: str, limit: int | None = None) -> DataFrame:
         return ordered(buckets().select("time_bucket", *columns), ["time_bucket"], limit, 10000)
 
-    def by_expiry(limit: int, **means: str) -> DataFrame:
+    def by_expiry(limit: int | None, **means: str) -> DataFrame:
         columns = [f"try_divide(sum_{c}, n_{c}) AS {name}" for name, c in means.items()]
         rows = expiries().selectExpr("spx_strike", "t", *columns)
         return ordered(rows, ["spx_strike", "t"], limit, 50000)
 
-    def by_strike(limit: int, **columns: str) -> DataFrame:
+    def by_strike(limit: int | None, **columns: str) -> DataFrame:
         rows = expiries().groupBy("spx_strike").agg(*measures(**columns))
         return ordered(rows, ["spx_strike"], limit, 50000)
 
@@ -112,50 +117,52 @@ def snapshot_queries(
     def depth() -> DataFrame:
         sums = measures(event_count="sum(events)", total_size="sum(size)")
         rows = pairs().groupBy("future_strike", "Side").agg(*sums)
-        return ordered(rows, ["future_strike", "Side"], LIMITS["depth"], 20000)
+        return ordered(rows, ["future_strike", "Side"], most("depth"), 20000)
 
     exposure = {name: f"sum({name})" for name in ("long_gex", "short_gex", "net_gex")}
     queries = {
         "kpi": lambda: kpi_from_strikes(pairs()),
         "basis": lambda: by_bucket("es_price", "spx_price", "basis"),
-        "pulling_stacking": lambda: pulling_stacking(flow, f, LIMITS["pulling_stacking"]),
+        "pulling_stacking": lambda: pulling_stacking(flow, f, most("pulling_stacking"), in_order=True),
         "net_flow": lambda: by_bucket("call_delta_flow", "put_delta_flow", "net_delta"),
-        "heatmap": lambda: heatmap(flow, f, limit=LIMITS["heatmap"], bucket_seconds=BUCKET_SECONDS),
+        "heatmap": lambda: heatmap(flow, f, limit=most("heatmap"), bucket_seconds=BUCKET_SECONDS),
         # Counts per size instead of a few sizes in no order: complete, and still small.
         "histogram": lambda: size_counts(flow, f).orderBy("mbo_value"),
         "spread": lambda: ordered(spread_from_sides(buckets()), ["time_bucket"], None, 0),
         "depth": depth,
     }
     for greek in CALL_GREEKS:
-        queries[f"surface_{greek}"] = partial(by_expiry, LIMITS["surface"], greek_value=greek)
+        queries[f"surface_{greek}"] = partial(by_expiry, most("surface"), greek_value=greek)
     for metric in METRICS:
         queries[f"vanna_charm_{metric}"] = partial(
             by_strike,
-            LIMITS["vanna_charm"],
+            most("vanna_charm"),
             call_value=mean(f"call_{metric}"),
             put_value=mean(f"put_{metric}"),
         )
     queries |= {
         "theta": partial(
-            by_expiry, LIMITS["theta"], call_theta="call_theta", put_theta="put_theta"
+            by_expiry, most("theta"), call_theta="call_theta", put_theta="put_theta"
         ),
         "scatter": partial(
             by_strike,
-            LIMITS["scatter"],
+            most("scatter"),
             call_vega=mean("call_vega"),
             call_vomma=mean("call_vomma"),
             mbo_count="sum(events)",
         ),
-        "gex": partial(by_strike, LIMITS["gex"], spx_price=mean("spx_price"), **exposure),
+        "gex": partial(by_strike, most("gex"), spx_price=mean("spx_price"), **exposure),
         "gex_intraday": lambda: by_bucket(
-            "spx_price", "net_gex", "long_gex", "short_gex", limit=LIMITS["gex_intraday"]
+            "spx_price", "net_gex", "long_gex", "short_gex", limit=most("gex_intraday")
         ),
         "correlation": lambda: matrix_record(correlation(flow, f)),
     }
     return queries
 
 
-def export_snapshot(flow: DataFrame, out_dir: str, f: FlowFilter = ALL_ROWS) -> DataFrame:
+def export_snapshot(
+    flow: DataFrame, out_dir: str, f: FlowFilter = ALL_ROWS, limits: dict[str, int] | None = None
+) -> DataFrame:
     """Write every result as JSON lines under `out_dir/<name>`; return the manifest (name, records, bytes).
 
     Records are counted while they are written and sizes come from the file listing, so no result is
@@ -168,18 +175,20 @@ def export_snapshot(flow: DataFrame, out_dir: str, f: FlowFilter = ALL_ROWS) ->
         panels.append(panel.persist())
         return panel
 
-    for name, build in snapshot_queries(flow, f, keep).items():
-        counted = Observation(name)
-        (
-            build()
-            .observe(counted, F.count(F.lit(1)).alias("records"))
-            .write.mode("overwrite")
-            .option("ignoreNullFields", "false")
-            .json(f"{out_dir}/{name}")
-        )
-        records.append((name, counted.get["records"]))
-    for panel in panels:
-        panel.unpersist()
+    try:
+        for name, build in snapshot_queries(flow, f, keep, limits).items():
+            counted = Observation(name)
+            (
+                build()
+                .observe(counted, F.count(F.lit(1)).alias("records"))
+                .write.mode("overwrite")
+                .options(**FILE_TIMES, ignoreNullFields="false")
+                .json(f"{out_dir}/{name}")
+            )
+            records.append((name, counted.get["records"]))
+    finally:
+        for panel in panels:
+            panel.unpersist()
     sizes = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -41,10 +42,15 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared folder the session names in `spark.checkpoint.dir`."""
+    """A new folder name under the shared folder the session names in `spark.checkpoint.dir`.
+
+    On one machine, and only there, a temporary folder stands in when the setting is missing.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/tapeglass/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -61,7 +61,7 @@ def read_flow(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stage_rows(rows: DataFrame, folder: str) -> dict:
-    """Write the rows of one ingest to scratch files by date; return what was observed on the way.
+    """Write the rows of one ingest to scratch files; return what was observed on the way.
 
     `rows` holds the 25 columns as read, the input order and `_error`. They are read, cast and checked once;
     everything that follows works on the staged files, so a lost executor repeats tasks over those only.
@@ -78,15 +78,16 @@ def stage_rows(rows: DataFrame, folder: str) -> dict:
         seen, *measures(rows="count(*)", bad_rows="count(_findings)")
     )
     with session_conf(rows.sparkSession, WRITE_CONF):
-        staged.select(STAGED_SCHEMA.fieldNames()).write.partitionBy("date").parquet(folder)
+        staged.select(STAGED_SCHEMA.fieldNames()).write.parquet(folder)
     return seen.get
 
 
 def _touched(existing: DataFrame, staged: DataFrame) -> DataFrame:
     """Rows of the existing table that can share a key with staged rows: same dates, same time range.
 
-    One row per calendar date comes to the driver. The bounds become partition filters and row-group filters,
-    so a batch that brings new minutes reads next to nothing of the table.
+    One row per calendar date comes to the driver. The dates and the outermost times become partition filters and
+    row-group filters; each date is then held against its own times, so a batch with the close of one day and the
+    open of the next keeps neither day whole.
     """
     ranges = (
         staged.groupBy("date")
@@ -105,7 +106,14 @@ def _touched(existing: DataFrame, staged: DataFrame) -> DataFrame:
         )
     if len(dated) < len(ranges):
         keep = keep | F.col("date").isNull()
-    return existing.where(keep)
+    days = existing.sparkSession.createDataFrame(
+        [tuple(r) for r in ranges], "_day date, _first long, _last long"
+    )
+    at = F.unix_micros("timestamp")
+    inside = F.col("date").eqNullSafe(F.col("_day")) & (
+        F.col("date").isNull() | ((at >= F.col("_first")) & (at <= F.col("_last")))
+    )
+    return existing.where(keep).join(F.broadcast(days), inside, "left_semi")
 
 
 def append_staged(spark: SparkSession, folder: str, path: str) -> int:

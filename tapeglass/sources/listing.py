@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,26 +17,34 @@ FILE_COLUMNS = "path string, length bigint, modificationTime timestamp"
 LEDGER_COLUMNS = "path string, ingested_at timestamp"
 
 
+def _path_pattern(glob: str) -> str:
+    """The regular expression of a glob: ** and the slash after it span folders, * and ? do not."""
+    parts = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
+    cut = re.split(r"(\*\*/|\*\*|\*|\?)", glob)
+    return "".join(parts.get(part, re.escape(part)) for part in cut)
+
+
 def list_files(
     spark: SparkSession, patterns: str | list[str], recursive: bool = False
 ) -> DataFrame:
     """The distinct files (path, length, modificationTime) that the paths and globs match.
 
-    Only the listing is read, no content. `**` stands for any depth of folders and may be followed by a file
-    name pattern. A pattern without a match is logged and left out.
+    Only the listing is read, no content. `**` stands for any depth of folders and may be followed by folders and
+    a file name pattern. A pattern without a match is logged and left out.
     """
     found = []
     for pattern in [patterns] if isinstance(patterns, str) else patterns:
-        folder, deep, name = pattern.partition("**")
-        name = name.strip("/")
-        if "/" in name:
-            raise ValueError(f"only a file name pattern may follow **: {pattern}")
+        folder, deep, below = pattern.partition("**")
+        below = below.strip("/")
+        name = below.rpartition("/")[2].replace("**", "*")
         reader = spark.read.format("binaryFile")
         reader = reader.option("recursiveFileLookup", str(recursive or bool(deep)).lower())
         if name:
             reader = reader.option("pathGlobFilter", name)
         try:
             files = reader.load(folder or ".")
+            if "/" in below:
+                files = files.where(F.col("path").rlike(f"/{_path_pattern(below)}$"))
             found.append(files.select("path", "length", "modificationTime"))
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":

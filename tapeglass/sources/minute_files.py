@@ -2,80 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tapeglass.schema import FLOW_SCHEMA, FLOW_COLUMNS
+from tapeglass.operators.validation import TIMESTAMP_FORMAT
+from tapeglass.schema import FLOW_COLUMNS, FLOW_SCHEMA
+
+# A file above either limit is set aside: it is one row, unpacked and parsed in one task.
+MAX_PACKED_BYTES = 128 << 20
+MAX_UNPACKED_BYTES = 1 << 30
+
+# Values as they stand in the file, so that nothing is lost before it is checked; lists and numbers are their text.
+RECORDS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
-# JSON numbers are read as doubles and cast afterwards, since 1 and 1.0 both stand for an integer column.
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            field.name,
-            T.ArrayType(T.DoubleType())
-            if field.name == "MBO"
-            else T.StringType()
-            if field.name in ("timestamp", "Side")
-            else T.DoubleType(),
-        )
-        for field in FLOW_SCHEMA.fields
-    ]
-)
 
+def _unpack(batches):
+    """The per-file step that Spark has no expression for: two gunzips."""
+    import gzip
+    import io
 
-def _unpacker(columns: list[str]) -> Callable:
-    """The per-file step that Spark has no expression for: two gunzips, unquoting, field presence."""
+    import pandas as pd
 
-    def unpack(batches):
-        import gzip
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            body, error = None, None
+            try:
+                if len(content) > MAX_PACKED_BYTES:
+                    raise ValueError(f"more than {MAX_PACKED_BYTES} bytes")
+                inner = gzip.GzipFile(fileobj=gzip.GzipFile(fileobj=io.BytesIO(content)))
+                unpacked = inner.read(MAX_UNPACKED_BYTES + 1)
+                if len(unpacked) > MAX_UNPACKED_BYTES:
+                    raise ValueError(f"more than {MAX_UNPACKED_BYTES} bytes unpacked")
+                body = unpacked.decode("utf-8")
+            except Exception as failure:
+                body, error = None, f"{type(failure).__name__}: {failure}"
+            yield pd.DataFrame({"path": [path], "body": [body], "error": [error]})
 
-        import pandas as pd
 
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                body, error = None, None
-                try:
-                    body = gzip.decompress(gzip.decompress(content)).decode("utf-8").strip()
-                    if body.startswith('"') and body.endswith('"'):
-                        body = body[1:-1].replace('\\"', '"')
-                    absent = [name for name in columns if f'"{name}"' not in body]
-                    if absent:
-                        body, error = None, f"missing columns: {', '.join(absent)}"
-                except Exception as failure:
-                    body, error = None, f"{type(failure).__name__}: {failure}"
-                yield pd.DataFrame({"path": [path], "body": [body], "error": [error]})
+def _array_text() -> Column:
+    """The JSON array without white space around it and without CSV quotes."""
+    body = "trim(BOTH ' \t\r\n' FROM body)"
+    unquoted = f"replace(substring({body}, 2, length({body}) - 2), '\\\\\"', '\"')"
+    return F.expr(f"CASE WHEN {body} LIKE '\"%\"' THEN {unquoted} ELSE {body} END")
 
-    return unpack
 
+def _number(value: Column, field: T.StructField) -> Column:
+    """1 and 1.0 both stand for an integer."""
+    whole = isinstance(field.dataType, T.IntegralType)
+    return (value.try_cast("double") if whole else value).try_cast(field.dataType)
 
-def _unparsed(record: Column, field: T.StructField) -> Column:
-    value = record[field.name]
-    return value.isNotNull() & value.try_cast(field.dataType).isNull()
+
+def _first_unreadable(record: Column) -> Column:
+    """Name of the first column of a record whose value does not fit the schema."""
+    reason = F.lit(None).cast("string")
+    for field in reversed(FLOW_SCHEMA.fields):
+        value = record[field.name]
+        if field.name == "MBO":
+            typed = F.from_json(value, "array<double>")
+        elif isinstance(field.dataType, T.TimestampType):
+            typed = F.when(value.rlike(TIMESTAMP_FORMAT), value.try_cast(field.dataType))
+        else:
+            typed = _number(value, field)
+        reason = F.when(value.isNotNull() & typed.isNull(), F.lit(field.name)).otherwise(reason)
+    return reason
 
 
 def decode_minute_files(files: DataFrame) -> DataFrame:
     """Rows of the files (path, content), 25 columns plus input order; a refused file gives one row.
 
-    A file is refused as a whole, with the reason in `_error`, when it cannot be unpacked, is no JSON array
-    of records, lacks a column or holds a timestamp that cannot be read. Files are independent: each is one
-    unit of work of about one minute of events, and nothing is shuffled.
+    A file is refused as a whole, with the reason in `_error`, when it cannot be unpacked or is too large, is no
+    JSON array of records, has a record without one of the columns, or holds a value that does not fit its column.
+    Numbers may be quoted. Files are independent: each is one unit of work of about one minute of events, and
+    nothing is shuffled.
     """
-    bodies = files.select("path", "content").mapInPandas(
-        _unpacker(FLOW_COLUMNS), "path string, body string, error string"
-    )
-    parsed = bodies.select(
-        "path", "error", F.from_json("body", T.ArrayType(RECORD_SCHEMA)).alias("records")
-    )
-    unreadable = F.exists("records", lambda r: _unparsed(r, FLOW_SCHEMA["timestamp"]))
+    bodies = files.select("path", "content").mapInPandas(_unpack, "path string, body string, error string")
+    parsed = bodies.select("path", "error", F.from_json(_array_text(), RECORDS).alias("records"))
+    columns = F.array(*[F.lit(name) for name in FLOW_COLUMNS])
+    absent = F.flatten(F.transform("records", lambda r: F.array_except(columns, F.map_keys(r))))
+    unreadable = F.get(F.filter(F.transform("records", _first_unreadable), lambda name: name.isNotNull()), F.lit(0))
+    found = parsed.withColumn("absent", F.array_join(F.array_distinct(absent), ", "))
+    no_records = F.col("records").isNull() | F.exists("records", lambda r: r.isNull())
     reason = (
         F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(F.col("records").isNull(), "not a JSON array of records")
-        .when(unreadable, "unreadable timestamp")
+        .when(no_records, "not a JSON array of records")
+        .when(F.col("absent") != "", F.concat(F.lit("missing columns: "), F.col("absent")))
+        .otherwise(F.concat(F.lit("unreadable "), unreadable))
     )
-    judged = parsed.select("path", "records", reason.alias("_error"))
+    judged = found.select("path", "records", reason.alias("_error"))
     # One empty record stands for a refused file, so that it reaches the quarantine.
-    nothing = F.array(F.lit(None).cast(RECORD_SCHEMA))
+    nothing = F.array(F.lit(None).cast(RECORDS.elementType))
     rows = judged.select(
         "path",
         "_error",
@@ -83,9 +97,11 @@ def decode_minute_files(files: DataFrame) -> DataFrame:
     )
     return rows.select(
         *[
-            F.coalesce(F.to_json("r.MBO"), F.when(F.col("_error").isNull(), "[]")).alias("MBO")
+            F.coalesce(F.col("r")[name], F.when(F.col("_error").isNull(), "[]")).alias("MBO")
             if name == "MBO"
-            else F.col(f"r.{name}").alias(name)
+            else _number(F.col("r")[name], FLOW_SCHEMA[name]).cast("string").alias(name)
+            if isinstance(FLOW_SCHEMA[name].dataType, T.IntegralType)
+            else F.col("r")[name].alias(name)
             for name in FLOW_COLUMNS
         ],
         F.col("path").alias("_file"),
