@@ -21,6 +21,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def hash60(text: Column) -> Column:
     """The first 60 bits of the MD5 of a text as a non-negative long, which other SQL engines compute alike."""
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")

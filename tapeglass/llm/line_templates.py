@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeglass.llm.common import hash60
+from tapeglass.llm.common import hash60, staged, unused
 
 MIN_DOCS = 3
 MIN_TOKENS = 4
@@ -23,51 +23,73 @@ LEADING = 2
 HALVED_TOKENS = 12
 
 
-def _tokens(line: Column) -> Column:
-    """Tokens between spaces, tabs and carriage returns, with runs of digits as <*>."""
-    plain = F.regexp_replace(F.regexp_replace(line, "[0-9]+", "<*>"), "[ \\t\\r]+", " ")
-    return F.split(F.trim(plain), " ")
+def _plain_lines(text: Column) -> Column:
+    """The lines of a text with runs of digits as <*> and one space between tokens."""
+    generalised = F.transform(F.split(text, "\n"), lambda line: F.regexp_replace(line, "[0-9]+", "<*>"))
 
+    def spaced(line: Column) -> Column:
+        uneven = line.contains("  ") | line.contains("\t") | line.contains("\r")
+        return F.trim(F.when(uneven, F.regexp_replace(line, "[ \\t\\r]+", " ")).otherwise(line))
 
-def _whole(tokens: Column) -> Column:
-    return hash60(F.concat(F.lit("whole "), F.size(tokens).cast("string"), F.lit(" "), F.array_join(tokens, " ")))
+    return F.transform(generalised, spaced)
 
 
-def _templates(tokens: Column, min_tokens: int) -> Column:
+def _size(plain: Column) -> Column:
+    """Number of tokens; an empty line counts as one."""
+    return F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
+
+
+def _whole(plain: Column) -> Column:
+    """Hash of the template without a wildcard half. It stands for the line: equal ones share all templates."""
+    return hash60(F.concat(F.lit("whole "), _size(plain).cast("string"), F.lit(" "), plain))
+
+
+def _templates(plain: Column, whole: Column, min_tokens: int) -> Column:
     """Hashes of the templates a line stands under; none for lines of too few tokens."""
-    size = F.size(tokens)
+    size = _size(plain)
     half = F.floor(size / 2).cast("int")
-    leaf = F.concat(size.cast("string"), F.lit(" "), F.array_join(F.slice(tokens, 1, LEADING), " "), F.lit(" "))
-    first = F.concat(F.lit("first "), leaf, F.array_join(F.slice(tokens, 1, half), " "))
-    second = F.concat(F.lit("second "), leaf, F.array_join(F.slice(tokens, half + 1, size - half), " "))
+
+    def tokens(count: Column) -> Column:
+        """So many tokens from the front, or from the back if negative."""
+        return F.call_function("substring_index", plain, F.lit(" "), count)
+
+    leaf = F.concat(size.cast("string"), F.lit(" "), tokens(F.lit(LEADING)), F.lit(" "))
+    first = F.concat(F.lit("first "), leaf, tokens(half))
+    second = F.concat(F.lit("second "), leaf, tokens(half - size))
     none = F.array().cast("array<bigint>")
     halves = F.when(size >= HALVED_TOKENS, F.array(hash60(first), hash60(second))).otherwise(none)
-    return F.when(size >= min_tokens, F.concat(F.array(_whole(tokens)), halves)).otherwise(none)
-
-
-def _line_templates(docs: DataFrame, key: str, text: str, min_tokens: int) -> DataFrame:
-    """(key, whole, least, second, templates): a row per line, with the document's two smallest line hashes."""
-    cut = docs.select(F.col(key), F.transform(F.split(F.col(text), "\n"), _tokens).alias("lines"))
-    hashes = F.array_sort(F.array_distinct(F.transform("lines", _whole)))
-    marked = cut.select(key, "lines", F.slice(hashes, 1, 2).alias("hashes"))
-    lines = marked.select(key, "hashes", F.explode("lines").alias("tokens"))
-    return lines.select(
-        key,
-        F.get("hashes", F.lit(0)).alias("least"),
-        F.get("hashes", F.lit(1)).alias("second"),
-        _whole(F.col("tokens")).alias("whole"),
-        _templates(F.col("tokens"), min_tokens).alias("templates"),
+    return F.when(size >= min_tokens, F.concat(F.array(whole), halves)).otherwise(none)
+
+
+def _lines(docs: DataFrame, min_tokens: int, key: str, text: str) -> DataFrame:
+    """(key, whole, document, templates): a row per line with templates, and what tells its document apart.
+
+    Staged, since the templates are counted first and then looked up.
+    """
+    cut = docs.select(F.col(key).alias("key"), _plain_lines(F.col(text)).alias("lines"))
+    hashed = cut.withColumn("hashes", F.transform("lines", _whole))
+    least = F.slice(F.array_sort(F.array_distinct("hashes")), 1, 2)
+    told = hashed.select("key", least.alias("least"), F.explode(F.arrays_zip("lines", "hashes")).alias("line"))
+    lines = told.select("key", "least", F.col("line.lines").alias("plain"), F.col("line.hashes").alias("whole"))
+    first, second = (F.get("least", F.lit(i)) for i in (0, 1))
+    other = F.coalesce(F.when(F.col("whole") == first, second).otherwise(first), F.lit(-1))
+    templates = _templates(F.col("plain"), F.col("whole"), min_tokens)
+    return staged(
+        lines.where(_size(F.col("plain")) >= min_tokens).select("key", "whole", other.alias("document"), templates.alias("templates")),
+        "line-templates",
     )
 
 
+def _recurring(lines: DataFrame, min_docs: int) -> DataFrame:
+    found = lines.select(F.explode("templates").alias("template"), "document").distinct()
+    return found.groupBy("template").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= min_docs)
+
+
 def recurring_templates(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(template, documents) of the templates found in at least `min_docs` documents that are no copies."""
-    lines = _line_templates(docs, key, text, min_tokens)
-    other = F.coalesce(F.when(F.col("whole") == F.col("least"), F.col("second")).otherwise(F.col("least")), F.lit(-1))
-    found = lines.select(F.explode("templates").alias("template"), other.alias("document")).distinct()
-    return found.groupBy("template").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= min_docs)
+    return _recurring(_lines(docs, min_tokens, key, text), min_docs)
 
 
 def without_recurring_lines(
@@ -79,24 +101,21 @@ def without_recurring_lines(
     line, NULL and empty ones included, are unchanged; a text of nothing else becomes empty. Rows with the same key,
     also NULL, are handled line by line alike; repeated rows are all kept. An empty table gives no rows.
     """
-    lines = _line_templates(docs, key, text, min_tokens)
-    templates = recurring_templates(docs, min_docs, min_tokens, key, text).select("template")
+    drops_key, dropped, kept_lines = (unused(docs, name) for name in ("drops_key", "dropped_hashes", "kept_lines"))
+    lines = _lines(docs, min_tokens, key, text)
+    templates = _recurring(lines, min_docs).select("template")
     drops = (
-        lines.select(F.col(key).alias("_key"), F.explode("templates").alias("template"))
+        lines.select("key", "whole", F.explode("templates").alias("template"))
         .join(templates, "template")
-        .groupBy("_key")
-        .agg(F.collect_set("template").alias("_drops"))
+        .groupBy(F.col("key").alias(drops_key))
+        .agg(F.collect_set("whole").alias(dropped))
     )
-    joined = docs.join(drops, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    joined = docs.join(drops, F.col(key).eqNullSafe(F.col(drops_key)), "left").drop(drops_key)
     own = F.split(F.col(text), "\n")
-
-    def stays(line: Column) -> Column:
-        found = F.transform(F.array(_tokens(line)), lambda t: F.arrays_overlap(_templates(t, min_tokens), F.col("_drops")))
-        return ~found[0]
-
-    kept = F.filter(own, stays)
-    changed = joined.withColumn("_kept", F.when(F.col("_drops").isNotNull(), kept))
+    pairs = F.arrays_zip(own.alias("line"), F.transform(_plain_lines(F.col(text)), _whole).alias("whole"))
+    kept = F.filter(pairs, lambda pair: ~F.array_contains(F.col(dropped), pair["whole"]))
+    changed = joined.withColumn(kept_lines, F.when(F.col(dropped).isNotNull(), F.transform(kept, lambda pair: pair["line"])))
     return changed.withColumns({
-        "dropped_lines": F.coalesce(F.size(own) - F.size("_kept"), F.lit(0)).cast("long"),
-        text: F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")),
-    }).drop("_drops", "_kept")
+        "dropped_lines": F.coalesce(F.size(own) - F.size(kept_lines), F.lit(0)).cast("long"),
+        text: F.when(F.col(kept_lines).isNull(), F.col(text)).otherwise(F.array_join(kept_lines, "\n")),
+    }).drop(dropped, kept_lines)

@@ -19,7 +19,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeglass.llm.common import staged
+from tapeglass.llm.common import staged, unused
 from tapeglass.llm.components import components
 
 BITS = 64
@@ -313,7 +313,8 @@ def without_near_duplicates(
     one of each text stays.
     """
     found = near_duplicates(docs, shingle, distance, bucket, key, text)
-    first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    kept = docs.join(first, F.col(key) == F.col("_kept")).dropDuplicates([key]).drop("_kept")
+    name = unused(docs, "kept")
+    first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(name)).distinct()
+    kept = docs.join(first, F.col(key) == F.col(name)).dropDuplicates([key]).drop(name)
     keyless = docs.where(F.col(key).isNull())
     return kept.union(keyless.dropDuplicates([text])) if not keyless.isEmpty() else kept
