@@ -1,7 +1,155 @@
-"""SQL of the queries of this package that SQL can express."""
+"""SQL of the queries of this package that SQL can express, over the same tables registered as views."""
 
 from __future__ import annotations
 
+from tapeglass.llm import line_templates, sharding, url_templates
+from tapeglass.llm.queries import CONTROL, RULES, SHARDS
+
+
+def _hash60(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def _sharding() -> str:
+    tree = sharding.uniform_tree(SHARDS)
+
+    def nodes(shards: list[sharding.Shard]) -> str:
+        weights: dict[tuple[str, str], float] = {}
+        for shard in shards:
+            for edge in zip(("", *shard.path), shard.path):
+                weights[edge] = weights.get(edge, 0.0) + shard.weight
+        return ", ".join(f"('{parent}', '{path}', CAST({weight} AS DOUBLE))" for (parent, path), weight in weights.items())
+
+    draw = "-ln((CAST('0x' || substr(md5(key || '|' || path), 1, 13) AS BIGINT) + 0.5) / pow(2, 52)) / weight"
+
+    def descent(name: str) -> str:
+        steps = [f"{name}0 AS (SELECT DISTINCT key, '' AS node FROM sized)"]
+        steps += [
+            f"{name}{i + 1} AS (SELECT key, arg_min(path, {draw}) AS node FROM {name}{i}"
+            f" JOIN {name}_tree ON parent = node GROUP BY key)"
+            for i in range(3)
+        ]
+        return ", ".join(steps)
+
+    return f"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+read AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS key, encode(coalesce(text, '')) AS raw FROM documents),
+sized AS (SELECT doc_id, key, CAST(octet_length(raw) + 1 AS BIGINT) AS size,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(regexp_extract_all(hex(raw), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM read, crc_table),
+now_tree(parent, path, weight) AS (VALUES {nodes(tree)}),
+later_tree(parent, path, weight) AS (VALUES {nodes(sharding.grown(tree))}),
+{descent("now")}, {descent("later")},
+placed AS (SELECT doc_id, key, size, text_crc32, 'key' AS law, split_part(n.node, '/', 1) AS region,
+  split_part(n.node, '/', 1) || '/' || split_part(n.node, '/', 2) AS rack,
+  CAST(split_part(n.node, '/', 3) AS INTEGER) AS shard, CAST(split_part(l.node, '/', 3) AS INTEGER) AS grown_shard
+  FROM sized JOIN now3 n USING (key) JOIN later3 l USING (key))
+SELECT doc_id, size, text_crc32, law, shard, grown_shard, region, rack,
+  CAST(row_number() OVER (PARTITION BY shard ORDER BY CAST('0x' || substr(md5(key), 1, 3) AS INTEGER),
+    doc_id, size, text_crc32) - 1 AS BIGINT) AS slot
+FROM placed"""
+
+
+CHAT = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL}'),
+written AS (SELECT *, regexp_replace(regexp_replace(text, '(\\\\+)\\z', '\\1\\1'),
+  '(\\\\*)(###|</turn>)', '\\1\\1\\\\\\2', 'g') AS escaped FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ' || role || ': ' || escaped || '</turn>') + 1) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id"""
+
+
+def _urls() -> str:
+    rules = sorted(RULES, key=lambda r: (-len(r.name), r.name))
+
+    def rule(shown) -> str:
+        cases = " ".join(
+            f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN {shown(r)}"
+            for r in rules
+        )
+        return f"CASE {cases} END"
+
+    depth = url_templates.MAX_DEPTH
+    names = [f"s{d}" for d in range(1, depth + 1)]
+    cut = [f"segments[{d}] AS s{d}" for d in range(1, depth)]
+    cut.append(f"CASE WHEN len(segments) >= {depth} THEN array_to_string(segments[{depth}:], '/') END AS s{depth}")
+    levels = []
+    for i, name in enumerate(names):
+        levels.append(f"""
+b{i} AS (SELECT host, template, {name} AS s, CAST(sum(labelled) AS DOUBLE) AS l, CAST(sum(bad) AS DOUBLE) AS b
+  FROM l{i} GROUP BY 1, 2, 3),
+c{i} AS (SELECT *, sum(l) OVER w AS pl, sum(b) OVER w AS pb FROM b{i} WINDOW w AS (PARTITION BY host, template)),
+n{i} AS (SELECT host, template, s, sqrt((pb / nullif(pl, 0)) * (1 - pb / nullif(pl, 0))
+    * (CAST(1 AS DOUBLE) / nullif(l, 0) + CAST(1 AS DOUBLE) / nullif(pl - l, 0))) AS spread,
+  abs(b / nullif(l, 0) - (pb - b) / nullif(pl - l, 0)) AS apart FROM c{i} WHERE s IS NOT NULL),
+l{i + 1} AS (SELECT l.host, {", ".join(names)}, labelled, bad, CASE WHEN s IS NULL THEN l.template ELSE l.template || '/' ||
+    CASE WHEN spread > 0 AND apart >= {url_templates.SIGNIFICANT} * spread THEN s ELSE '*' END END AS template
+  FROM l{i} l LEFT JOIN n{i} n ON l.host = n.host AND l.template = n.template AND l.{name} = n.s)""")
+    same = " AND ".join(f"c.{n} IS NOT DISTINCT FROM t.{n}" for n in names)
+    smoothing = url_templates.SMOOTHING
+    return f"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+read AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+    '{url_templates.UPPER}', '{url_templates.LOWER}'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest),
+ruled AS (SELECT *, {rule(lambda r: f"'{r.name}'")} AS rule, {rule(lambda r: f"'{r.verdict}'")} AS ruling,
+  list_filter(string_split(regexp_replace(path, '[0-9]+', '<n>', 'g'), '/'), lambda s: s <> '') AS segments FROM read),
+cut AS (SELECT page_id, host, path, rule, ruling, {", ".join(cut)},
+  CASE WHEN ruling IS NOT NULL THEN CAST(ruling = 'block' AS BIGINT) END AS bad FROM ruled),
+l0 AS (SELECT host, {", ".join(names)}, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad, host AS template
+  FROM cut GROUP BY ALL),
+{",".join(levels)},
+own AS (SELECT host, template, substr(template, length(host) + 1) AS shape, CAST(sum(labelled) AS DOUBLE) AS l,
+  CAST(sum(bad) AS DOUBLE) AS b FROM l{depth} GROUP BY 1, 2, 3),
+shapes AS (SELECT shape, sum(l) AS sl, sum(b) AS sb FROM own GROUP BY 1),
+overall AS (SELECT (sum(sb) + 1) / (sum(sl) + 2) AS everywhere FROM shapes),
+priors AS (SELECT shape, (sb + {smoothing} * everywhere) / (sl + {smoothing}) AS prior FROM shapes, overall),
+judged AS (SELECT template, CAST(l AS BIGINT) AS labelled_pages,
+  round((b + {smoothing} * prior) / (l + {smoothing}), 9) AS bad_share FROM own JOIN priors USING (shape))
+SELECT page_id, c.host, path, rule, t.template, labelled_pages, bad_share,
+  coalesce(ruling, CASE WHEN bad_share >= {url_templates.REJECT_FROM} THEN 'block' ELSE 'allow' END) AS verdict
+FROM cut c JOIN l{depth} t ON c.host = t.host AND {same} JOIN judged j ON j.template = t.template"""
+
+
+def _line_dedup() -> str:
+    leaf = f"n || ' ' || array_to_string(t[1:{line_templates.LEADING}], ' ') || ' '"
+    halved = f"n >= {line_templates.HALVED_TOKENS}"
+    return f"""
+WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+numbered AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM cut),
+tokens AS (SELECT *, string_split(trim(regexp_replace(regexp_replace(line, '[0-9]+', '<*>', 'g'),
+  '[ \\t\\r]+', ' ', 'g'), ' '), ' ') AS t FROM numbered),
+sized AS (SELECT *, len(t) AS n, len(t) // 2 AS half FROM tokens),
+hashed AS (SELECT doc_id, i, line, n, {_hash60("'whole ' || n || ' ' || array_to_string(t, ' ')")} AS whole,
+  CASE WHEN {halved} THEN {_hash60(f"'first ' || {leaf} || array_to_string(t[1:half], ' ')")} END AS first,
+  CASE WHEN {halved} THEN {_hash60(f"'second ' || {leaf} || array_to_string(t[half + 1:], ' ')")} END AS second
+  FROM sized),
+least AS (SELECT doc_id, list_sort(list_distinct(list(whole))) AS hashes FROM hashed GROUP BY 1),
+told AS (SELECT h.*, coalesce(CASE WHEN whole = hashes[1] THEN hashes[2] ELSE hashes[1] END, -1) AS document
+  FROM hashed h JOIN least USING (doc_id)),
+templates AS (SELECT doc_id, i, document, unnest([whole, first, second]) AS template FROM told
+  WHERE n >= {line_templates.MIN_TOKENS}),
+recurring AS (SELECT template FROM templates WHERE template IS NOT NULL GROUP BY 1
+  HAVING count(DISTINCT document) >= {line_templates.MIN_DOCS}),
+dropped AS (SELECT DISTINCT doc_id, i, true AS gone FROM templates JOIN recurring USING (template)),
+cleaned AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text,
+  count(gone) AS dropped_lines FROM hashed LEFT JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, cleaned.text, coalesce(dropped_lines, 0) AS dropped_lines FROM documents LEFT JOIN cleaned USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_sharding": _sharding(),
+        "op6_chat": CHAT,
+        "op7_urls": _urls(),
+        "op10_line_dedup": _line_dedup(),
+    }
