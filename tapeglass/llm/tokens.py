@@ -1,25 +1,28 @@
 """Token ids of whole texts with the `tokenizers` library, one library call per distinct piece.
 
-Both tokenizers split a text at white space before they look at anything else, so the ids of a text are those of its
-white-space separated pieces in order. Pieces repeat often; their ids are kept in a bounded table per Python worker.
+Both tokenizers split a text at white space, and words from punctuation, before they look at anything else. So the
+ids of a text are those of its pieces in order: words with at most a full stop or comma behind them, what is behind,
+and whatever else stands between white space. Pieces repeat often; their ids are kept in a bounded table per worker.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-KEPT_PIECES = 400_000
+KEPT_PIECES = 1_000_000
 TEXTS_AT_ONCE = 256
 
 # A space joins the word after it, and of a longer run of white space the last one stays apart, as in the
 # tokenizer's own pattern. That holds for the four common characters; texts with others are encoded whole.
+WORD = "[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,]?(?:[ \\t\\n\\r]|$))"
 PATTERNS = {
-    "dropped": r"[^ \t\n\r]+",
-    "kept": r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
+    "dropped": rf"{WORD}|[^ \t\n\r]+",
+    "kept": rf" ?{WORD}| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
 }
 OTHER_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
@@ -40,30 +43,47 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.pieces = re.compile(PATTERNS[spaces]).findall
         self.odd = re.compile(OTHER_SPACE).search if spaces == "kept" else lambda text: None
+        self.lower = spaces == "dropped"
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _words(self, text: str) -> list[str]:
+        if self.lower:
+            # The tokenizer lower-cases; doing so first makes pieces meet. Beyond Latin-1 languages differ in how.
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return self.pieces(text)
+
+    def _library(self, pieces: list[str]) -> list[bytes]:
         import numpy as np
 
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        encoded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        counts = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(pieces))
+        raw = np.array(encoded.ids, self.dtype).tobytes()
+        ends = (np.cumsum(counts) * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id after them; NULL counts as empty."""
+        import numpy as np
+
         whole = [i for i, t in enumerate(texts) if t and self.odd(t)]
-        pieces = [[] if t is None else self.pieces(t) for t in texts]
+        pieces = [[] if t is None else self._words(t) for t in texts]
         for i in whole:
             pieces[i] = []
-        new = list(set().union(*pieces).difference(self.known))
-        if len(self.known) + len(new) > KEPT_PIECES:
-            self.known.clear()
-            new = list(set().union(*pieces))
-        self.known.update(zip(new, self._library(new)))
+        if len(self.known) > KEPT_PIECES:
+            self.known = dict(itertools.islice(self.known.items(), KEPT_PIECES // 2, None))
         known = self.known
+        new = list(set().union(*pieces).difference(known))
+        if new:
+            known.update(zip(new, self._library(new)))
         made = [b"".join([known[p] for p in own]) + self.end for own in pieces]
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            made[i] = ids + self.end
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            made[i] = np.array(ids, self.dtype).tobytes() + self.end
         return made
 
 
