@@ -3,7 +3,8 @@
 A line descends by its number of tokens, by its leading tokens with variable fields (runs of digits) generalised, and
 then by the rest of its tokens in two halves. A template is a path of the tree: both halves constant, or one constant
 and the other generalised to a wildcard, so lines that differ in one half meet under one template. Templates found in
-`min_docs` documents are boilerplate, and all lines under them are dropped.
+`min_docs` documents recur, and the lines under them are dropped from all documents but the first that has them, so
+that no text is lost altogether.
 
 Copies of a document would make all its lines recur. Documents are therefore told apart, for a line, by the smallest
 other line they hold (by hash): copies and most near copies share it and count as one. They are left to near-duplicate
@@ -80,33 +81,45 @@ def _lines(docs: DataFrame, min_tokens: int, key: str, text: str) -> DataFrame:
     )
 
 
+def _place(key: str = "key") -> Column:
+    """What documents are ordered by: rows without a key first, as one document."""
+    return F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"))
+
+
 def _recurring(lines: DataFrame, min_docs: int) -> DataFrame:
-    found = lines.select(F.explode("templates").alias("template"), "document").distinct()
-    return found.groupBy("template").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= min_docs)
+    found = lines.select(F.explode("templates").alias("template"), "document", _place().alias("place"))
+    apart = found.groupBy("template", "document").agg(F.min("place").alias("place"))
+    counted = apart.groupBy("template").agg(F.count(F.lit(1)).alias("documents"), F.min("place").alias("first"))
+    return counted.where(F.col("documents") >= min_docs)
 
 
 def recurring_templates(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(template, documents) of the templates found in at least `min_docs` documents that are no copies."""
-    return _recurring(_lines(docs, min_tokens, key, text), min_docs)
+    """(template, documents, first) of the templates found in at least `min_docs` documents that are no copies."""
+    found = _recurring(_lines(docs, min_tokens, key, text), min_docs)
+    return found.select("template", "documents", F.col("first.key").alias("first"))
 
 
 def without_recurring_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """`docs` with the recurring lines taken out of the text, and the number of lines taken out.
+    """`docs` with the recurring lines taken out of all texts but the first, and the number of lines taken out.
+
+    The first document has the smallest key. A line stays in it if it is the first for all templates of the line.
 
     All columns stay; `dropped_lines` (long) is added, in place of a column of that name. Texts without a recurring
-    line, NULL and empty ones included, are unchanged; a text of nothing else becomes empty. Rows with the same key,
-    also NULL, are handled line by line alike; repeated rows are all kept. An empty table gives no rows.
+    line, NULL and empty ones included, are unchanged; a text of nothing else becomes empty. Rows with the same key
+    are one document, rows with a NULL key one that comes first; repeated rows are all kept. An empty table gives no
+    rows.
     """
     drops_key, dropped, kept_lines = (unused(docs, name) for name in ("drops_key", "dropped_hashes", "kept_lines"))
     lines = _lines(docs, min_tokens, key, text)
-    templates = _recurring(lines, min_docs).select("template")
+    templates = _recurring(lines, min_docs).select("template", "first")
     drops = (
         lines.select("key", "whole", F.explode("templates").alias("template"))
         .join(templates, "template")
+        .where(~F.col("first").eqNullSafe(_place()))
         .groupBy(F.col("key").alias(drops_key))
         .agg(F.collect_set("whole").alias(dropped))
     )

@@ -138,9 +138,9 @@ told AS (SELECT h.*, coalesce(CASE WHEN whole = hashes[1] THEN hashes[2] ELSE ha
   FROM hashed h JOIN least USING (doc_id)),
 templates AS (SELECT doc_id, i, document, unnest([whole, first, second]) AS template FROM told
   WHERE n >= {line_templates.MIN_TOKENS}),
-recurring AS (SELECT template FROM templates WHERE template IS NOT NULL GROUP BY 1
+recurring AS (SELECT template, min(doc_id) AS first FROM templates WHERE template IS NOT NULL GROUP BY 1
   HAVING count(DISTINCT document) >= {line_templates.MIN_DOCS}),
-dropped AS (SELECT DISTINCT doc_id, i, true AS gone FROM templates JOIN recurring USING (template)),
+dropped AS (SELECT DISTINCT doc_id, i, true AS gone FROM templates JOIN recurring USING (template) WHERE doc_id <> first),
 cleaned AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text,
   count(gone) AS dropped_lines FROM hashed LEFT JOIN dropped USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, cleaned.text, coalesce(dropped_lines, 0) AS dropped_lines FROM documents LEFT JOIN cleaned USING (doc_id)"""

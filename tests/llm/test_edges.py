@@ -291,8 +291,10 @@ def test_line_dedup(spark, docs, none):
     body = [(i, f"{banner.replace('12', str(i))}\nown words of page number{'x' * i}\n{LONG if i == 3 else ''}") for i in range(5)]
     rows = spark.createDataFrame([*body, (9, banner), (None, f"{banner}\nrest of it here now"), (10, None), (11, "")], "doc_id long, text string")
     found = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in line_templates.without_recurring_lines(rows).collect()}
-    assert found[0] == ("own words of page number\n", 1)
-    assert found[9] == ("", 1) and found[None] == ("rest of it here now", 1)
+    assert found[None] == (f"{banner}\nrest of it here now", 0)
+    assert found[0] == ("own words of page number\n", 1) and found[9] == ("", 1)
+    keyed = line_templates.without_recurring_lines(rows.where("doc_id IS NOT NULL"))
+    assert {r["doc_id"]: r["dropped_lines"] for r in keyed.collect()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 9: 1, 10: 0, 11: 0}
     assert found[10] == (None, 0) and found[11] == ("", 0)
     same = line_templates.without_recurring_lines(docs)
     assert same.count() == len(TEXTS) and sorted(same.columns) == sorted(docs.columns)

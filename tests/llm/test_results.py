@@ -250,18 +250,19 @@ def plain_line_dedup(texts, min_docs=3, min_tokens=4):
         own = tokens(line)
         return int(hashlib.md5(f"whole {len(own)} {' '.join(own)}".encode()).hexdigest()[:15], 16)
 
-    seen = defaultdict(set)
-    for text in texts.values():
+    seen, first = defaultdict(set), {}
+    for doc, text in sorted(texts.items()):
         lines = text.split("\n")
         hashes = sorted({order(line) for line in lines})
         for line in lines:
             others = [h for h in hashes[:2] if h != order(line)]
             for t in templates(line):
                 seen[t].add(others[0] if others else -1)
+                first.setdefault(t, doc)
     made = {}
     for doc, text in texts.items():
         lines = text.split("\n")
-        kept = [line for line in lines if not any(len(seen[t]) >= min_docs for t in templates(line))]
+        kept = [line for line in lines if not any(len(seen[t]) >= min_docs and first[t] != doc for t in templates(line))]
         made[doc] = ("\n".join(kept), len(lines) - len(kept))
     return made
 
