@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Timestamps written as INT96 carry no row-group statistics, so time filters would read every row group.
@@ -55,8 +56,13 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
