@@ -1,6 +1,7 @@
 """Document fingerprints as quartile bucket digests, and their comparison.
 
-Byte triplets of a sliding window of five bytes are hashed into BUCKETS counters. The digest holds the logarithm of
+Byte triplets of a sliding window of ten bytes are hashed into BUCKETS counters. Their bytes stand apart: neighbouring
+bytes tell the language of a text more than the text. The digest holds the logarithm of
 the byte length and, two bits a bucket, the quartile of the bucket's count among all counts of the document. Two
 digests differ by the sum of their quartile steps, an opposite pair counting double, plus a bounded length term.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 256
 # Offsets of the second and third byte of each triplet.
-TRIPLETS = ((1, 2), (1, 3), (2, 4))
+TRIPLETS = ((2, 5), (3, 7), (4, 9))
 STEP_COST = np.array([0, 1, 2, 6])
 LENGTH_STEPS = 8  # to a doubling of the length
 LENGTH_COST = 32
@@ -22,7 +23,7 @@ WORST = 6 * BUCKETS + LENGTH_COST
 
 
 def digest(data: bytes) -> bytes:
-    """Length byte and bucket quartiles; texts of under three bytes have the quartiles of no triplets."""
+    """Length byte and bucket quartiles; texts of under six bytes have the quartiles of no triplets."""
     raw = np.frombuffer(data, np.uint8).astype(np.uint32)
     counts = np.zeros(BUCKETS, np.int64)
     for kind, (b, c) in enumerate(TRIPLETS):
