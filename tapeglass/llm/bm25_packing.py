@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tapeglass.llm.common import staged
+from tapeglass.llm.common import ranges, staged
 from tapeglass.llm.tokens import encoder, narrow, TEXTS_AT_ONCE
 
 WINDOW = 1024
@@ -166,7 +166,7 @@ def pack(
     total, in_tails = whole.agg(F.count(F.lit(1)), F.sum(F.col("doc_tokens") % window)).first()
     idf = np.log1p((total - frequencies + 0.5) / (frequencies + 0.5))
     mean = max(1.0, (in_tails or 0) / max(1, total))
-    parts = max(1, -(-(in_tails or 0) // task_tokens))
+    parts = ranges(in_tails or 0, task_tokens)
 
     def run(batches):
         import pyarrow as pa

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapeglass.session import scratch_folder
 
+#: Ranges that rows are dealt in, at most: their limits stand in the plan. Beyond it the ranges grow.
+MAX_RANGES = 20_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +24,10 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranges(total: int, per_range: int) -> int:
+    return min(MAX_RANGES, max(1, -(-total // per_range)))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like `name` that `df` does not have."""
     while name in df.columns:

@@ -13,6 +13,8 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from tapeglass.llm.common import ranges
+
 BUCKETS = 256
 # Offsets of the second and third byte of each triplet.
 TRIPLETS = ((2, 5), (3, 7), (4, 9))
@@ -71,8 +73,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def _cuts(docs: DataFrame, key: str, rows: int) -> list[int]:
     """Keys that part the documents into ranges of about `rows`; a range begins after each of them."""
-    total = docs.count()
-    parts = max(1, -(-total // rows))
+    parts = ranges(docs.count(), rows)
     if parts == 1:
         return []
     found = docs.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100 * parts)).first()[0]

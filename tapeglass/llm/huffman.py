@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tapeglass.llm.common import staged
+from tapeglass.llm.common import ranges, staged
 from tapeglass.llm.tokens import encoded_batches, narrow
 
 MAX_BITS = 20
@@ -171,7 +171,7 @@ def write_ids(coded: DataFrame, path: str, max_bits: int = MAX_BITS, part_ids: i
     row = [(code.ids.tolist(), code.lengths.tolist(), code.bits)]
     spark.createDataFrame(row, "ids array<long>, lengths array<long>, bits int").coalesce(1).write.parquet(f"{path}/code")
 
-    parts = max(1, -(-sum(n for n, _ in counts) // part_ids))
+    parts = ranges(sum(n for n, _ in counts), part_ids)
     quantiles = [i / parts for i in range(1, parts)]
     cuts = coded.select(F.percentile_approx("doc_id", quantiles, 100 * parts)).first()[0] if quantiles else []
     limits = np.array(cuts or [], np.int64)
