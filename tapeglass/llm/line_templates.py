@@ -81,15 +81,15 @@ def _lines(docs: DataFrame, min_tokens: int, key: str, text: str) -> DataFrame:
     )
 
 
-def _place(key: str = "key") -> Column:
-    """What documents are ordered by: rows without a key first, as one document."""
-    return F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"))
-
-
 def _recurring(lines: DataFrame, min_docs: int) -> DataFrame:
-    found = lines.select(F.explode("templates").alias("template"), "document", _place().alias("place"))
-    apart = found.groupBy("template", "document").agg(F.min("place").alias("place"))
-    counted = apart.groupBy("template").agg(F.count(F.lit(1)).alias("documents"), F.min("place").alias("first"))
+    """(template, documents, first, keyless): the smallest key that has it, and whether a row without a key does."""
+    found = lines.select(F.explode("templates").alias("template"), "document", "key")
+    apart = found.groupBy("template", "document").agg(
+        F.min("key").alias("first"), F.bool_or(F.col("key").isNull()).alias("keyless")
+    )
+    counted = apart.groupBy("template").agg(
+        F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"), F.bool_or("keyless").alias("keyless")
+    )
     return counted.where(F.col("documents") >= min_docs)
 
 
@@ -97,8 +97,7 @@ def recurring_templates(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(template, documents, first) of the templates found in at least `min_docs` documents that are no copies."""
-    found = _recurring(_lines(docs, min_tokens, key, text), min_docs)
-    return found.select("template", "documents", F.col("first.key").alias("first"))
+    return _recurring(_lines(docs, min_tokens, key, text), min_docs).drop("keyless")
 
 
 def without_recurring_lines(
@@ -115,11 +114,12 @@ def without_recurring_lines(
     """
     drops_key, dropped, kept_lines = (unused(docs, name) for name in ("drops_key", "dropped_hashes", "kept_lines"))
     lines = _lines(docs, min_tokens, key, text)
-    templates = _recurring(lines, min_docs).select("template", "first")
+    templates = _recurring(lines, min_docs).drop("documents")
+    later = F.col("key").isNotNull() & (F.col("keyless") | (F.col("key") != F.col("first")))
     drops = (
         lines.select("key", "whole", F.explode("templates").alias("template"))
         .join(templates, "template")
-        .where(~F.col("first").eqNullSafe(_place()))
+        .where(later)
         .groupBy(F.col("key").alias(drops_key))
         .agg(F.collect_set("whole").alias(dropped))
     )
