@@ -137,7 +137,8 @@ class Block:
             starts = _free(unknown, length)
             if len(starts):
                 runs = hashes.runs(length)[starts]
-                for h in np.unique(runs[np.isin(runs, known)]).tolist():
+                places = np.minimum(np.searchsorted(known, runs), len(known) - 1)
+                for h in np.unique(runs[known[places] == runs]).tolist():
                     candidates |= items[h]
         if not candidates:
             return []
