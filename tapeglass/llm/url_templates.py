@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapeglass.llm.common import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_DEPTH = 4
 SIGNIFICANT = 1.96
@@ -71,12 +73,13 @@ def path_templates(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(host, s1 .. , template, labelled, bad) of every distinct generalised path of (host, path, bad) pages.
 
     bad is 1, 0 or NULL for pages without a label. The tree is built on counts by host and generalised path, so a
-    host of very many pages is added up before it is shuffled.
+    host of very many pages is added up before it is shuffled. Every level is staged: the next one reads it thrice.
     """
     names = [f"s{d}" for d in range(1, max_depth + 1)]
     cut = pages.select("host", "bad", *[_segment(d, max_depth).alias(n) for d, n in enumerate(names, 1)])
     level = cut.groupBy("host", *names).agg(F.count("bad").alias("labelled"), F.sum("bad").alias("bad"))
     level = level.withColumns({"bad": F.coalesce("bad", F.lit(0)), "template": F.col("host")})
+    level = staged(level, "url-paths")
     for name in names:
         branch = level.groupBy("host", "template", name).agg(F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"))
         parent = branch.groupBy("host", "template").agg(F.sum("_l").alias("_pl"), F.sum("_b").alias("_pb"))
@@ -93,11 +96,10 @@ def path_templates(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             .select("host", "template", name, grown.alias("_grown"))
         )
         # A path that has ended keeps its template: NULL joins nothing.
-        level = (
-            level.join(named, ["host", "template", name], "left")
-            .withColumn("template", F.coalesce("_grown", "template"))
-            .drop("_grown")
+        grown_level = level.join(named, ["host", "template", name], "left").withColumn(
+            "template", F.coalesce("_grown", "template")
         )
+        level = staged(grown_level.drop("_grown"), "url-level")
     return level.select("host", *names, "template", "labelled", "bad")
 
 
