@@ -6,9 +6,10 @@ and the other generalised to a wildcard, so lines that differ in one half meet u
 `min_docs` documents recur, and the lines under them are dropped from all documents but the first that has them, so
 that no text is lost altogether.
 
-Copies of a document would make all its lines recur. Documents are therefore told apart, for a line, by the smallest
-other line they hold (by hash): copies and most near copies share it and count as one. They are left to near-duplicate
-removal.
+Copies of a document would make all its lines recur. Documents are therefore told apart by their whole text: exact
+copies count as one, all other documents count each. Told apart by `OTHER_LINE`, documents count for a line by the
+smallest other line they hold (by hash), so near copies count as one too, and so do unrelated documents that share that
+line or have no other. The given SQL counts so, and with it the registered query and the pipeline.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ MIN_TOKENS = 4
 LEADING = 2
 #: Lines of at least this many tokens have templates with a wildcard half.
 HALVED_TOKENS = 12
+#: What tells documents apart.
+WHOLE_TEXT, OTHER_LINE = "whole text", "other line"
 
 
 def _plain_lines(text: Column) -> Column:
@@ -62,21 +65,27 @@ def _templates(plain: Column, whole: Column, min_tokens: int) -> Column:
     return F.when(size >= min_tokens, F.concat(F.array(whole), halves)).otherwise(none)
 
 
-def _lines(docs: DataFrame, min_tokens: int, key: str, text: str) -> DataFrame:
+def _lines(docs: DataFrame, min_tokens: int, key: str, text: str, apart_by: str) -> DataFrame:
     """(key, whole, document, templates): a row per line with templates, and what tells its document apart.
 
     Staged, since the templates are counted first and then looked up.
     """
-    cut = docs.select(F.col(key).alias("key"), _plain_lines(F.col(text)).alias("lines"))
+    if apart_by not in (WHOLE_TEXT, OTHER_LINE):
+        raise ValueError(f"documents are told apart by {WHOLE_TEXT} or {OTHER_LINE}, not by {apart_by}")
+    kept = [hash60(F.col(text)).alias("own")] if apart_by == WHOLE_TEXT else []
+    cut = docs.select(F.col(key).alias("key"), _plain_lines(F.col(text)).alias("lines"), *kept)
     hashed = cut.withColumn("hashes", F.transform("lines", _whole))
     least = F.slice(F.array_sort(F.array_distinct("hashes")), 1, 2)
-    told = hashed.select("key", least.alias("least"), F.explode(F.arrays_zip("lines", "hashes")).alias("line"))
-    lines = told.select("key", "least", F.col("line.lines").alias("plain"), F.col("line.hashes").alias("whole"))
-    first, second = (F.get("least", F.lit(i)) for i in (0, 1))
-    other = F.coalesce(F.when(F.col("whole") == first, second).otherwise(first), F.lit(-1))
+    own = F.col("own") if apart_by == WHOLE_TEXT else least
+    told = hashed.select("key", own.alias("own"), F.explode(F.arrays_zip("lines", "hashes")).alias("line"))
+    lines = told.select("key", "own", F.col("line.lines").alias("plain"), F.col("line.hashes").alias("whole"))
+    document = F.col("own")
+    if apart_by == OTHER_LINE:
+        first, second = (F.get("own", F.lit(i)) for i in (0, 1))
+        document = F.coalesce(F.when(F.col("whole") == first, second).otherwise(first), F.lit(-1))
     templates = _templates(F.col("plain"), F.col("whole"), min_tokens)
     return staged(
-        lines.where(_size(F.col("plain")) >= min_tokens).select("key", "whole", other.alias("document"), templates.alias("templates")),
+        lines.where(_size(F.col("plain")) >= min_tokens).select("key", "whole", document.alias("document"), templates.alias("templates")),
         "line-templates",
     )
 
@@ -94,15 +103,17 @@ def _recurring(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def recurring_templates(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text",
+    apart_by: str = WHOLE_TEXT,
+) -> DataFrame:
     """(template, documents, first) of the templates found in at least `min_docs` documents that are no copies."""
-    return _recurring(_lines(docs, min_tokens, key, text), min_docs).drop("keyless")
+    return _recurring(_lines(docs, min_tokens, key, text, apart_by), min_docs).drop("keyless")
 
 
 def without_recurring_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text",
+    apart_by: str = WHOLE_TEXT,
+) -> DataFrame:
     """`docs` with the recurring lines taken out of all texts but the first, and the number of lines taken out.
 
     The first document has the smallest key. A line stays in it if it is the first for all templates of the line.
@@ -113,7 +124,7 @@ def without_recurring_lines(
     rows.
     """
     drops_key, dropped, kept_lines = (unused(docs, name) for name in ("drops_key", "dropped_hashes", "kept_lines"))
-    lines = _lines(docs, min_tokens, key, text)
+    lines = _lines(docs, min_tokens, key, text, apart_by)
     templates = _recurring(lines, min_docs).drop("documents")
     later = F.col("key").isNotNull() & (F.col("keyless") | (F.col("key") != F.col("first")))
     drops = (

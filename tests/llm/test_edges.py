@@ -301,6 +301,24 @@ def test_line_dedup(spark, docs, none):
     assert line_templates.without_recurring_lines(none).collect() == []
 
 
+def test_line_dedup_counts_unrelated_documents(spark):
+    """Documents of one line, of a blank line between, and of few lines under one header."""
+    names = ["anna", "ben", "carl", "dora", "emil"]
+    passage, header = "a passage that stands in all of these documents", "the header of all pages of this site"
+    lone = [(i, f"Order {i} shipped to the customer") for i in range(5)]
+    blank = [(10 + i, f"{n} wrote this own line\n\n{passage}") for i, n in enumerate(names)]
+    pages = [(20 + i, f"{header}\n{n} and nobody else") for i, n in enumerate(names)]
+    copies = [(30 + i, "a text that was copied\nword for word as it is") for i in range(5)]
+    rows = spark.createDataFrame([*lone, *blank, *pages, *copies], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_templates.without_recurring_lines(rows).collect()}
+    assert [found[i] for i in range(5)] == [lone[0][1], "", "", "", ""]
+    assert [found[10 + i] for i in range(5)] == [blank[0][1], *(f"{n} wrote this own line\n" for n in names[1:])]
+    assert [found[20 + i] for i in range(5)] == [pages[0][1], *(f"{n} and nobody else" for n in names[1:])]
+    assert all(found[i] == t for i, t in copies)
+    with pytest.raises(ValueError):
+        line_templates.without_recurring_lines(rows, apart_by="key")
+
+
 def test_pipeline_stages_on_edge_rows(spark, docs, benchmark, labels, tmp_path):
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
