@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; n_chars follows the text, and what was nothing else is dropped."""
-    cleaned = line_templates.without_recurring_lines(docs.select(COLUMNS), apart_by=line_templates.OTHER_LINE)
+    cleaned = line_templates.without_recurring_lines(docs.select(COLUMNS), **line_templates.SQL_RULES)
     left = cleaned.where((F.col("dropped_lines") == 0) | (F.trim("text") != ""))
     changed = F.when(F.col("dropped_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", changed).select(COLUMNS)

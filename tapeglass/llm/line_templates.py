@@ -10,6 +10,8 @@ Copies of a document would make all its lines recur. Documents are therefore tol
 copies count as one, all other documents count each. Told apart by `OTHER_LINE`, documents count for a line by the
 smallest other line they hold (by hash), so near copies count as one too, and so do unrelated documents that share that
 line or have no other. The given SQL counts so, and with it the registered query and the pipeline.
+
+A line of `LONG_TOKENS` tokens or more is no boilerplate by chance: its whole template recurs from two documents on.
 """
 
 from __future__ import annotations
@@ -23,8 +25,13 @@ MIN_TOKENS = 4
 LEADING = 2
 #: Lines of at least this many tokens have templates with a wildcard half.
 HALVED_TOKENS = 12
+#: Lines of at least this many tokens recur from LONG_DOCS documents on, if they are the same word for word.
+LONG_TOKENS = 50
+LONG_DOCS = 2
 #: What tells documents apart.
 WHOLE_TEXT, OTHER_LINE = "whole text", "other line"
+#: The rules of the given SQL.
+SQL_RULES = {"apart_by": OTHER_LINE, "long_tokens": None}
 
 
 def _plain_lines(text: Column) -> Column:
@@ -65,8 +72,9 @@ def _templates(plain: Column, whole: Column, min_tokens: int) -> Column:
     return F.when(size >= min_tokens, F.concat(F.array(whole), halves)).otherwise(none)
 
 
-def _lines(docs: DataFrame, min_tokens: int, key: str, text: str, apart_by: str) -> DataFrame:
-    """(key, whole, document, templates): a row per line with templates, and what tells its document apart.
+def _lines(docs: DataFrame, min_tokens: int, key: str, text: str, apart_by: str, long_tokens: int | None) -> DataFrame:
+    """(key, whole, document, templates, long): a row per line with templates, and what tells its document apart.
+    Without `long_tokens` there is no column `long`.
 
     Staged, since the templates are counted first and then looked up.
     """
@@ -84,35 +92,43 @@ def _lines(docs: DataFrame, min_tokens: int, key: str, text: str, apart_by: str)
         first, second = (F.get("own", F.lit(i)) for i in (0, 1))
         document = F.coalesce(F.when(F.col("whole") == first, second).otherwise(first), F.lit(-1))
     templates = _templates(F.col("plain"), F.col("whole"), min_tokens)
+    marks = [] if long_tokens is None else [(_size(F.col("plain")) >= long_tokens).alias("long")]
     return staged(
-        lines.where(_size(F.col("plain")) >= min_tokens).select("key", "whole", document.alias("document"), templates.alias("templates")),
+        lines.where(_size(F.col("plain")) >= min_tokens).select("key", "whole", document.alias("document"), templates.alias("templates"), *marks),
         "line-templates",
     )
 
 
 def _recurring(lines: DataFrame, min_docs: int) -> DataFrame:
     """(template, documents, first, keyless): the smallest key that has it, and whether a row without a key does."""
-    found = lines.select(F.explode("templates").alias("template"), "document", "key")
+    marks = [c for c in ("long",) if c in lines.columns]
+    found = lines.select(F.explode("templates").alias("template"), "document", "key", "whole", *marks)
+    found = found.withColumns({c: F.col(c) & (F.col("template") == F.col("whole")) for c in marks})
     apart = found.groupBy("template", "document").agg(
-        F.min("key").alias("first"), F.bool_or(F.col("key").isNull()).alias("keyless")
+        F.min("key").alias("first"), F.bool_or(F.col("key").isNull()).alias("keyless"), *(F.bool_or(c).alias(c) for c in marks)
     )
     counted = apart.groupBy("template").agg(
-        F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"), F.bool_or("keyless").alias("keyless")
-    )
-    return counted.where(F.col("documents") >= min_docs)
+        F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"), F.bool_or("keyless").alias("keyless"),
+        *(F.bool_or(c).alias(c) for c in marks),
+    )
+    enough = F.col("documents") >= min_docs
+    for c in marks:
+        enough = enough | (F.col(c) & (F.col("documents") >= LONG_DOCS))
+    return counted.where(enough).drop(*marks)
 
 
 def recurring_templates(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text",
-    apart_by: str = WHOLE_TEXT,
+    apart_by: str = WHOLE_TEXT, long_tokens: int | None = LONG_TOKENS,
 ) -> DataFrame:
-    """(template, documents, first) of the templates found in at least `min_docs` documents that are no copies."""
-    return _recurring(_lines(docs, min_tokens, key, text, apart_by), min_docs).drop("keyless")
+    """(template, documents, first) of the templates found in at least `min_docs` documents that are no copies, or in two for a
+    line of `long_tokens` tokens or more."""
+    return _recurring(_lines(docs, min_tokens, key, text, apart_by, long_tokens), min_docs).drop("keyless")
 
 
 def without_recurring_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, key: str = "doc_id", text: str = "text",
-    apart_by: str = WHOLE_TEXT,
+    apart_by: str = WHOLE_TEXT, long_tokens: int | None = LONG_TOKENS,
 ) -> DataFrame:
     """`docs` with the recurring lines taken out of all texts but the first, and the number of lines taken out.
 
@@ -124,7 +140,7 @@ def without_recurring_lines(
     rows.
     """
     drops_key, dropped, kept_lines = (unused(docs, name) for name in ("drops_key", "dropped_hashes", "kept_lines"))
-    lines = _lines(docs, min_tokens, key, text, apart_by)
+    lines = _lines(docs, min_tokens, key, text, apart_by, long_tokens)
     templates = _recurring(lines, min_docs).drop("documents")
     later = F.col("key").isNotNull() & (F.col("keyless") | (F.col("key") != F.col("first")))
     drops = (

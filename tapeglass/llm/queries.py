@@ -79,7 +79,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_templates.without_recurring_lines(table(spark, sf_dir, "documents"), apart_by=line_templates.OTHER_LINE)
+    found = line_templates.without_recurring_lines(table(spark, sf_dir, "documents"), **line_templates.SQL_RULES)
     return found.select("doc_id", "text", "dropped_lines")
 
 

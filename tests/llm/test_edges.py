@@ -319,6 +319,17 @@ def test_line_dedup_counts_unrelated_documents(spark):
         line_templates.without_recurring_lines(rows, apart_by="key")
 
 
+def test_line_dedup_takes_long_lines_from_two_documents(spark):
+    passage = " ".join(f"word{'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(60))
+    edited = [(i, f"{passage}\nthe {n} edit of it\n{passage.replace('worda ', n + ' ')}") for i, n in enumerate(["first", "second"])]
+    apart = [(5, f"a page on gardens\n{'x ' * 49}x"), (6, f"news about sports\n{'x ' * 49}x"), (7, f"one more page\n{'y ' * 48}y"), (8, f"two more pages\n{'y ' * 48}y")]
+    rows = spark.createDataFrame([*edited, *apart], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_templates.without_recurring_lines(rows).collect()}
+    assert found[0] == edited[0][1] and found[1] == edited[1][1].split("\n", 1)[1]
+    assert (found[5], found[6]) == (apart[0][1], "news about sports")
+    assert (found[7], found[8]) == (apart[2][1], apart[3][1])
+
+
 def test_pipeline_stages_on_edge_rows(spark, docs, benchmark, labels, tmp_path):
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
