@@ -286,6 +286,23 @@ def test_quality(docs, none, labels):
     assert {r["score"] for r in neighbour_quality.quality_scores(docs, unknown).collect()} == {0.5}
 
 
+def test_quality_learns_words(spark):
+    """Bad and good texts of one pattern of letters that differ in their words alone; the same in Chinese."""
+    draw = np.random.default_rng(1)
+    sets = [[f"{c}{d}{e}{tail}" for c in "bdfg" for d in "aeio" for e in "lmnr"] for tail in ("ka", "pu")]
+    han = [["".join(chr(start + c) for c in pair) for pair in draw.integers(0, 100, (40, 2))] for start in (0x4E00, 0x6000)]
+    made = []
+    for i in range(400):
+        good = i % 2
+        made.append((i, " ".join(draw.choice(sets[good], 30)) if i < 200 else "".join(draw.choice(han[good], 60)), good))
+    rows = spark.createDataFrame([(i, t) for i, t, _ in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in made], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in neighbour_quality.quality_scores(rows, neighbour_quality.fit(rows, labels)).collect()}
+    left = {r["doc_id"] for r in rows.where(neighbour_quality.held_out()).collect()}
+    assert len(left) > 50
+    assert all((scores[i] > 0.5) == bool(y) for i, _, y in made if i in left)
+
+
 def test_line_dedup(spark, docs, none):
     banner = "click 12 times to read more"
     body = [(i, f"{banner.replace('12', str(i))}\nown words of page number{'x' * i}\n{LONG if i == 3 else ''}") for i in range(5)]
