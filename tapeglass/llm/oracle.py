@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from tapeglass.llm import line_templates, sharding, url_templates
-from tapeglass.llm.queries import CONTROL, RULES, SHARDS
+from tapeglass.llm import line_templates, merkle_log, sharding, url_templates
+from tapeglass.llm.queries import CONTROL, LEAF_COLUMNS, NEAREST, QUERY_EVERY, RULES, SHARDS
 
 
 def _hash60(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
+#: CRC-32 by byte, and of a text, unsigned.
+CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
 def _sharding() -> str:
     tree = sharding.uniform_tree(SHARDS)
 
@@ -32,9 +44,7 @@ def _sharding() -> str:
         return ", ".join(steps)
 
     return f"""
-WITH crc_table AS (
-  SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
-    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+WITH {CRC_TABLE},
 read AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS key, encode(coalesce(text, '')) AS raw FROM documents),
 sized AS (SELECT doc_id, key, CAST(octet_length(raw) + 1 AS BIGINT) AS size,
   xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
@@ -146,8 +156,111 @@ cleaned AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER
 SELECT doc_id, cleaned.text, coalesce(dropped_lines, 0) AS dropped_lines FROM documents LEFT JOIN cleaned USING (doc_id)"""
 
 
+#: Levels that the SQL below has above the leaves of a tree: enough for 8^8 documents.
+LEVELS = 8
+
+
+def _merkle() -> str:
+    def leaf(text: str) -> str:
+        values = [text if c == "text" else f"CAST({c} AS VARCHAR)" for c in LEAF_COLUMNS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name: str, leaves: str) -> list[str]:
+        """{name}_paths: (tree, i, left0, right0 .., h0 ..) of the leaves (tree, i, digest)."""
+        steps = [f"{name}0 AS (SELECT tree, i, digest, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+        for level in range(LEVELS):
+            runs = f"tree, i // {merkle_log.ARITY}"
+            steps.append(f"""{name}_b{level} AS (SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY {runs} ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS bef, coalesce(string_agg(digest, '') OVER (PARTITION BY {runs}
+    ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS aft FROM {name}{level})""")
+            steps.append(f"""{name}{level + 1} AS (SELECT tree, i // {merkle_log.ARITY} AS i,
+    CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY i)) END AS digest,
+    CAST(ceil(any_value(n) / {merkle_log.ARITY}) AS BIGINT) AS n FROM {name}{level} GROUP BY {runs})""")
+        joins = " ".join(
+            f"JOIN {name}_b{level} b{level} ON b{level}.tree = l.tree AND b{level}.i = l.i // {merkle_log.ARITY**level}" for level in range(LEVELS)
+        )
+        sides = ", ".join(f"CASE WHEN b{level}.n > 1 THEN [b{level}.bef, b{level}.aft] END" for level in range(LEVELS))
+        steps.append(f"""{name}_paths AS (SELECT l.tree, l.i, list_filter([{sides}], lambda s: s IS NOT NULL) AS path,
+    t.digest AS top FROM {name}0 l {joins} JOIN {name}{LEVELS} t ON t.tree = l.tree)""")
+        return steps
+
+    lowered = f"translate(text, '{url_templates.UPPER}', '{url_templates.LOWER}')"
+    fold = "list_reduce(list_prepend([{start}, ''], path), lambda own, s: [sha256(s[1] || own[1] || s[2]), ''])[1]"
+    return f"""
+WITH {CRC_TABLE},
+read AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, {leaf("text")} AS leaf,
+  CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {leaf(lowered)} END AS tampered FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM read),
+leaves AS (SELECT tree, i, leaf AS digest FROM placed),
+{",".join(tree("d", "leaves"))},
+subroots AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, digest, tree AS lang FROM d{LEVELS}),
+{",".join(tree("u", "subroots"))},
+proved AS (SELECT doc_id, leaf, tampered, s.digest AS subroot, u.top AS root, list_concat(d.path, u.path) AS path
+  FROM placed p JOIN d_paths d USING (tree, i) JOIN subroots s ON s.lang = p.tree JOIN u_paths u ON u.i = s.i),
+folded AS (SELECT *, {fold.format(start="coalesce(tampered, leaf)")} AS folded_root,
+  sha256(array_to_string(list_transform(path, lambda s: s[1] || s[2]), '')) AS proof_sha256 FROM proved)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
+REPAIR = f"""
+WITH RECURSIVE {CRC_TABLE},
+read AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault
+  FROM conversations, crc_table),
+faulty AS (SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM read WHERE fault <> 0),
+placed AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+  left(role, 1) AS initial, lag(left(role, 1)) OVER w AS before, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut
+  FROM faulty WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)),
+judged AS (SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+  ELSE 'sound' END AS kind FROM placed),
+counted AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+  count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+inserts(a, b, added, cost, audit) AS (VALUES ('', '', '', 0, ''), ('s', 's', '', 0, ''), ('u', 'u', '', 0, ''), ('a', 'a', '', 0, ''),
+  ('', 'u', chr(10) || 'user:', 5, 'I'), ('s', 'u', chr(10) || 'user:', 5, 'I'), ('a', 'u', chr(10) || 'user:', 5, 'I'),
+  ('u', 'a', chr(10) || 'assistant:', 5, 'I'), ('', 'a', chr(10) || 'user:' || chr(10) || 'assistant:', 10, 'II'),
+  ('s', 'a', chr(10) || 'user:' || chr(10) || 'assistant:', 10, 'II')),
+moves(b, c, name) AS (VALUES ('', 'u', 'user'), ('s', 'u', 'user'), ('a', 'u', 'user'), ('u', 'a', 'assistant')),
+options AS (
+  SELECT conv_id, i, b, b AS c, 2 AS cost, 'D' AS edit, '' AS said FROM judged, (SELECT DISTINCT b FROM inserts)
+  UNION ALL SELECT conv_id, i, b, c, CASE kind WHEN 'truncated' THEN 6 ELSE 1 END, 'R', chr(10) || name || ':' || text
+  FROM judged, moves WHERE kind IN ('truncated', 'sound')
+  UNION ALL SELECT conv_id, i, b, c, CASE kind WHEN 'truncated' THEN 5 ELSE 0 END, 'K', chr(10) || role || ':' || text
+  FROM judged JOIN (SELECT b, c FROM moves UNION ALL SELECT '', 's') ON initial = c WHERE kind IN ('truncated', 'sound')),
+states(conv_id, i, state, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '', {{'cost': 0, 'audit': '', 'said': ''}} FROM counted
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, o.c, min({{'cost': s.best.cost + n.cost + o.cost, 'audit': s.best.audit || n.audit || o.edit,
+    'said': s.best.said || n.added || o.said}})
+  FROM states s JOIN inserts n ON n.a = s.state JOIN options o ON o.conv_id IS NOT DISTINCT FROM s.conv_id AND o.i = s.i + 1 AND o.b = n.b
+  GROUP BY ALL),
+ended AS (SELECT c.conv_id, min({{'cost': s.best.cost + n.cost, 'audit': s.best.audit || n.audit, 'said': s.best.said || n.added}}) AS best
+  FROM counted c JOIN states s ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.i JOIN inserts n ON n.a = s.state
+  WHERE n.b IN ('', 'a') GROUP BY c.conv_id)
+SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.said, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN counted c ON k.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON k.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+NEAREST_VECTORS = f"""
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {NEAREST}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_merkle": _merkle(),
+        "op12_turn_repair": REPAIR,
+        "op13_nearest": NEAREST_VECTORS,
         "op1_sharding": _sharding(),
         "op6_chat": CHAT,
         "op7_urls": _urls(),

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeglass.llm import (
-    bm25_packing, chat, digest, huffman, line_templates, neighbour_quality, sharding, simhash, tiling, url_templates,
+    bm25_packing, chat, digest, huffman, kd_search, line_templates, merkle_log, neighbour_quality, sharding, simhash, tiling,
+    turn_repair, url_templates,
 )
 from tapeglass.llm.common import table
 from tapeglass.session import scratch_folder
 
 SHARDS = 8
 SHINGLE, DISTANCE = 4, 4
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+QUERY_EVERY, NEAREST = 20, 20
 CONTROL = "\\### Assistant: </turn> ok"
 RULES = [
     url_templates.Rule("org", "/", "allow"),
@@ -83,9 +86,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "dropped_lines")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", url_templates.UPPER, url_templates.LOWER)
+    tampered = merkle_log.leaf_digest(*(lowered if c == "text" else F.col(c) for c in LEAF_COLUMNS))
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle_log.manifest(docs, LEAF_COLUMNS, carried={"tampered": F.when(hit, tampered)})
+    folded = merkle_log.folded(F.coalesce("tampered", "leaf"), F.col("left"), F.col("right"))
+    proof = merkle_log.proof_digest(F.col("left"), F.col("right"))
+    made = found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.repair_plans(turn_repair.damaged(turns), turns)
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asks = F.col("vec_id") % QUERY_EVERY == 0
+    found = kd_search.top_products(table(spark, sf_dir, "embeddings"), asks, NEAREST)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def queries() -> dict:
     own = [
         op1_sharding, op2_token_ids, op3_fingerprints, op4_decontamination, op5_simhash, op6_chat, op7_urls,
-        op8_packing, op9_quality, op10_line_dedup,
+        op8_packing, op9_quality, op10_line_dedup, op11_merkle, op12_turn_repair, op13_nearest,
     ]
     return {query.__name__: query for query in own}
