@@ -236,6 +236,35 @@ FIRST_PER_KEY = (
 )
 
 
+# A table of several appends: the first one that has a key wins, and the first row in it.
+APPENDED = """, stored AS (SELECT *, CAST(timestamp AS TIME) BETWEEN TIME '09:30:00' AND TIME '16:15:00' AS inside FROM whole
+  QUALIFY row_number() OVER (PARTITION BY timestamp, Side, future_strike ORDER BY event_id % {appends}, event_id) = 1),
+stored_live AS (SELECT * FROM stored WHERE inside)"""
+
+
+def _rollup_buckets() -> str:
+    series = {
+        "basis": (BASIS, ["es_price", "spx_price", "basis"]),
+        "net_flow": (NET_FLOW, ["call_delta_flow", "put_delta_flow", "net_delta"]),
+        "spread": (SPREAD, ["spread", "spx_price"]),
+        "gex": (GEX_INTRADAY, ["long_gex", "short_gex", "net_gex"]),
+    }
+    made = []
+    for width in ("5 seconds", "1 minute", "5 minutes", "45 minutes"):
+        for name, (text, values) in series.items():
+            rounded = [f"round({v}, 6) AS {c}" for c, v in zip("abc", values)] + [f"NULL AS {c}" for c in "abc"[len(values) :]]
+            rows = text.format(width=width, src="stored_live")
+            made.append(f"SELECT '{name}' AS series, '{width}' AS width, time_bucket, {', '.join(rounded)} FROM ({rows})")
+    return APPENDED.format(appends=3) + " " + " UNION ALL ".join(made)
+
+
+def _sampled(rows: str, n: int) -> str:
+    """The rows of the smallest hashes of their key."""
+    texts = ["strftime(timestamp, '%Y%m%d%H%M%S%f')", "Side", "CAST(future_strike AS VARCHAR)"]
+    key = " || '|' || ".join(["'42'", *(f"coalesce({text}, '-')" for text in texts)])
+    return f"SELECT * FROM {rows} ORDER BY substr(md5({key}), 1, 15), timestamp NULLS FIRST, Side NULLS FIRST, future_strike, {{rest}} LIMIT {n}"
+
+
 def oracle_queries() -> dict[str, str]:
     minutes = {
         name: int(at[:2]) * 60 + int(at[2:]) for name, at in (("first", FIRST_MINUTE), ("last", LAST_MINUTE))
@@ -371,4 +400,36 @@ FROM (SELECT event_id // {QUARANTINE_FILE_EVENTS} AS file FROM flow
   WHERE timestamp IS NOT NULL AND event_id % {QUARANTINE_FILE_EVENTS} = 123) WHERE file % 6 BETWEEN 1 AND 4""",
         "minute_stream": f"SELECT {kept} FROM whole{FIRST_PER_KEY}",
     }
+    appended, moments = APPENDED.format(appends=3), _correlation("stored_live")
+    shown = "SELECT timestamp, Side, future_strike, spx_price, MBO_pulling_stacking"
+    sampled = _sampled("live", 1000).format(rest="spx_price, MBO_pulling_stacking")
+    greeks_first = ", ".join(f"{g} NULLS FIRST" for g in GREEKS)
+    sql |= {
+        "rollup_buckets": _rollup_buckets(),
+        "rollup_strikes": appended
+        + " SELECT time_bucket, future_strike, 'Bid' AS Side, total_size, NULL AS event_count FROM ("
+        + HEATMAP.format(width="15 minutes", src="stored_live WHERE Side = 'Bid'")
+        + ") UNION ALL SELECT NULL, future_strike, Side, total_size, event_count FROM ("
+        + DEPTH.format(src="stored")
+        + ")",
+        "moments_correlation": appended + moments + " SELECT * FROM long",
+        "one_scan_correlation": _correlation("live") + " SELECT * FROM long",
+        "indexed_events": appended
+        + " (SELECT timestamp, spx_price, MBO_pulling_stacking, 'first' AS part FROM stored_live WHERE MBO_pulling_stacking <> 0"
+        f" {PS_ORDER.format(d='')} LIMIT 700) UNION ALL (SELECT timestamp, spx_price, MBO_pulling_stacking, 'last'"
+        f" FROM stored_live {PS_ORDER.format(d=' DESC')} LIMIT 500)",
+        "filtered_append": f"{appended} SELECT {kept} FROM stored",
+        "compacted": f"{APPENDED.format(appends=10)} SELECT {kept} FROM stored",
+        "gap_intervals": days
+        + f", gaps AS ({GAPS}), numbered AS (SELECT date, minute, CAST(minute[:2] AS INT) * 60 + CAST(minute[3:] AS INT)"
+        " - row_number() OVER (PARTITION BY date ORDER BY minute) AS run FROM gaps)"
+        ' SELECT date, min(minute) AS "from", max(minute) AS "to", count(*) AS count FROM numbered GROUP BY date, run',
+        "sample_events": f"{shown} FROM ({sampled})",
+        "sample_correlation": ", picked AS ("
+        + _sampled("flow", 50_000).format(rest=greeks_first)
+        + ")"
+        + _correlation("picked")
+        + " SELECT * FROM long",
+        "sample_sizes": ", picked AS (" + _sampled("flow", 10_000).format(rest="MBO NULLS FIRST") + ") " + SIZE_VALUES.format(sizes=SIZES, src="picked"),
+    }
     return {name: BASE + text for name, text in sql.items()}

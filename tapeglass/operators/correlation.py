@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapeglass.functions.scalars import measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
-from tapeglass.schema import GREEKS
+from tapeglass.operators.sampling import exact_sample
+from tapeglass.schema import GREEKS, KEY
 
 # Bands on the absolute correlation, strongest first, and the name below the last bound.
 STRENGTH_BANDS = [(0.9, "near-perfect"), (0.7, "strong"), (0.5, "moderate"), (0.3, "weak")]
@@ -67,18 +68,25 @@ def correlation(
     f: FlowFilter | None = None,
     sample: float | None = None,
     seed: int = 42,
+    rows: int | None = None,
 ) -> DataFrame:
     """256 rows (greek_i, greek_j, r), rounded to four places; no rows for empty input.
 
     NULL and non-finite values count as 0, the diagonal is 1 and a pair with a constant column is 0. The
-    whole table counts; `sample` asks for a seeded fraction of it instead.
+    whole table counts; `rows` asks for a sample of exactly so many rows, `sample` for a seeded fraction instead.
     """
     events = apply_filters(flow, f)
+    if rows is not None:
+        events = exact_sample(events.select(*KEY, *GREEKS), rows, KEY, seed)
     if sample is not None:
         events = events.sample(fraction=sample, seed=seed)
-    width = len(GREEKS)
     # At most 136 entries, one per pair.
-    totals = _products(events).selectExpr("map_from_entries(collect_list(struct(cell, total))) AS s")
+    return correlation_cells(_products(events).selectExpr("map_from_entries(collect_list(struct(cell, total))) AS s"))
+
+
+def correlation_cells(totals: DataFrame) -> DataFrame:
+    """The 256 rows from one row with a map `s` of pair (16 i + j, i <= j) to its sum of centred products."""
+    width = len(GREEKS)
     row, across = f"k div {width}", f"k % {width}"
     product = f"s[int(least({row}, {across}) * {width} + greatest({row}, {across}))]"
     deviations = " * ".join(f"sqrt(s[int(({at}) * {width + 1})])" for at in (row, across))

@@ -21,11 +21,12 @@ def ordered(df: DataFrame, by: list[str], limit: int | None, most: int) -> DataF
     return df if limit is None else df.limit(limit)
 
 
-def _cut_minute(df: DataFrame, n: int, last: bool, time: str) -> Column:
+def _cut_minute(df: DataFrame, n: int, last: bool, time: str, counts: DataFrame | None) -> Column:
     """Start of the minute that holds the n-th timed event from the front or the back, as a scalar subquery.
 
-    Events are counted per minute before the shuffle. The running sums go over one row per day and then over the
-    minutes of one day. With fewer than n timed events it is the farthest minute; NULL without any.
+    Events are counted per minute before the shuffle, unless (minute, events) `counts` are at hand. The running sums go
+    over one row per day and then over the minutes of one day. With fewer than n timed events it is the farthest
+    minute; NULL without any.
     """
 
     def nearest(bucket: str) -> Column:
@@ -37,8 +38,12 @@ def _cut_minute(df: DataFrame, n: int, last: bool, time: str) -> Column:
         before = F.coalesce(F.sum("events").over(running), F.lit(0))
         return counts.withColumn("before", before).where(F.col("before") < wanted)
 
-    timed = df.where(F.col(time).isNotNull())
-    minutes = timed.groupBy(time_bucket(time, minutes=1).alias("minute")).agg(F.count(F.lit(1)).alias("events"))
+    if counts is None:
+        timed = df.where(F.col(time).isNotNull())
+        minutes = timed.groupBy(time_bucket(time, minutes=1).alias("minute")).agg(F.count(F.lit(1)).alias("events"))
+    else:
+        known = counts.where("minute IS NOT NULL AND events > 0")
+        minutes = known.groupBy("minute").agg(F.sum("events").alias("events"))
     days = minutes.groupBy(F.to_date("minute").alias("day")).agg(F.sum("events").alias("events"))
     farthest = F.min_by if last else F.max_by
     day = reached(days, "day", F.lit(n)).agg(
@@ -49,14 +54,16 @@ def _cut_minute(df: DataFrame, n: int, last: bool, time: str) -> Column:
     return rows.agg((F.min if last else F.max)("minute").alias("cut")).scalar()
 
 
-def cut_by_time(df: DataFrame, n: int, last: bool = False, time: str = "timestamp") -> DataFrame:
+def cut_by_time(
+    df: DataFrame, n: int, last: bool = False, time: str = "timestamp", counts: DataFrame | None = None
+) -> DataFrame:
     """A superset of the first (or last) `n` rows by `time`, whole minutes up to the one of the n-th row.
 
-    `time` is a TIMESTAMP_NTZ. The cut is part of the plan: it reads the time column once more and is found when
-    the result runs, for any size alike. Where there is a `date` column it prunes partitions. Rows without a time
+    `time` is a TIMESTAMP_NTZ. The cut is part of the plan: it reads the time column once more, or the (minute, events)
+    `counts` of just these rows, and is found when the result runs, for any size alike. Where there is a `date` column it prunes partitions. Rows without a time
     stay, since they come last in either direction.
     """
-    cut = _cut_minute(df, n, last, time)
+    cut = _cut_minute(df, n, last, time, counts)
     upto = cut + F.expr("INTERVAL '1' MINUTE")
     kept = F.col(time) >= cut if last else F.col(time) < upto
     df = df.where(kept | F.col(time).isNull())
@@ -67,14 +74,14 @@ def cut_by_time(df: DataFrame, n: int, last: bool = False, time: str = "timestam
     return df
 
 
-def first_events(df: DataFrame, n: int, by: list[str]) -> DataFrame:
+def first_events(df: DataFrame, n: int, by: list[str], counts: DataFrame | None = None) -> DataFrame:
     """The first `n` raw rows in the order `by`, whose first column is the time."""
-    return cut_by_time(df, n, False, by[0]).orderBy([F.col(name).asc_nulls_last() for name in by]).limit(n)
+    return cut_by_time(df, n, False, by[0], counts).orderBy([F.col(name).asc_nulls_last() for name in by]).limit(n)
 
 
-def last_events(df: DataFrame, n: int, by: list[str]) -> DataFrame:
+def last_events(df: DataFrame, n: int, by: list[str], counts: DataFrame | None = None) -> DataFrame:
     """The last `n` raw rows in the order `by`, whose first column is the time, returned in that order."""
-    return last_n(cut_by_time(df, n, True, by[0]), n, by)
+    return last_n(cut_by_time(df, n, True, by[0], counts), n, by)
 
 
 def last_n(df: DataFrame, n: int, by: list[str]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeglass.functions.mbo import with_mbo_size
 from tapeglass.functions.scalars import PS_EVENT, es_points, finite_or_null, measures
+from tapeglass.functions.time import in_session, time_bucket
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.greeks import bucket_column
 from tapeglass.operators.ordering import check_range, first_events, last_events, ordered
@@ -94,6 +97,23 @@ def net_flow(
     return ordered(sized.groupBy("time_bucket").agg(*net_flow_measures()), ["time_bucket"], limit, 50000)
 
 
+def minute_rows(rows: DataFrame) -> DataFrame:
+    """Events and pulling/stacking events of stored rows (with `wall_time` and `file`) by file, minute and session."""
+    session = F.coalesce(in_session("wall_time"), F.lit(False)).alias("in_session")
+    minute = time_bucket("wall_time", minutes=1).alias("minute")
+    return rows.groupBy("file", "date", minute, session).agg(*measures(events="count(*)", ps_events=f"sum({PS_EVENT})"))
+
+
+def _counts(minutes: DataFrame | None, f: FlowFilter | None, only_events: bool) -> DataFrame | None:
+    """(minute, events) of the rows that the filter keeps, from `minute_rows`."""
+    if minutes is None:
+        return None
+    if replace(f or FlowFilter(), market_hours=True) != FlowFilter():
+        raise ValueError("counts by minute know the session only, no other filter")
+    kept = minutes.where("in_session") if (f or FlowFilter()).market_hours else minutes
+    return kept.select("minute", F.col("ps_events" if only_events else "events").alias("events"))
+
+
 def _ps_events(flow: DataFrame, f: FlowFilter | None, only_events: bool) -> DataFrame:
     events = apply_filters(flow, f)
     if only_events:
@@ -109,26 +129,29 @@ def pulling_stacking(
     limit: int | None = None,
     only_events: bool = False,
     in_order: bool = False,
+    minutes: DataFrame | None = None,
 ) -> DataFrame:
     """Time, price and pulling/stacking mark; `only_events` drops the rows marked 0.
 
-    All rows by default, sorted by time if `in_order` asks for it; with a limit the earliest ones in time order.
+    All rows by default, sorted by time if `in_order` asks for it; with a limit the earliest ones in time order. With the
+    table's `minutes` (`minute_rows`) a limit finds its last minute without a look at the events.
     """
     events = _ps_events(flow, f, only_events)
     if limit is not None:
         check_range("limit", limit, 1, 100000)
-        events = first_events(events, limit, PS_ORDER)
+        events = first_events(events, limit, PS_ORDER, _counts(minutes, f, only_events))
     elif in_order:
         events = events.orderBy([F.col(name).asc_nulls_last() for name in PS_ORDER])
     return finite_or_null(events.select(PS_COLUMNS))
 
 
 def recent_pulling_stacking(
-    flow: DataFrame, f: FlowFilter | None = None, n: int = 500, only_events: bool = False
+    flow: DataFrame, f: FlowFilter | None = None, n: int = 500, only_events: bool = False, minutes: DataFrame | None = None
 ) -> DataFrame:
-    """The last `n` rows of the pulling/stacking series, in time order."""
+    """The last `n` rows of the pulling/stacking series, in time order; `minutes` as for `pulling_stacking`."""
     events = _ps_events(flow, f, only_events)
-    return finite_or_null(last_events(events, n, PS_ORDER).select(PS_COLUMNS))
+    last = last_events(events, n, PS_ORDER, _counts(minutes, f, only_events))
+    return finite_or_null(last.select(PS_COLUMNS))
 
 
 def ps_split(ps: DataFrame) -> DataFrame:

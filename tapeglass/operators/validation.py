@@ -50,10 +50,12 @@ def cast_text(value: str, field: T.StructField) -> str:
 def cast_beside_raw(raw: DataFrame, *keep: str) -> DataFrame:
     """The typed columns, the parsed sizes and the columns as read under `raw`: every value is cast once.
 
-    What cannot be cast or parsed becomes NULL; the row checks count it.
+    What cannot be cast or parsed becomes NULL; the row checks count it. Sizes that are there already stay.
     """
     present = [f for f in FLOW_SCHEMA.fields if f.name in raw.columns]
     sizes = [f"{PARSED_SIZES} AS mbo_sizes"] if "MBO" in raw.columns else []
+    if "mbo_sizes" in raw.columns:
+        sizes = ["mbo_sizes"]
     texts = {name for name, kind in raw.dtypes if kind == "string"}
 
     def cast(field: T.StructField) -> str:

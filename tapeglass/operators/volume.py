@@ -9,6 +9,8 @@ from tapeglass.functions.scalars import measures
 from tapeglass.operators.filters import FlowFilter, apply_filters
 from tapeglass.operators.greeks import bucket_column
 from tapeglass.operators.ordering import check_range, ordered
+from tapeglass.operators.sampling import exact_sample
+from tapeglass.schema import KEY
 
 
 def heatmap_cells(
@@ -102,10 +104,13 @@ def depth_ladder(depth_df: DataFrame, top: int = 40) -> DataFrame:
 
 
 def histogram_values(
-    flow: DataFrame, f: FlowFilter | None = None, fraction: float | None = None, seed: int = 42
+    flow: DataFrame, f: FlowFilter | None = None, fraction: float | None = None, seed: int = 42, rows: int | None = None
 ) -> DataFrame:
-    """Every single order size; `fraction` asks for a seeded sample of the events instead."""
+    """Every single order size; `rows` asks for those of exactly so many sampled events, `fraction` for a seeded share."""
     events = apply_filters(flow, f)
+    if rows is not None:
+        sizes = [name for name in ("mbo_sizes",) if name in events.columns]
+        events = exact_sample(events.select(*KEY, "MBO", *sizes), rows, KEY, seed)
     if fraction is not None:
         events = events.sample(fraction=fraction, seed=seed)
     return explode_mbo(events)

@@ -6,14 +6,17 @@ and the New York wall clock. Queries read only the columns they name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tapeglass.functions.mbo import sum_sizes
 from tapeglass.functions.scalars import measures
 from tapeglass.functions.time import wall_clock
-from tapeglass.operators.dedup import dedup_first, merge_new
+from tapeglass.operators.dedup import dedup_first, merge_in_ranges
+from tapeglass.operators.moments import moment_rows
+from tapeglass.operators.rollup import rollup_cells
+from tapeglass.operators.signals import minute_rows
 from tapeglass.operators.validation import (
     ValidationError,
     cast_beside_raw,
@@ -23,6 +26,8 @@ from tapeglass.operators.validation import (
 )
 from tapeglass.schema import FLOW_COLUMNS, FLOW_SCHEMA, KEY
 from tapeglass.session import drop_folder, path_exists, scratch_folder, session_conf
+from tapeglass.sources.key_filters import files_with_keys, key_rows
+from tapeglass.sources.side_tables import Summary, read_side, refresh, stored_files
 
 STORED_SCHEMA = T.StructType(
     [
@@ -116,23 +121,50 @@ def _touched(existing: DataFrame, staged: DataFrame) -> DataFrame:
     return existing.where(keep).join(F.broadcast(days), inside, "left_semi")
 
 
-def append_staged(spark: SparkSession, folder: str, path: str) -> int:
-    """Append the staged rows whose key the table lacks; existing rows win, first input row wins."""
+#: Side tables by name: what each keeps of stored rows.
+SUMMARIES: dict[str, Summary] = {"keys": key_rows, "rollup": rollup_cells, "moments": moment_rows, "minutes": minute_rows}
+
+
+def refresh_side_tables(spark: SparkSession, path: str, names: Iterable[str] = tuple(SUMMARIES)) -> dict[str, int]:
+    """Summarise the files that the side tables lack; the number of files by side table."""
+    with session_conf(spark, WRITE_CONF):
+        return {name: refresh(spark, path, name, STORED_SCHEMA, SUMMARIES[name]) for name in names}
+
+
+def side_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The summaries of all files of the table: refreshed ones as stored, others made on the spot."""
+    return read_side(spark, path, name, STORED_SCHEMA, SUMMARIES[name])
+
+
+def _candidates(spark: SparkSession, path: str, staged: DataFrame) -> DataFrame:
+    """Rows of the stored files that may hold a key of the staged rows, by the side table `keys`.
+
+    The driver gets the names of these files, as it does for any scan of them.
+    """
+    wanted = files_with_keys(side_table(spark, path, "keys"), staged)
+    names = [row.path for row in stored_files(spark, path).join(wanted, "file").select("path").orderBy("path").collect()]
+    if not names:
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return spark.read.schema(STORED_SCHEMA).option("basePath", path).parquet(*names)
+
+
+def append_staged(spark: SparkSession, folder: str, path: str, by_files: bool = False) -> int:
+    """Append the staged rows whose key the table lacks; existing rows win, first input row wins.
+
+    `by_files` has the side table `keys` choose the stored files to look into.
+    """
     staged = spark.read.schema(STAGED_SCHEMA).parquet(folder).where(F.col("_error").isNull())
     new = staged.drop("_error", "_findings")
-    if path_exists(spark, path):
-        table = spark.read.schema(STORED_SCHEMA).parquet(path)
-        existing = _touched(table, staged).select(KEY)
+    if not path_exists(spark, path):
+        existing = spark.createDataFrame([], T.StructType([STORED_SCHEMA[name] for name in ("date", *KEY)]))
+    elif by_files:
+        existing = _candidates(spark, path, staged).select("date", *KEY)
     else:
-        existing = spark.createDataFrame([], T.StructType([FLOW_SCHEMA[name] for name in KEY]))
-    layout = ["date", *KEY]
-    # Ranges of (date, key) even out busy days over many files and give each file a narrow time range.
-    fresh = (
-        merge_new(existing, new, INPUT_ORDER)
-        .select(STORED_COLUMNS)
-        .repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-    )
+        table = spark.read.schema(STORED_SCHEMA).parquet(path)
+        existing = _touched(table, staged).select("date", *KEY)
+    # Ranges of date and time even out busy days over many files and give each file a narrow time range. The strike is
+    # left to the sort: grouping changes zeros and NaNs of a float, which would cost a second shuffle.
+    fresh = merge_in_ranges(existing, new, INPUT_ORDER, ["date", "timestamp", "Side"]).select(STORED_COLUMNS)
     written = Observation("append")
     with session_conf(spark, WRITE_CONF):
         (
@@ -151,12 +183,14 @@ def append_flow(
     strict: bool = True,
     validate: bool = False,
     on_staged: Callable[[DataFrame], None] | None = None,
+    side_tables: Iterable[str] = (),
 ) -> dict[str, object]:
     """Cast, check, deduplicate and append raw or typed rows; returns the counts and the report.
 
     `strict` aborts on values that cannot be cast, `validate` on any finding; both do so before the table is
     touched. `rows` may hold the columns `_file`, `_block`, `_row` (input order) and `_error`; without them
-    the order of the frame decides. `on_staged` gets the staged frame, refused files included.
+    the order of the frame decides. `on_staged` gets the staged frame, refused files included. `side_tables` are
+    refreshed after the append; with `keys` among them it looks into the stored files only that may hold its keys.
     """
     spark = rows.sparkSession
     missing = missing_columns(rows)
@@ -180,9 +214,11 @@ def append_flow(
             raise ValidationError("; ".join(f"{c}: {k} x{n} ({v!r})" for c, k, n, v in fatal))
         if on_staged is not None:
             on_staged(staged)
-        appended = append_staged(spark, folder, path)
+        appended = append_staged(spark, folder, path, "keys" in side_tables)
     finally:
         drop_folder(spark, folder)
+    if appended:
+        refresh_side_tables(spark, path, side_tables)
     return {"read": metrics["rows"], "appended": appended, "report": report}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # The file name pattern and the default first and last minute.
 FIRST_MINUTE = "0921"
@@ -45,3 +45,15 @@ def coverage_gaps(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return expected.join(landed.select("file_name"), "file_name", "left_anti").select(
         "date", "minute", "file_name"
     )
+
+
+def gap_intervals(gaps: DataFrame) -> DataFrame:
+    """(date, from, to, count) of the runs of missing minutes, both ends inclusive, from `coverage_gaps`.
+
+    Minutes of one run differ from their place in the day's list by the same number. A date has 1,440 minutes at most.
+    """
+    clock = F.substring("minute", 1, 2).cast("int") * 60 + F.substring("minute", 3, 2).cast("int")
+    place = F.row_number().over(Window.partitionBy("date").orderBy("minute"))
+    runs = gaps.select("date", "minute", (clock - place).alias("run")).groupBy("date", "run")
+    found = runs.agg(F.min("minute").alias("from"), F.max("minute").alias("to"), F.count(F.lit(1)).alias("count"))
+    return found.select("date", "from", "to", "count")

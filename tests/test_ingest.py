@@ -225,7 +225,7 @@ def test_minute_files_decode_or_are_refused_whole(spark, landing):
     rows = tg.scan_minute_files(spark, str(landing / "*"))
     good = rows.where("_error IS NULL").orderBy("_file", "_row").collect()
     assert [(r.Side, r.MBO, r.future_strike) for r in good] == [
-        ("Ask", "[4.0]", "1.0"), ("Bid", "[]", "1.0"), ("Ask", "[1,2.5]", "7.5")
+        ("Ask", "[4.0]", 1.0), ("Bid", "[]", 1.0), ("Ask", "[1,2.5]", 7.5)
     ]
     reasons = {r._file[-11:-7]: r._error for r in rows.where("_error IS NOT NULL").collect()}
     assert sorted(reasons) == ["0933", "0934", "0935", "0936", "0937", "0941", "0942", "0943", "0944"]
