@@ -21,6 +21,7 @@ from tapeglass.llm.tokens import encoder, narrow, TEXTS_AT_ONCE
 WINDOW = 1024
 SHARD_TAILS = 512
 TASK_TOKENS = 2_000_000
+MARKED_TEXTS = 32
 K1, B = 1.2, 0.75
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
@@ -53,16 +54,23 @@ def _cut_documents(docs: DataFrame, tokenizer: str, spaces: str, end_id: int, wi
             ("tail", pa.binary()), ("signature", pa.int64()), ("frequencies", pa.binary()),
         ])
         frequencies = np.zeros(own.size, np.uint32)
+        seen = np.zeros((MARKED_TEXTS, own.size), bool)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 few, rows = batch.slice(at, TEXTS_AT_ONCE), []
                 for doc, raw in zip(few.column(0).to_pylist(), own.encode(few.column(1).to_pylist())):
                     ids = np.frombuffer(raw, own.dtype)
-                    frequencies[np.unique(ids)] += 1
+                    # Documents by id: marks of some documents side by side are counted at once.
+                    seen[len(rows) % MARKED_TEXTS, ids] = True
+                    if len(rows) % MARKED_TEXTS == MARKED_TEXTS - 1:
+                        frequencies += seen.sum(axis=0, dtype=np.uint32)
+                        seen[:] = False
                     full = len(ids) // window * window
                     crcs = [_crc(ids[i : i + window]) for i in range(0, full, window)]
                     tail = ids[full:]
                     rows.append((doc, len(ids), crcs, tail.tobytes(), _signature(tail), None))
+                frequencies += seen.sum(axis=0, dtype=np.uint32)
+                seen[:] = False
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
         last = {"frequencies": frequencies.tobytes()}
         yield pa.RecordBatch.from_pylist([last], schema=schema)

@@ -13,7 +13,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tapeglass.llm.common import ranges
+from tapeglass.llm.common import range_limits, range_of, ranges
 
 BUCKETS = 256
 # Offsets of the second and third byte of each triplet.
@@ -71,15 +71,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(key), F.col(text).alias("_text")).mapInPandas(run, f"`{key}` {kind}, fingerprint string")
 
 
-def _cuts(docs: DataFrame, key: str, rows: int) -> list[int]:
-    """Keys that part the documents into ranges of about `rows`; a range begins after each of them."""
-    parts = ranges(docs.count(), rows)
-    if parts == 1:
-        return []
-    found = docs.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
-    return sorted(set(found or []))
-
-
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", range_rows: int = 2048) -> DataFrame:
     """Fingerprints of every text and of the text whose last quarter is replaced with the next document's beginning.
 
@@ -89,13 +80,10 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Columns: key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    cuts = _cuts(rows, "key", range_rows)
-    limits = F.sort_array(F.array(*[F.lit(c).cast("long") for c in cuts])) if cuts else None
+    limits = range_limits(rows, "key", ranges(rows.count(), range_rows))
 
     def ranged(df: DataFrame) -> DataFrame:
-        """`part`: how many cuts are smaller than the key."""
-        below = F.size(F.filter(limits, lambda c: c < F.col("key"))) if cuts else F.lit(0)
-        return df.withColumn("part", F.when(F.col("key").isNull(), 0).otherwise(below).cast("int"))
+        return df.withColumn("part", range_of(F.col("key"), limits).cast("int"))
 
     # First key of each range, at most one row a range, and the range whose last document it follows.
     firsts = (
@@ -118,7 +106,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         .select("key", "text", F.explode(F.when(F.col("before").isNull(), places).otherwise(F.concat(places, also))).alias("at"))
         .select("at.part", "at.guest", "key", "text")
     )
-    ordered = together.repartitionById(len(cuts) + 1, "part").sortWithinPartitions("part", "guest", "key", "text")
+    ordered = together.repartitionById(len(limits) + 1, "part").sortWithinPartitions("part", "guest", "key", "text")
 
     def compare(batches):
         import pyarrow as pa

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tapeglass.llm.common import ranges, staged
+from tapeglass.llm.common import range_limits, ranges, staged
 from tapeglass.llm.tokens import encoded_batches, narrow
 
 MAX_BITS = 20
@@ -118,18 +118,29 @@ def decode_segments(bits: bytes, offsets: np.ndarray, sizes: np.ndarray, tables)
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, spaces: str, end_id: int, key="doc_id", text="text") -> DataFrame:
-    """(doc_id, ids binary, width): ids of the whole text (NULL: empty) and `end_id`, `width` bytes each."""
+    """(doc_id, ids binary, width, counts): ids of the whole text (NULL: empty) and `end_id`, `width` bytes each.
+
+    The last row of every task holds no document, but in `counts` how often each id stands in the task's documents.
+    """
 
     def run(batches):
         import pyarrow as pa
 
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("width", pa.int32()), ("counts", pa.binary())])
+        total = np.zeros(0, np.int64)
         for keys, ids, own in encoded_batches(batches, tokenizer, spaces, end_id):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array([own.dtype.itemsize] * len(ids), pa.int32())],
-                ["doc_id", "ids", "width"],
-            )
+            total = _counted(total, np.frombuffer(b"".join(ids), own.dtype))
+            columns = [keys, ids, [own.dtype.itemsize] * len(ids), [None] * len(ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], schema=schema)
 
-    return narrow(docs, key, text).mapInArrow(run, "doc_id long, ids binary, width int")
+    return narrow(docs, key, text).mapInArrow(run, "doc_id long, ids binary, width int, counts binary")
+
+
+def _counted(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    seen = np.bincount(ids, minlength=len(total))
+    seen[: len(total)] += total
+    return seen
 
 
 def _arrays(batch) -> Iterator[np.ndarray]:
@@ -138,7 +149,8 @@ def _arrays(batch) -> Iterator[np.ndarray]:
 
 
 def id_counts(coded: DataFrame) -> DataFrame:
-    """(id, n) over all documents, added up in every task first."""
+    """(id, n) over all documents, added up in every task first; from the tasks' own counts where there are any."""
+    told = "counts" in coded.columns
 
     def run(batches):
         import pyarrow as pa
@@ -146,18 +158,25 @@ def id_counts(coded: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                arrays = list(_arrays(batch.slice(at, 256)))
-                seen = np.bincount(np.concatenate(arrays).astype(np.int64), minlength=len(total))
-                seen[: len(total)] += total
-                total = seen
+                few = batch.slice(at, 256)
+                if told:
+                    for counts in few.column("counts"):
+                        own = np.frombuffer(counts.as_buffer(), "<i8")
+                        longer, shorter = (own, total) if len(own) > len(total) else (total, own)
+                        total = longer.copy()
+                        total[: len(shorter)] += shorter
+                else:
+                    total = _counted(total, np.concatenate(list(_arrays(few))))
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    return coded.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    read = coded.select("counts").where("counts IS NOT NULL") if told else coded.select("ids", "width")
+    return read.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_ids(coded: DataFrame, path: str, max_bits: int = MAX_BITS, part_ids: int = PART_IDS) -> None:
-    """Write (doc_id, ids, width) rows in ascending doc_id order; `coded` is read three times, so stage it before.
+    """Write (doc_id, ids, width) rows in ascending doc_id order; `coded` is read three times, so stage it before. Rows
+    with `counts`, as `encode_texts` gives them, tell how often ids stand in the others.
 
     The driver receives the counts, one row per distinct id (bounded by the vocabulary), and the cuts between
     parts. NULL doc_ids come first, rows of one doc_id stay together, repeated rows are all written. An empty
@@ -171,10 +190,8 @@ def write_ids(coded: DataFrame, path: str, max_bits: int = MAX_BITS, part_ids: i
     row = [(code.ids.tolist(), code.lengths.tolist(), code.bits)]
     spark.createDataFrame(row, "ids array<long>, lengths array<long>, bits int").coalesce(1).write.parquet(f"{path}/code")
 
-    parts = ranges(sum(n for n, _ in counts), part_ids)
-    quantiles = [i / parts for i in range(1, parts)]
-    cuts = coded.select(F.percentile_approx("doc_id", quantiles, 100 * parts)).first()[0] if quantiles else []
-    limits = np.array(cuts or [], np.int64)
+    documents = coded.where("ids IS NOT NULL").select("doc_id", "ids", "width")
+    limits = np.array(range_limits(documents, "doc_id", ranges(sum(n for n, _ in counts), part_ids)), np.int64)
 
     def code_documents(batches):
         import pyarrow as pa
@@ -232,8 +249,8 @@ def write_ids(coded: DataFrame, path: str, max_bits: int = MAX_BITS, part_ids: i
         if own:
             yield flush()
 
-    documents = coded.mapInArrow(code_documents, "part int, doc_id long, n long, marks binary, bits binary")
-    ordered = documents.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n", "bits")
+    made = documents.mapInArrow(code_documents, "part int, doc_id long, n long, marks binary, bits binary")
+    ordered = made.repartitionById(len(limits) + 1, "part").sortWithinPartitions("part", "doc_id", "n", "bits")
     ordered.mapInArrow(block_documents, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 

@@ -9,6 +9,7 @@ blocks, and the labels of the nearest ones by the mean of both vote with their s
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 
@@ -168,10 +169,12 @@ def _term_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "quality") -> Voters:
-    """Voters from at most `sample` labelled documents; the driver receives their features. Terms are weighted by how
-    many of all `docs` have them.
+    """Voters from at most `sample` labelled documents, put together in one task; the driver receives the vectors and
+    projections alone. Terms are weighted by how many of all `docs` have them.
 
     Labels other than 0 and 1, of absent documents or of held-out rows are not used. Without any, all scores are 0.5.
+    NULL texts count as empty; repeated documents and repeated labels are voters each, and ties of votes share. Other
+    columns are not read.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(key) & F.col(key).isNotNull())
     known = known.select(F.col(key).cast("long").alias("_key"), F.col(label).cast("int").alias("_label"))
@@ -189,15 +192,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
 
     texts = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     rows = texts.join(F.broadcast(chosen), "_key").select("_label", "_text")
-    made = rows.mapInArrow(run, "label int, features binary, terms binary, counts binary").collect()
-    found = sorted((r["features"], r["terms"], r["counts"], r["label"]) for r in made)
-    matrix = np.frombuffer(b"".join(f for f, *_ in found), np.float32).reshape(-1, FEATURES)
-    held = [(np.frombuffer(at, np.uint16), np.frombuffer(counts, np.uint32)) for _, at, counts, _ in found]
-    return Voters(matrix, held, np.array([y for *_, y in found]), *_term_frequencies(docs.select(F.col(text))))
+    made = rows.mapInArrow(run, "label int, features binary, terms binary, counts binary")
+    documents, frequencies = _term_frequencies(docs.select(F.col(text)))
+
+    def train(batches):
+        import pyarrow as pa
+
+        found = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("features", "terms", "counts", "label"))))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_trained(found, documents, frequencies))], pa.binary())], ["voters"])
+
+    # One task holds the sample, whose size is bounded.
+    packed = made.repartition(1).mapInArrow(train, "voters binary").first()
+    return pickle.loads(packed["voters"]) if packed else _trained([], documents, frequencies)
+
+
+def _trained(rows: list[tuple], documents: int, frequencies: np.ndarray) -> Voters:
+    """Voters of (features, terms, counts, label) rows."""
+    matrix = np.frombuffer(b"".join(f for f, *_ in rows), np.float32).reshape(-1, FEATURES)
+    held = [(np.frombuffer(at, np.uint16), np.frombuffer(counts, np.uint32)) for _, at, counts, _ in rows]
+    return Voters(matrix, held, np.array([y for *_, y in rows]), documents, frequencies)
 
 
 def quality_scores(docs: DataFrame, voters: Voters, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of every row from its whole text alone; NULL counts as empty and every text has a score."""
+    """(key, score) of every row from its whole text alone; NULL counts as empty and every text has a score.
+
+    Repeated rows are scored each, equal texts alike; an empty table gives no rows. Long texts are read whole, other
+    columns not at all.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -213,7 +234,10 @@ def quality_scores(docs: DataFrame, voters: Voters, key: str = "doc_id", text: s
 
 
 def accepted(docs: DataFrame, voters: Voters, text: str = "text", accept_from: float = ACCEPT_FROM) -> DataFrame:
-    """The rows of `docs` whose score reaches `accept_from`, with all their columns as they are."""
+    """The rows of `docs` whose score reaches `accept_from`, with all their columns as they are.
+
+    Rows are kept or dropped each by its own text, NULL as empty; repeated rows alike. An empty table stays empty.
+    """
 
     def run(batches):
         import pyarrow as pa

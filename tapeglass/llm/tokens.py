@@ -1,8 +1,12 @@
-"""Token ids of whole texts with the `tokenizers` library, one library call per distinct piece.
+"""Token ids of whole texts with the `tokenizers` library, which sees each distinct piece of text once.
 
 Both tokenizers split a text at white space, and words from punctuation, before they look at anything else. So the
-ids of a text are those of its pieces in order: words with at most a full stop or comma behind them, what is behind,
-and whatever else stands between white space. Pieces repeat often; their ids are kept in a bounded table per worker.
+ids of a text are those of its chunks between single spaces, and those of a chunk are those of its pieces in order: words
+with at most a full stop or comma behind them, what is behind, and whatever else there is. Chunks and pieces repeat
+often; their ids are kept in bounded tables per worker. A word of plain letters goes to the library's model directly,
+past the splitting and normalising that leave it as it is; a few of each worker's first words are held against the
+whole tokenizer, which takes them all if one differs. Texts with the strings of special tokens or with rare white space
+are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,12 +23,15 @@ TEXTS_AT_ONCE = 256
 
 # A space joins the word after it, and of a longer run of white space the last one stays apart, as in the
 # tokenizer's own pattern. That holds for the four common characters; texts with others are encoded whole.
-WORD = "[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,]?(?:[ \\t\\n\\r]|$))"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = f"[{LETTERS}]+(?=[.,]?(?:[ \\t\\n\\r]|$))"
 PATTERNS = {
     "dropped": rf"{WORD}|[^ \t\n\r]+",
     "kept": rf" ?{WORD}| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
 }
 OTHER_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Words that a worker encodes both ways.
+COMPARED = 200
 
 _ENCODERS: dict = {}
 
@@ -35,29 +42,43 @@ class Encoder:
     def __init__(self, path: str, spaces: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.pieces = re.compile(PATTERNS[spaces]).findall
-        self.odd = re.compile(OTHER_SPACE).search if spaces == "kept" else lambda text: None
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([*special, *([OTHER_SPACE] if spaces == "kept" else [])]) or "(?!)").search
+        self.plain = re.compile(f" ?[{LETTERS}]+").fullmatch
+        # The characters that stand for the bytes of a letter, by the library's own mapping.
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {code: shown(chr(code))[0][0] for code in [32, *range(0xC0, 0x100)]}
+        self.direct, self.compared = True, 0
         self.lower = spaces == "dropped"
+        self.lead = "" if spaces == "dropped" else " "
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _words(self, text: str) -> list[str]:
+        self.parts: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _lowered(self, text: str) -> str:
+        """The tokenizer lower-cases; doing so first makes pieces meet. Beyond Latin-1 languages differ in how."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
+
+    def _split(self, text: str) -> list[str] | None:
+        """Chunks between single spaces, which are encoded alike wherever they stand; None if there is no telling."""
         if self.lower:
-            # The tokenizer lower-cases; doing so first makes pieces meet. Beyond Latin-1 languages differ in how.
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-        return self.pieces(text)
+            return self._lowered(text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        if "  " in text or "\n \n" in text or "\t" in text or "\r" in text:
+            return None
+        return text.split(" ")
 
     def _library(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, by one call of the whole tokenizer."""
         import numpy as np
 
         encoded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
@@ -66,24 +87,73 @@ class Encoder:
         ends = (np.cumsum(counts) * self.dtype.itemsize).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _modelled(self, pieces: list[str]) -> list[bytes]:
+        """Ids of words of plain letters, by the tokenizer's model."""
+        import numpy as np
+
+        tokenize, shown, lower = self.tokenizer.model.tokenize, self.shown, self.lower
+        found = [[t.id for t in tokenize((p.lower() if lower else p).translate(shown))] for p in pieces]
+        raw = np.fromiter(itertools.chain.from_iterable(found), self.dtype).tobytes()
+        ends = (np.cumsum([len(ids) for ids in found]) * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn_parts(self, pieces: set[str]) -> None:
+        plain = [p for p in pieces if self.plain(p)] if self.direct else []
+        if plain and self.compared < COMPARED:
+            few = plain[:COMPARED]
+            self.direct = self._modelled(few) == self._library(few)
+            self.compared += len(few)
+            plain = plain if self.direct else []
+        if plain:
+            self.parts.update(zip(plain, self._modelled(plain)))
+        if others := list(pieces.difference(plain)):
+            self.parts.update(zip(others, self._library(others)))
+
+    def _learn(self, chunks: set[str], pieces: list[list[str]]) -> None:
+        """Ids of chunks, and of the pieces of other texts."""
+        cut = {chunk: self.pieces(self.lead + chunk) for chunk in chunks}
+        if new := set().union(*cut.values(), *pieces).difference(self.parts):
+            self._learn_parts(new)
+        parts = self.parts
+        self.chunks.update((chunk, b"".join([parts[p] for p in own])) for chunk, own in cut.items())
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id after them; NULL counts as empty."""
         import numpy as np
 
-        whole = [i for i, t in enumerate(texts) if t and self.odd(t)]
-        pieces = [[] if t is None else self._words(t) for t in texts]
-        for i in whole:
-            pieces[i] = []
-        if len(self.known) > KEPT_PIECES:
-            self.known = dict(itertools.islice(self.known.items(), KEPT_PIECES // 2, None))
-        known = self.known
-        new = list(set().union(*pieces).difference(known))
-        if new:
-            known.update(zip(new, self._library(new)))
-        made = [b"".join([known[p] for p in own]) + self.end for own in pieces]
-        for i in whole:
-            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
-            made[i] = np.array(ids, self.dtype).tobytes() + self.end
+        for table in (self.parts, self.chunks):
+            if len(table) > KEPT_PIECES:
+                kept = dict(itertools.islice(table.items(), KEPT_PIECES // 2, None))
+                table.clear()
+                table.update(kept)
+        made: list = [None] * len(texts)
+        split: dict[int, list[str]] = {}
+        slow: dict[int, list[str]] = {}
+        for i, text in enumerate(texts):
+            if text is None or text == "":
+                made[i] = self.end
+            elif self.whole(text):
+                made[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
+            elif (chunks := self._split(text)) is not None:
+                split[i] = chunks
+                if self.lead:
+                    # Nothing stands before the first chunk, not even a space.
+                    slow[i] = self.pieces(chunks[0])
+                    chunks[0] = None
+            else:
+                slow[i] = self.pieces(text)
+        new = set().union(*split.values()).difference(self.chunks)
+        new.discard(None)
+        self._learn(new, list(slow.values()))
+        parts, known = self.parts, self.chunks
+        for i, own in slow.items():
+            if i not in split:
+                made[i] = b"".join([parts[p] for p in own]) + self.end
+        for i, chunks in split.items():
+            if self.lead:
+                made[i] = b"".join([*(parts[p] for p in slow[i]), *(known[c] for c in chunks[1:]), self.end])
+            else:
+                made[i] = b"".join([known[c] for c in chunks]) + self.end
         return made
 
 

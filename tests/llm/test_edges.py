@@ -88,12 +88,26 @@ def test_pieces_encode_like_whole_texts(tokenizer):
     rng = np.random.default_rng(0)
     signs = list("ab Zé.'\n\t  \r!|9<>\x0b\u2003\u0301\u03a3数\x1c") + ["'s", "<|endoftext|>", " the"]
     made = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(400)]
+    made += [" ".join(rng.choice(["Größe", "the", "a", "x.", "y,", "\n", "\n\n", "\nb", "c\n", "", "ÀÉ", "it's"], rng.integers(0, 9))) for _ in range(600)]
     whole = Tokenizer.from_file(tokenizer[0])
-    whole.encode_special_tokens = True
     own = tokens.Encoder(*tokenizer)
     for text, raw in zip(made, own.encode(made)):
         expected = whole.encode(text, add_special_tokens=False).ids + [tokenizer[2]]
         assert np.frombuffer(raw, own.dtype).tolist() == expected, repr(text)
+    assert own.direct and own.compared
+
+
+def test_a_model_that_differs_from_its_tokenizer_is_not_used(monkeypatch):
+    own = tokens.Encoder(*WORD)
+    monkeypatch.setattr(own, "_modelled", lambda pieces: [b"\0\0"] * len(pieces))
+    assert own.encode(["some plain words"]) == tokens.Encoder(*WORD).encode(["some plain words"])
+    assert not own.direct
+
+
+def test_special_tokens_in_a_text_are_what_the_library_makes_of_them():
+    for tokenizer, special in ((WORD, 49407), (BYTE, 50256)):
+        own = tokens.Encoder(*tokenizer)
+        assert special in np.frombuffer(own.encode(["a <|endoftext|> b"])[0], own.dtype).tolist()
 
 
 def test_huffman(spark, docs, none):
