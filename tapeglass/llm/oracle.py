@@ -6,10 +6,6 @@ from tapeglass.llm import line_templates, merkle_log, sharding, url_templates
 from tapeglass.llm.queries import CONTROL, LEAF_COLUMNS, NEAREST, QUERY_EVERY, RULES, SHARDS
 
 
-def _hash60(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
-
-
 #: CRC-32 by byte, and of a text, unsigned.
 CRC_TABLE = """crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
@@ -131,28 +127,34 @@ FROM cut c JOIN l{depth} t ON c.host = t.host AND {same} JOIN judged j ON j.temp
 
 
 def _line_dedup() -> str:
-    leaf = f"n || ' ' || array_to_string(t[1:{line_templates.LEADING}], ' ') || ' '"
-    halved = f"n >= {line_templates.HALVED_TOKENS}"
+    rules = line_templates
+    leaf = f"n || ' ' || array_to_string(t[1:{rules.LEADING}], ' ') || ' '"
     return f"""
-WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
-numbered AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM cut),
-tokens AS (SELECT *, string_split(trim(regexp_replace(regexp_replace(line, '[0-9]+', '<*>', 'g'),
-  '[ \\t\\r]+', ' ', 'g'), ' '), ' ') AS t FROM numbered),
-sized AS (SELECT *, len(t) AS n, len(t) // 2 AS half FROM tokens),
-hashed AS (SELECT doc_id, i, line, n, {_hash60("'whole ' || n || ' ' || array_to_string(t, ' ')")} AS whole,
-  CASE WHEN {halved} THEN {_hash60(f"'first ' || {leaf} || array_to_string(t[1:half], ' ')")} END AS first,
-  CASE WHEN {halved} THEN {_hash60(f"'second ' || {leaf} || array_to_string(t[half + 1:], ' ')")} END AS second
-  FROM sized),
-least AS (SELECT doc_id, list_sort(list_distinct(list(whole))) AS hashes FROM hashed GROUP BY 1),
-told AS (SELECT h.*, coalesce(CASE WHEN whole = hashes[1] THEN hashes[2] ELSE hashes[1] END, -1) AS document
-  FROM hashed h JOIN least USING (doc_id)),
-templates AS (SELECT doc_id, i, document, unnest([whole, first, second]) AS template FROM told
-  WHERE n >= {line_templates.MIN_TOKENS}),
-recurring AS (SELECT template, min(doc_id) AS first FROM templates WHERE template IS NOT NULL GROUP BY 1
-  HAVING count(DISTINCT document) >= {line_templates.MIN_DOCS}),
-dropped AS (SELECT DISTINCT doc_id, i, true AS gone FROM templates JOIN recurring USING (template) WHERE doc_id <> first),
+WITH cut AS (SELECT doc_id, md5(text) AS document, string_split(text, chr(10)) AS lines FROM documents),
+numbered AS (SELECT doc_id, document, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM cut),
+plained AS (SELECT *, trim(regexp_replace(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[ \t\r]+', ' ', 'g'), ' ') AS plain
+  FROM numbered),
+every AS (SELECT *, string_split(plain, ' ') AS t FROM plained),
+sized AS (SELECT *, len(t) AS n, len(t) // 2 AS half FROM every
+  WHERE len(t) >= {rules.MIN_TOKENS} OR length(plain) >= {rules.MIN_CHARS}),
+tokens AS (SELECT plain, document, n, t[1:{rules.LEADING}] AS front, unnest(range(1, n + 1)) AS place, unnest(t) AS token
+  FROM sized WHERE n BETWEEN {rules.MIN_TOKENS} AND {rules.PLACED_TOKENS}),
+constant AS (SELECT n, front, place, token FROM tokens GROUP BY ALL
+  HAVING count(*) >= {rules.MIN_DOCS} AND count(DISTINCT document) > 1),
+held AS (SELECT DISTINCT plain, n, place, token FROM tokens JOIN constant USING (n, front, place, token)),
+placed AS (SELECT plain, 'placed ' || n || ' ' || string_agg(place || ' ' || token, ' ' ORDER BY place) AS template FROM held
+  GROUP BY plain, n HAVING count(*) < n AND count(*) >= greatest({rules.MIN_TOKENS}, {rules.CONSTANT_SHARE} * n)),
+under AS (SELECT doc_id, document, i, 'whole ' || plain AS template, n >= {rules.LONG_TOKENS} AS long FROM sized
+  UNION ALL SELECT doc_id, document, i, 'first ' || {leaf} || array_to_string(t[1:half], ' '), false FROM sized
+    WHERE n > {rules.PLACED_TOKENS}
+  UNION ALL SELECT doc_id, document, i, 'second ' || {leaf} || array_to_string(t[half + 1:], ' '), false FROM sized
+    WHERE n > {rules.PLACED_TOKENS}
+  UNION ALL SELECT doc_id, document, i, template, false FROM sized JOIN placed USING (plain)),
+recurring AS (SELECT template, min(doc_id) AS first FROM under GROUP BY 1
+  HAVING count(DISTINCT document) >= {rules.MIN_DOCS} OR (bool_or(long) AND count(DISTINCT document) >= {rules.LONG_DOCS})),
+dropped AS (SELECT DISTINCT doc_id, i, true AS gone FROM under JOIN recurring USING (template) WHERE doc_id <> first),
 cleaned AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text,
-  count(gone) AS dropped_lines FROM hashed LEFT JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+  count(gone) AS dropped_lines FROM numbered LEFT JOIN dropped USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, cleaned.text, coalesce(dropped_lines, 0) AS dropped_lines FROM documents LEFT JOIN cleaned USING (doc_id)"""
 
 

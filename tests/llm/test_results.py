@@ -234,35 +234,43 @@ def plain_line_dedup(texts, min_docs=3, min_tokens=4):
     """(text, dropped lines) by document, with dictionaries."""
 
     def tokens(line):
-        return re.sub("[ \t\r]+", " ", re.sub("[0-9]+", "<*>", line)).strip(" ").split(" ")
+        return tuple(re.sub("[ \t\r]+", " ", re.sub("[0-9]+", "<*>", line)).strip(" ").split(" "))
 
-    def templates(line):
-        own = tokens(line)
-        if len(own) < min_tokens:
-            return []
-        leaf, half = (len(own), *own[:2]), len(own) // 2
+    every = [(doc, tokens(line)) for doc, text in sorted(texts.items()) for line in text.split("\n")]
+    every = [(doc, own) for doc, own in every if len(own) >= min_tokens or len(" ".join(own)) >= 20]
+    values = defaultdict(list)
+    for doc, own in every:
+        for at, token in enumerate(own if min_tokens <= len(own) <= 16 else ()):
+            values[len(own), own[:2], at, token].append(texts[doc])
+
+    def templates(own):
         found = [("whole", *own)]
-        if len(own) >= 12:
+        if len(own) > 16:
+            half, leaf = len(own) // 2, (len(own), *own[:2])
             found += [("first", leaf, *own[:half]), ("second", leaf, *own[half:])]
+        elif len(own) >= min_tokens:
+            held = [values[len(own), own[:2], at, token] for at, token in enumerate(own)]
+            mask = [len(docs) >= min_docs and len(set(docs)) > 1 for docs in held]
+            if sum(mask) < len(own) and sum(mask) >= max(min_tokens, 0.6 * len(own)):
+                found.append(("placed", *(token if kept else "*" for token, kept in zip(own, mask))))
         return found
 
-    def order(line):
-        own = tokens(line)
-        return int(hashlib.md5(f"whole {len(own)} {' '.join(own)}".encode()).hexdigest()[:15], 16)
-
-    seen, first = defaultdict(set), {}
-    for doc, text in sorted(texts.items()):
-        lines = text.split("\n")
-        hashes = sorted({order(line) for line in lines})
-        for line in lines:
-            others = [h for h in hashes[:2] if h != order(line)]
-            for t in templates(line):
-                seen[t].add(others[0] if others else -1)
-                first.setdefault(t, doc)
+    seen, first, long = defaultdict(set), {}, set()
+    for doc, own in every:
+        for t in templates(own):
+            seen[t].add(texts[doc])
+            first.setdefault(t, doc)
+            if t[0] == "whole" and len(own) >= 50:
+                long.add(t)
     made = {}
     for doc, text in texts.items():
         lines = text.split("\n")
-        kept = [line for line in lines if not any(len(seen[t]) >= min_docs and first[t] != doc for t in templates(line))]
+        kept = []
+        for line in lines:
+            own = tokens(line)
+            under = templates(own) if len(own) >= min_tokens or len(" ".join(own)) >= 20 else []
+            if not any(len(seen[t]) >= (2 if t in long else min_docs) and first[t] != doc for t in under):
+                kept.append(line)
         made[doc] = ("\n".join(kept), len(lines) - len(kept))
     return made
 
@@ -315,3 +323,25 @@ def test_line_templates_ignore_copies(spark):
     body = "one two three four five\nsix seven eight nine ten\neleven twelve more words here"
     copies = spark.createDataFrame([(i, body) for i in range(9)], "doc_id long, text string")
     assert line_templates.recurring_templates(copies).count() == 0
+
+
+def test_line_templates_generalise_by_position(spark):
+    """Fields that vary anywhere in a line, in documents of one line and of several; prose of one form stays."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    orders = [f"Order {i} shipped to the customer" for i in range(1000)]
+    news = [f"Posted by {word()} in {word()} news today" for _ in range(100)]
+    mixed = [f"{word()} {word()}\nLast seen by {word()} on {word()} at noon\n{word()}" for _ in range(50)]
+    prose = [f"The {word()} of {word()} {word()} was {word()} {word()}" for _ in range(200)]
+    rows = list(enumerate([*orders, *news, *mixed, *prose]))
+    found = {r["doc_id"]: r for r in line_templates.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    dropped = [sum(found[d]["dropped_lines"] for d, t in rows if t in set(group)) for group in (orders, news, mixed, prose)]
+    assert dropped == [999, 99, 49, 0]
+    assert {d: (r["text"], r["dropped_lines"]) for d, r in found.items()} == plain_line_dedup(dict(rows))
+
+
+def test_lines_without_spaces_recur(spark):
+    line = "\u6570\u636e" * 15
+    rows = [(i, f"{line}\n{i} own") for i in range(4)] + [(9, "Read more\nfew")] * 3
+    found = line_templates.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["dropped_lines"] for r in found) == [0, 0, 0, 0, 1, 1, 1]
