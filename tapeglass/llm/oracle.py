@@ -110,7 +110,9 @@ read AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1
 ruled AS (SELECT *, {rule(lambda r: f"'{r.name}'")} AS rule, {rule(lambda r: f"'{r.verdict}'")} AS ruling,
   list_filter(string_split(regexp_replace(path, '[0-9]+', '<n>', 'g'), '/'), lambda s: s <> '') AS segments FROM read),
 cut AS (SELECT page_id, host, path, rule, ruling, {", ".join(cut)},
-  CASE WHEN ruling IS NOT NULL THEN CAST(ruling = 'block' AS BIGINT) END AS bad FROM ruled),
+  CASE WHEN ruling IS NOT NULL THEN CAST(ruling = 'block' AS BIGINT)
+    WHEN list_has_any(string_split_regex(host, '[.-]'), [{", ".join(f"'{w}'" for w in url_templates.JUNK_WORDS)}]) THEN 1 END AS bad
+  FROM ruled),
 l0 AS (SELECT host, {", ".join(names)}, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad, host AS template
   FROM cut GROUP BY ALL),
 {",".join(levels)},

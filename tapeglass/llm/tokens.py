@@ -14,6 +14,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
@@ -50,7 +51,7 @@ class Encoder:
         self.pieces = re.compile(PATTERNS[spaces]).findall
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([*special, *([OTHER_SPACE] if spaces == "kept" else [])]) or "(?!)").search
-        self.plain = re.compile(f" ?[{LETTERS}]+").fullmatch
+        self.plain = re.compile(f"[{LETTERS}]+").fullmatch
         # The characters that stand for the bytes of a letter, by the library's own mapping.
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.shown = {code: shown(chr(code))[0][0] for code in [32, *range(0xC0, 0x100)]}
@@ -87,35 +88,59 @@ class Encoder:
         ends = (np.cumsum(counts) * self.dtype.itemsize).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _modelled(self, pieces: list[str]) -> list[bytes]:
-        """Ids of words of plain letters, by the tokenizer's model."""
-        import numpy as np
+    def _modelled(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of words of plain letters behind `lead`, nothing or a space, by the tokenizer's model."""
+        tokenize, shown, lower, kind = self.tokenizer.model.tokenize, self.shown, self.lower, self.dtype.char
+        lead = lead and shown[32]
+        made = []
+        for word in words:
+            if lower:
+                word = word.lower()
+            if not word.isascii():
+                word = word.translate(shown)
+            made.append(array(kind, [token.id for token in tokenize(lead + word)]).tobytes())
+        return made
 
-        tokenize, shown, lower = self.tokenizer.model.tokenize, self.shown, self.lower
-        found = [[t.id for t in tokenize((p.lower() if lower else p).translate(shown))] for p in pieces]
-        raw = np.fromiter(itertools.chain.from_iterable(found), self.dtype).tobytes()
-        ends = (np.cumsum([len(ids) for ids in found]) * self.dtype.itemsize).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+    def _is_word(self, chunk: str) -> bool:
+        return chunk.isalpha() and (chunk.isascii() or self.plain(chunk) is not None)
 
-    def _learn_parts(self, pieces: set[str]) -> None:
-        plain = [p for p in pieces if self.plain(p)] if self.direct else []
-        if plain and self.compared < COMPARED:
-            few = plain[:COMPARED]
-            self.direct = self._modelled(few) == self._library(few)
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of chunks that are words."""
+        if self.direct and self.compared < COMPARED:
+            few = words[:COMPARED]
+            self.direct = self._modelled(few, self.lead) == self._library([self.lead + word for word in few])
             self.compared += len(few)
-            plain = plain if self.direct else []
-        if plain:
-            self.parts.update(zip(plain, self._modelled(plain)))
-        if others := list(pieces.difference(plain)):
+        made = self._modelled(words, self.lead) if self.direct else self._library([self.lead + word for word in words])
+        self.chunks.update(zip(words, made))
+
+    def _learn_parts(self, pieces: set[str]) -> None:
+        """Ids of pieces of other chunks and texts; after a line end a word has no space before it."""
+        words = [p for p in pieces if self._is_word(p)] if self.direct and self.compared else []
+        if words:
+            self.parts.update(zip(words, self._modelled(words, "")))
+        if others := list(pieces.difference(words)):
             self.parts.update(zip(others, self._library(others)))
 
     def _learn(self, chunks: set[str], pieces: list[list[str]]) -> None:
         """Ids of chunks, and of the pieces of other texts."""
-        cut = {chunk: self.pieces(self.lead + chunk) for chunk in chunks}
-        if new := set().union(*cut.values(), *pieces).difference(self.parts):
+        known, words, ended, cut = self.chunks, set(), [], {}
+        for chunk in chunks:
+            if self._is_word(chunk):
+                words.add(chunk)
+            elif chunk[-1:] in (".", ",") and self._is_word(chunk[:-1]):
+                # A word and the sign behind it are pieces of their own.
+                ended.append(chunk)
+                if chunk[:-1] not in known:
+                    words.add(chunk[:-1])
+            else:
+                cut[chunk] = self.pieces(self.lead + chunk)
+        if words:
+            self._learn_words(list(words))
+        if new := {".", ","}.union(*cut.values(), *pieces).difference(self.parts):
             self._learn_parts(new)
         parts = self.parts
-        self.chunks.update((chunk, b"".join([parts[p] for p in own])) for chunk, own in cut.items())
+        known.update((chunk, known[chunk[:-1]] + parts[chunk[-1]]) for chunk in ended)
+        known.update((chunk, b"".join([parts[p] for p in own])) for chunk, own in cut.items())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id after them; NULL counts as empty."""

@@ -5,6 +5,10 @@ a literal only if its labelled pages differ significantly from its siblings' (tw
 branches are statistically alike and merge under a wildcard. A template, host and segments, is rejected if the share
 of bad pages among its labelled ones is high, smoothed towards the share of the same template over all hosts, which in
 turn is smoothed towards that of all labelled pages. Rules with a host and a path prefix come before templates.
+
+Pages are labelled from two sources: the rules that fit them, and words of the host name that junk sites call themselves
+by. Such a word makes a page suspect, not blocked: its template must gather enough of them against the smoothing, and a
+template of mostly good pages stays allowed whatever one host in it is called.
 """
 
 from __future__ import annotations
@@ -20,6 +24,10 @@ MAX_DEPTH = 4
 SIGNIFICANT = 1.96
 SMOOTHING = 5.0
 REJECT_FROM = 0.5
+#: Words of a host name, between its dots and hyphens, that label a page as bad.
+JUNK_WORDS = (
+    "ads", "adult", "bet", "bets", "casino", "cheap", "escort", "lottery", "pills", "poker", "porn", "spam", "viagra", "xxx",
+)
 
 
 @dataclass(frozen=True)
@@ -119,20 +127,25 @@ def judged_templates(templates: DataFrame, smoothing: float = SMOOTHING) -> Data
 
 def judge_urls(
     pages: DataFrame, rules: list[Rule], max_depth: int = MAX_DEPTH, smoothing: float = SMOOTHING,
-    reject_from: float = REJECT_FROM, key: str = "page_id", url: str = "url",
+    reject_from: float = REJECT_FROM, key: str = "page_id", url: str = "url", junk_words: tuple[str, ...] = JUNK_WORDS,
+    held_out: Column | None = None,
 ) -> DataFrame:
     """(key, host, path, rule, verdict, template, labelled_pages, bad_share) of every page.
 
-    Pages that a rule fits get its verdict and label the templates; all others get their template's: block if its
-    smoothed share of bad pages reaches `reject_from`, else allow. NULL and malformed URLs have empty host and path
+    Pages that a rule fits get its verdict and label the templates, and so do pages whose host name holds one of
+    `junk_words`; pages without a rule get their template's verdict: block if its smoothed share of bad pages reaches
+    `reject_from`, else allow. Pages that `held_out` holds for label nothing, so that verdicts can be measured on them. NULL and malformed URLs have empty host and path
     and share a template; without any label nothing differs and every share is one half. Repeated rows are
     judged alike and kept, an empty table gives no rows, other columns are not read.
     """
-    read = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    aside = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
+    read = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), aside.alias("aside"))
     ruled = read.withColumn("fit", matching_rule(F.col("host"), F.col("path"), rules))
-    blocked = F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("long"))
+    suspect = F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, junk_words))) if junk_words else F.lit(False)
+    blocked = F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("long")).when(suspect, 1)
     names = [f"s{d}" for d in range(1, max_depth + 1)]
-    templates = path_templates(ruled.select("host", "path", blocked.alias("bad")), max_depth)
+    label = F.when(~F.col("aside"), blocked)
+    templates = path_templates(ruled.select("host", "path", label.alias("bad")), max_depth)
     judged = templates.drop("labelled", "bad").join(judged_templates(templates, smoothing), "template")
     cut = ruled.withColumns({n: _segment(d, max_depth) for d, n in enumerate(names, 1)}).alias("p")
     same = F.col("p.host") == F.col("t.host")

@@ -99,7 +99,7 @@ def test_pieces_encode_like_whole_texts(tokenizer):
 
 def test_a_model_that_differs_from_its_tokenizer_is_not_used(monkeypatch):
     own = tokens.Encoder(*WORD)
-    monkeypatch.setattr(own, "_modelled", lambda pieces: [b"\0\0"] * len(pieces))
+    monkeypatch.setattr(own, "_modelled", lambda words, lead: [b"\0\0"] * len(words))
     assert own.encode(["some plain words"]) == tokens.Encoder(*WORD).encode(["some plain words"])
     assert not own.direct
 

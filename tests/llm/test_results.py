@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tapeglass.llm import digest, huffman, line_templates, neighbour_quality, queries, simhash, tiling
+from tapeglass.llm import digest, huffman, line_templates, neighbour_quality, queries, simhash, tiling, url_templates
 from tests.compare import connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -345,3 +346,34 @@ def test_lines_without_spaces_recur(spark):
     rows = [(i, f"{line}\n{i} own") for i in range(4)] + [(9, "Read more\nfew")] * 3
     found = line_templates.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r["dropped_lines"] for r in found) == [0, 0, 0, 0, 1, 1, 1]
+
+
+def test_url_templates_decide(spark):
+    """Pages without a rule are blocked by their template; held-out pages of labelled hosts are judged like the others."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+
+    def judged(**options):
+        return {r["page_id"]: r for r in url_templates.judge_urls(pages, queries.RULES, **options).collect() if r["rule"] is None}
+
+    def junk(row):
+        return any(word in url_templates.JUNK_WORDS for word in re.split("[.-]", row["host"]))
+
+    found, without_tree = judged(), judged(reject_from=2.0)
+    blocked = [r for r in found.values() if r["verdict"] == "block"]
+    assert len(blocked) > 50 and not any(r["verdict"] == "block" for r in without_tree.values())
+    assert all(junk(r) for r in blocked)
+    aside = F.pmod(F.xxhash64("page_id"), F.lit(5)) == 0
+    held = {r["page_id"] for r in pages.where(aside).select("page_id").collect()}
+    rows = [r for page, r in judged(held_out=aside).items() if page in held]
+    right = [junk(r) for r in rows if r["verdict"] == "block"]
+    caught = [r["verdict"] == "block" for r in rows if junk(r)]
+    print("held out: blocked", len(right), "purity", np.mean(right), "of junk pages", len(caught), "caught", np.mean(caught))
+    assert np.mean(right) > 0.9 and np.mean(caught) > 0.5
+
+
+def test_url_templates_need_more_than_one_suspect(spark):
+    rows = [(i, f"http://casino.example.net/a/{i}") for i in range(1)] + [(10 + i, f"http://good.example.org/a/{i}") for i in range(30)]
+    rows += [(100 + i, f"http://bets.example.net/b/{i}") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in url_templates.judge_urls(pages, queries.RULES).collect()}
+    assert found[0] == "allow" and found[10] == "allow" and all(found[100 + i] == "block" for i in range(12))
