@@ -58,30 +58,30 @@ def create_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finite_or_null(tg.read_flow(spark, path).select(STORED_COLUMNS))
 
 
-def _write_csv(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
-
-
 def ledger_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of three ingests of one file: the first, one that skips it by the ledger, one that repeats it."""
+    """Three ingests of the same files: the first, one that skips them by the ledger, one that repeats them. How many
+    files there are depends on the table's size, so only whether all were taken is told."""
     folder = scratch_folder(spark, "ledger")
-    _write_csv(file_text(coarse(spark, sf_dir)).select(FLOW_COLUMNS), f"{folder}/raw")
+    text = file_text(coarse(spark, sf_dir)).select(FLOW_COLUMNS)
+    text.write.option("header", True).option("escape", '"').csv(f"{folder}/raw")
+    written = list_files(spark, f"{folder}/raw/*.csv").count()
     runs = [
         tg.ingest_csv(spark, f"{folder}/raw/*.csv", f"{folder}/flow", skip_processed=skip)
         for skip in (True, True, False)
     ]
-    rows = [(i, r["files"], r["read"], r["appended"]) for i, r in enumerate(runs)]
-    return spark.createDataFrame(rows, "run int, files int, read long, appended long")
+    rows = [(i, r["files"] == written, r["files"] == 0, r["read"], r["appended"]) for i, r in enumerate(runs)]
+    return spark.createDataFrame(rows, "run int, every_file boolean, no_file boolean, read long, appended long")
 
 
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders of the files that a pattern with a folder after ** finds."""
+    """Folders of the files that a pattern with a folder after ** finds, and whether it finds all files there."""
     folder = scratch_folder(spark, "list")
     flow = load_flow(spark, sf_dir).select("Side", "spx_strike").where("Side IS NOT NULL")
-    flow.repartition(1).write.partitionBy("Side").csv(f"{folder}/deep/er")
+    flow.write.partitionBy("Side").csv(f"{folder}/deep/er")
     found = list_files(spark, [f"{folder}/**/Side=Bid/*.csv", f"{folder}/**/Side=B?d/*.csv"])
+    written = list_files(spark, f"{folder}/deep/er/Side=Bid/*.csv").count()
     side = F.element_at(F.split("path", "/"), -2)
-    return found.groupBy(side.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+    return found.groupBy(side.alias("folder")).agg((F.count(F.lit(1)) == written).alias("every_file"))
 
 
 def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +159,20 @@ def minute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bodies(flow, EVENTS_PER_FILE, _json(F.struct(*FLOW_COLUMNS)))
 
 
+_WRITTEN: dict = {}
+
+
+def written_minute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minute files as (path, content) rows in scratch files, made once per session and table: gzipping them takes
+    longer than what is checked and timed."""
+    made = (spark.sparkContext.applicationId, sf_dir)
+    if made not in _WRITTEN:
+        folder = scratch_folder(spark, "minute-files")
+        minute_files(spark, sf_dir).write.parquet(folder)
+        _WRITTEN[made] = folder
+    return spark.read.schema("path string, content binary").parquet(_WRITTEN[made])
+
+
 def minute_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refused files and why: a fault in one record of a file, by the file's number, and none in every sixth file."""
     flow = file_text(load_flow(spark, sf_dir, "event_id")).where("timestamp IS NOT NULL")

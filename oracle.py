@@ -372,10 +372,10 @@ def oracle_queries() -> dict[str, str]:
         "ledger_rerun": (
             f", kept AS (SELECT DISTINCT CAST(timestamp AS DATE), Side, future_strike FROM flow),"
             " n AS (SELECT (SELECT count(*) FROM flow) AS whole, (SELECT count(*) FROM kept) AS firsts)"
-            " SELECT 0 AS run, 1 AS files, whole AS read, firsts AS appended FROM n"
-            " UNION ALL SELECT 1, 0, 0, 0 UNION ALL SELECT 2, 1, whole, 0 FROM n"
+            " SELECT 0 AS run, true AS every_file, false AS no_file, whole AS read, firsts AS appended FROM n"
+            " UNION ALL SELECT 1, false, true, 0, 0 UNION ALL SELECT 2, true, false, whole, 0 FROM n"
         ),
-        "list_files": " SELECT 'Side=Bid' AS folder, count(DISTINCT Side) AS files FROM flow WHERE Side = 'Bid'",
+        "list_files": " SELECT DISTINCT 'Side=Bid' AS folder, true AS every_file FROM flow WHERE Side = 'Bid'",
         "snapshot_files": GEX.format(src="whole"),
         "matrix_record": long + " SELECT greek_i, greek_j, r FROM long",
         "write_extract": (

@@ -23,12 +23,17 @@ KEY_GROUPS = 1 << 16
 HOT_FACTOR, HOT_ROWS = 4, 10_000
 
 
-def hot_groups(new: DataFrame, key: list[str] = KEY, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_groups(
+    new: DataFrame, key: list[str] = KEY, hot_rows: int = HOT_ROWS, known_rows: int | None = None
+) -> DataFrame | None:
     """(_group) of the groups of keys that hold far more rows than others, or None.
 
     A hash deals keys to a fixed number of groups; counts are folded before the shuffle, and at most KEY_GROUPS /
-    HOT_FACTOR groups can lie that far above the mean, so the driver gets that many numbers at most.
+    HOT_FACTOR groups can lie that far above the mean, so the driver gets that many numbers at most. If all `known_rows`
+    are too few for one such group, nothing is counted.
     """
+    if known_rows is not None and known_rows <= hot_rows:
+        return None
     counts = new.groupBy(_group(key).alias("_group")).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.groupBy().agg(F.sum("n").alias("total"), F.collect_list(F.when(F.col("n") > hot_rows, F.struct("_group", "n"))).alias("large"))
     total, large = counts.first()
@@ -42,8 +47,9 @@ def _group(key: list[str]):
 
 
 def merge_in_ranges(
-    existing: DataFrame, new: DataFrame, order: list[str], layout: list[str], key: list[str] = KEY, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+    existing: DataFrame, new: DataFrame, order: list[str], layout: list[str], key: list[str] = KEY, hot_rows: int = HOT_ROWS,
+    known_rows: int | None = None,
+) -> DataFrame:
     """As `merge_new`, with the rows sorted by `layout` and the key inside ranges of `layout`: one shuffle in all.
 
     `layout` holds columns that depend on the key, and columns of it. Existing keys and new rows are dealt in ranges
@@ -51,7 +57,7 @@ def merge_in_ranges(
     come out. Copies of a key are not folded before that shuffle, so groups of keys with far more rows than others are
     folded by an aggregation of their own first; other rows never take part in it.
     """
-    if (hot := hot_groups(new, key, hot_rows)) is not None:
+    if (hot := hot_groups(new, key, hot_rows, known_rows)) is not None:
         marked = new.withColumn("_group", _group(key))
         copies = marked.join(F.broadcast(hot), "_group", "left_semi").drop("_group")
         others = marked.join(F.broadcast(hot), "_group", "left_anti").drop("_group")

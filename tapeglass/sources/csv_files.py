@@ -54,7 +54,7 @@ def ingest_csv(
     if skip_processed:
         files = new_files(files, read_ledger(spark, ledger))
     # File names only: Spark's own file index holds the same list on the driver.
-    paths = [row.path for row in files.select("path").orderBy("path").collect()]
+    paths = sorted(row.path for row in files.select("path").collect())
     if not paths:
         return {"files": 0, "read": 0, "appended": 0, "report": []}
     counts = append_flow(scan_csv(spark, paths), out, validate=validate)

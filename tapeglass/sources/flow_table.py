@@ -142,16 +142,16 @@ def _candidates(spark: SparkSession, path: str, staged: DataFrame) -> DataFrame:
     The driver gets the names of these files, as it does for any scan of them.
     """
     wanted = files_with_keys(side_table(spark, path, "keys"), staged)
-    names = [row.path for row in stored_files(spark, path).join(wanted, "file").select("path").orderBy("path").collect()]
+    names = sorted(row.path for row in stored_files(spark, path).join(wanted, "file").select("path").collect())
     if not names:
         return spark.createDataFrame([], STORED_SCHEMA)
     return spark.read.schema(STORED_SCHEMA).option("basePath", path).parquet(*names)
 
 
-def append_staged(spark: SparkSession, folder: str, path: str, by_files: bool = False) -> int:
+def append_staged(spark: SparkSession, folder: str, path: str, by_files: bool = False, rows: int | None = None) -> int:
     """Append the staged rows whose key the table lacks; existing rows win, first input row wins.
 
-    `by_files` has the side table `keys` choose the stored files to look into.
+    `by_files` has the side table `keys` choose the stored files to look into; `rows` is how many are staged, if known.
     """
     staged = spark.read.schema(STAGED_SCHEMA).parquet(folder).where(F.col("_error").isNull())
     new = staged.drop("_error", "_findings")
@@ -164,7 +164,7 @@ def append_staged(spark: SparkSession, folder: str, path: str, by_files: bool =
         existing = _touched(table, staged).select("date", *KEY)
     # Ranges of date and time even out busy days over many files and give each file a narrow time range. The strike is
     # left to the sort: grouping changes zeros and NaNs of a float, which would cost a second shuffle.
-    fresh = merge_in_ranges(existing, new, INPUT_ORDER, ["date", "timestamp", "Side"]).select(STORED_COLUMNS)
+    fresh = merge_in_ranges(existing, new, INPUT_ORDER, ["date", "timestamp", "Side"], known_rows=rows).select(STORED_COLUMNS)
     written = Observation("append")
     with session_conf(spark, WRITE_CONF):
         (
@@ -214,7 +214,7 @@ def append_flow(
             raise ValidationError("; ".join(f"{c}: {k} x{n} ({v!r})" for c, k, n, v in fatal))
         if on_staged is not None:
             on_staged(staged)
-        appended = append_staged(spark, folder, path, "keys" in side_tables)
+        appended = append_staged(spark, folder, path, "keys" in side_tables, metrics["rows"])
     finally:
         drop_folder(spark, folder)
     if appended:

@@ -52,7 +52,8 @@ def list_files(
             log.warning("No files matched: %s", pattern)
     if not found:
         return spark.createDataFrame([], FILE_COLUMNS)
-    return reduce(DataFrame.unionByName, found).dropDuplicates(["path"])
+    # One listing holds a file once.
+    return found[0] if len(found) == 1 else reduce(DataFrame.unionByName, found).dropDuplicates(["path"])
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:

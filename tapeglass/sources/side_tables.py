@@ -54,7 +54,7 @@ def _missing(spark: SparkSession, path: str, name: str) -> tuple[list[str] | Non
     does for any scan of these files."""
     files = stored_files(spark, path)
     lacking = files.join(_register(spark, path, name).select("file"), "file", "left_anti")
-    paths = [row.path for row in lacking.select("path").orderBy("path").collect()]
+    paths = sorted(row.path for row in lacking.select("path").collect())
     return (None if paths and len(paths) == files.count() else paths), len(paths)
 
 
@@ -80,7 +80,7 @@ def read_side(spark: SparkSession, path: str, name: str, schema, summary: Summar
         return fresh
     register = _register(spark, path, name).join(stored_files(spark, path).select("file"), "file", "left_semi")
     folder = _folder(path, name)
-    batches = [row.batch for row in register.select("batch").distinct().orderBy("batch").collect()]
+    batches = sorted(row.batch for row in register.select("batch").distinct().collect())
     if not batches:
         return summary(spark.createDataFrame([], schema).withColumn("file", F.lit(""))) if fresh is None else fresh
     kept = spark.read.option("basePath", folder).parquet(*[f"{folder}/batch={batch}" for batch in batches])
