@@ -17,6 +17,8 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tapeglass.llm.common import staged
+
 TILE = 5
 COVERAGE = 0.5
 BLOCK_WORDS = 2_000_000
@@ -153,7 +155,7 @@ class Block:
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str, block_words: int):
-    """The benchmark's items in blocks, one at a time on the driver."""
+    """(items, whether it is the last) of the benchmark in blocks, one at a time on the driver."""
     size = F.size(F.split(F.coalesce(F.col(text), F.lit("")), r"\W+"))
     numbered = benchmark.select(F.col(key).cast("long").alias("item_id"), F.col(text).alias("text"), size.alias("words"))
     total = numbered.agg(F.sum("words")).first()[0] or 0
@@ -163,9 +165,9 @@ def _blocks(benchmark: DataFrame, key: str, text: str, block_words: int):
     blocks: dict[int, list[int]] = defaultdict(list)
     for row in sizes.select("g", F.floor((running - 1) / block_words).alias("block")).collect():
         blocks[row["block"]].append(row["g"])
-    for groups in blocks.values():
+    for number, groups in enumerate(blocks.values(), 1):
         rows = numbered.where(group.isin(groups)).select("item_id", "text").distinct().collect()
-        yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), number == len(blocks)
 
 
 def contaminated(
@@ -206,8 +208,11 @@ def contaminated(
 
     rows = docs.select(F.col(doc_key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark, item_key, text, block_words):
-        found = found.union(rows.mapInArrow(matcher(items), schema))
+    blocks = _blocks(benchmark, item_key, text, block_words)
+    for number, (items, last) in enumerate(blocks):
+        pairs = rows.mapInArrow(matcher(items), schema)
+        # The driver holds one block at a time: what earlier blocks found is written before the next one is read.
+        found = found.union(pairs if last and not number else staged(pairs, "tiles"))
     return found
 
 
@@ -215,7 +220,11 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, tile: int = TILE, coverage: float = COVERAGE,
     block_words: int = BLOCK_WORDS, item_key: str = "item_id", text: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` that cover no benchmark item to `coverage`, with all their columns as they are."""
+    """The rows of `docs` that cover no benchmark item to `coverage`, with all their columns as they are.
+
+    NULL and empty texts cover nothing and stay; repeated documents are judged alike, texts whole however long. An empty
+    benchmark keeps all rows, an empty table has none.
+    """
 
     def keeper(items: list[tuple[int, str]]):
         def run(batches):
@@ -228,6 +237,7 @@ def decontaminated(
 
         return run
 
-    for items in _blocks(benchmark, item_key, text, block_words):
-        docs = docs.mapInArrow(keeper(items), docs.schema)
+    for items, last in _blocks(benchmark, item_key, text, block_words):
+        kept = docs.mapInArrow(keeper(items), docs.schema)
+        docs = kept if last else staged(kept, "decontaminated")
     return docs

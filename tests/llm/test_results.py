@@ -1,6 +1,7 @@
 """Every dealt query on the benchmark tables against brute force."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -87,6 +88,32 @@ def test_fingerprints(spark, texts):
     assert closer > 0.9 * len(found)
 
 
+def plain_digest(data):
+    """Quartile bucket digest, triplet by triplet."""
+    counts = [0] * 256
+    for kind, (b, c) in enumerate([(2, 5), (3, 7), (4, 9)]):
+        for i in range(len(data) - c):
+            mixed = data[i] | data[i + b] << 8 | data[i + c] << 16 | kind << 24
+            mixed ^= mixed >> 13
+            counts[mixed * 0x9E3779B1 % 2**32 >> 24] += 1
+    ranked = sorted(counts)
+    limits = ranked[63], ranked[127], ranked[191]
+    quartiles = [sum(n > limit for limit in limits) for n in counts]
+    packed = [sum(q << 2 * k for k, q in enumerate(quartiles[i : i + 4])) for i in range(0, 256, 4)]
+    return bytes([min(255, int(8 * math.log2(len(data) + 1))), *packed])
+
+
+def test_digest_against_a_plain_one(texts):
+    some = [t.encode() for t in list(texts.values())[:60]] + [b"", b"abc", b"\0" * 40, "\u00df\u6570".encode() * 7]
+    prints = [digest.digest(t) for t in some]
+    assert prints == [plain_digest(t) for t in some]
+    steps = [0, 1, 2, 6]
+    for a, b in zip(prints, prints[1:]):
+        quarters = [[byte >> 2 * k & 3 for byte in p[1:] for k in range(4)] for p in (a, b)]
+        cost = sum(steps[abs(x - y)] for x, y in zip(*quarters)) + min(32, abs(a[0] - b[0]))
+        assert digest.likeness(a, b) == 1 - cost / (6 * 256 + 32)
+
+
 def test_decontamination(spark, texts, duck):
     items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
     found = {(r["doc_id"], r["item_id"]): r for r in rows(spark, "op4_decontamination")}
@@ -231,6 +258,29 @@ def test_quality(spark, duck, texts):
     assert np.mean([y == p for y, _, p in held]) > 0.9
 
 
+def test_quality_votes_against_plain_ones(spark, texts, duck):
+    """Every score is the similarity-weighted share of good labels among the nearest voters, found by plain loops."""
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    voters = neighbour_quality.fit(docs, labels)
+    known = dict(duck.execute("SELECT doc_id, quality FROM labels").fetchall())
+    assert sorted(voters.labels.tolist()) == sorted(float(y) for d, y in known.items() if zlib.crc32(str(d).encode()) % 5)
+    some = list(texts.values())[:25] + ["", None]
+    kinds = voters._unit((np.stack([neighbour_quality.features(t) for t in some]) - voters.mean) @ voters.axes)
+    words = voters._unit(voters.terms.vectors([neighbour_quality.terms(t) for t in some]))
+    for score, kind, word in zip(voters.scores(some).tolist(), kinds, words):
+        near = []
+        for at, label in enumerate(voters.labels.tolist()):
+            cosine = (float(kind @ voters.vectors[at]) + float(word @ voters.term_vectors[at])) / 2
+            near.append((-cosine, at, label))
+        near.sort()
+        votes = weight = 0.0
+        for minus, _, label in near[: neighbour_quality.NEIGHBOURS]:
+            own = max(0.0, -minus) ** neighbour_quality.SHARPNESS
+            votes, weight = votes + own * label, weight + own
+        smoothing = neighbour_quality.SMOOTHING
+        assert abs(score - (votes + smoothing * voters.prior) / (weight + smoothing)) < 1e-4
+
+
 def plain_line_dedup(texts, min_docs=3, min_tokens=4):
     """(text, dropped lines) by document, with dictionaries."""
 
