@@ -106,8 +106,8 @@ def _under(lines: DataFrame, min_docs: int, min_tokens: int) -> DataFrame:
     own = F.concat(F.array("whole"), F.coalesce("halves", none))
     plainly = lines.select("key", "document", "whole", "size", F.explode(own).alias("template"))
     long = (F.col("template") == F.col("whole")) & (F.col("size") >= LONG_TOKENS)
-    placed = _placed(lines, min_docs, min_tokens).withColumnRenamed("whole", "of")
-    # One row per distinct line and its occurrences: a line of all documents is split by the join like any hot key.
+    # Staged, so that both sides of the join are read anew and a line of very many documents can be split.
+    placed = staged(_placed(lines, min_docs, min_tokens), "placed-lines").withColumnRenamed("whole", "of")
     generalised = lines.where("tokens IS NOT NULL").select("key", "document", "whole").join(placed, F.col("whole") == F.col("of"))
     return plainly.select("key", "document", "whole", "template", long.alias("long")).unionByName(
         generalised.select("key", "document", "whole", "template", F.lit(False).alias("long"))
