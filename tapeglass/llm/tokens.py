@@ -148,7 +148,8 @@ class Encoder:
 
         for table in (self.parts, self.chunks):
             if len(table) > KEPT_PIECES:
-                kept = dict(itertools.islice(table.items(), KEPT_PIECES // 2, None))
+                # Common ones came first; what came late is rare and makes room.
+                kept = dict(itertools.islice(table.items(), KEPT_PIECES // 2))
                 table.clear()
                 table.update(kept)
         made: list = [None] * len(texts)
