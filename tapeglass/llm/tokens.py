@@ -30,7 +30,7 @@ PATTERNS = {
     "dropped": rf"{WORD}|[^ \t\n\r]+",
     "kept": rf" ?{WORD}| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
 }
-OTHER_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+OTHER_SPACES = "".join(map(chr, [0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Words that a worker encodes both ways.
 COMPARED = 200
 
@@ -49,8 +49,9 @@ class Encoder:
         self.size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.pieces = re.compile(PATTERNS[spaces]).findall
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([*special, *([OTHER_SPACE] if spaces == "kept" else [])]) or "(?!)").search
+        # Texts that hold one of these are encoded whole; looking for single strings is faster than one pattern.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = [*special, *(OTHER_SPACES if spaces == "kept" else "")]
         self.plain = re.compile(f"[{LETTERS}]+").fullmatch
         # The characters that stand for the bytes of a letter, by the library's own mapping.
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -60,7 +61,8 @@ class Encoder:
         self.lead = "" if spaces == "dropped" else " "
         self.end = np.array([end_id], self.dtype).tobytes()
         self.parts: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        # None stands for the first chunk of a text where that is no chunk.
+        self.chunks: dict[str | None, bytes] = {None: b""}
 
     def _lowered(self, text: str) -> str:
         """The tokenizer lower-cases; doing so first makes pieces meet. Beyond Latin-1 languages differ in how."""
@@ -158,7 +160,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if text is None or text == "":
                 made[i] = self.end
-            elif self.whole(text):
+            elif any(sign in text for sign in self.odd):
                 made[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
             elif (chunks := self._split(text)) is not None:
                 split[i] = chunks
@@ -168,18 +170,10 @@ class Encoder:
                     chunks[0] = None
             else:
                 slow[i] = self.pieces(text)
-        new = set().union(*split.values()).difference(self.chunks)
-        new.discard(None)
-        self._learn(new, list(slow.values()))
-        parts, known = self.parts, self.chunks
-        for i, own in slow.items():
-            if i not in split:
-                made[i] = b"".join([parts[p] for p in own]) + self.end
-        for i, chunks in split.items():
-            if self.lead:
-                made[i] = b"".join([*(parts[p] for p in slow[i]), *(known[c] for c in chunks[1:]), self.end])
-            else:
-                made[i] = b"".join([known[c] for c in chunks]) + self.end
+        self._learn(set().union(*split.values()).difference(self.chunks), list(slow.values()))
+        part, known = self.parts.__getitem__, self.chunks.__getitem__
+        for i in slow.keys() | split.keys():
+            made[i] = b"".join(map(part, slow.get(i, ()))) + b"".join(map(known, split.get(i, ()))) + self.end
         return made
 
 
