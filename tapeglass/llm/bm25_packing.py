@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tapeglass.llm.common import ranges, staged
-from tapeglass.llm.tokens import encoder, narrow, TEXTS_AT_ONCE
+from tapeglass.llm.tokens import encoder, narrow, slices
 
 WINDOW = 1024
 SHARD_TAILS = 512
@@ -56,8 +56,8 @@ def _cut_documents(docs: DataFrame, tokenizer: str, spaces: str, end_id: int, wi
         frequencies = np.zeros(own.size, np.uint32)
         seen = np.zeros((MARKED_TEXTS, own.size), bool)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                few, rows = batch.slice(at, TEXTS_AT_ONCE), []
+            for few in slices(batch):
+                rows = []
                 for doc, raw in zip(few.column(0).to_pylist(), own.encode(few.column(1).to_pylist())):
                     ids = np.frombuffer(raw, own.dtype)
                     # Documents by id: marks of some documents side by side are counted at once.

@@ -2,8 +2,9 @@
 
 Both tokenizers split a text at white space, and words from punctuation, before they look at anything else. So the
 ids of a text are those of its chunks between single spaces, and those of a chunk are those of its pieces in order: words
-with at most a full stop or comma behind them, what is behind, and whatever else there is. Chunks and pieces repeat
-often; their ids are kept in bounded tables per worker. A word of plain letters goes to the library's model directly,
+with at most ASCII signs behind them, what is behind, and whatever else there is. Chunks and pieces repeat often; their
+ids are kept in bounded tables per worker, and Arrow finds the distinct chunks of some thousand texts and puts their
+ids together, so that Python sees each of them once. A word of plain letters goes to the library's model directly,
 past the splitting and normalising that leave it as it is; a few of each worker's first words are held against the
 whole tokenizer, which takes them all if one differs. Texts with the strings of special tokens or with rare white space
 are encoded whole.
@@ -20,12 +21,15 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 KEPT_PIECES = 1_000_000
-TEXTS_AT_ONCE = 256
+#: Texts that are encoded together, at most, and their bytes, if there is more than one.
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 4096, 12_000_000
 
 # A space joins the word after it, and of a longer run of white space the last one stays apart, as in the
 # tokenizer's own pattern. That holds for the four common characters; texts with others are encoded whole.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-WORD = f"[{LETTERS}]+(?=[.,]?(?:[ \\t\\n\\r]|$))"
+# Signs behind a word are no part of it; an apostrophe may begin an ending of the tokenizer's own.
+SIGNS = r"!-&(-/:-@\[-`{-~"
+WORD = rf"[{LETTERS}]+(?=[{SIGNS}]*(?:[ \t\n\r]|$))"
 PATTERNS = {
     "dropped": rf"{WORD}|[^ \t\n\r]+",
     "kept": rf" ?{WORD}| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
@@ -53,6 +57,7 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = [*special, *(OTHER_SPACES if spaces == "kept" else "")]
         self.plain = re.compile(f"[{LETTERS}]+").fullmatch
+        self.word = re.compile(WORD).match
         # The characters that stand for the bytes of a letter, by the library's own mapping.
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.shown = {code: shown(chr(code))[0][0] for code in [32, *range(0xC0, 0x100)]}
@@ -61,8 +66,7 @@ class Encoder:
         self.lead = "" if spaces == "dropped" else " "
         self.end = np.array([end_id], self.dtype).tobytes()
         self.parts: dict[str, bytes] = {}
-        # None stands for the first chunk of a text where that is no chunk.
-        self.chunks: dict[str | None, bytes] = {None: b""}
+        self.chunks: dict[str, bytes] = {}
 
     def _lowered(self, text: str) -> str:
         """The tokenizer lower-cases; doing so first makes pieces meet. Beyond Latin-1 languages differ in how."""
@@ -72,13 +76,16 @@ class Encoder:
             return text
         return text.lower()
 
-    def _split(self, text: str) -> list[str] | None:
-        """Chunks between single spaces, which are encoded alike wherever they stand; None if there is no telling."""
+    def _split(self, text: str) -> tuple[str, str | None]:
+        """The text up to the first chunk, and chunks between single spaces, which are encoded alike wherever they
+        stand; None if there are none or there is no telling."""
         if self.lower:
-            return self._lowered(text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            return "", self._lowered(text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
         if "  " in text or "\n \n" in text or "\t" in text or "\r" in text:
-            return None
-        return text.split(" ")
+            return text, None
+        # Nothing stands before the first word, not even a space.
+        first, space, rest = text.partition(" ")
+        return first, rest if space else None
 
     def _library(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, by one call of the whole tokenizer."""
@@ -123,26 +130,51 @@ class Encoder:
         if others := list(pieces.difference(words)):
             self.parts.update(zip(others, self._library(others)))
 
-    def _learn(self, chunks: set[str], pieces: list[list[str]]) -> None:
-        """Ids of chunks, and of the pieces of other texts."""
-        known, words, ended, cut = self.chunks, set(), [], {}
+    def _learn(self, chunks: list[str], pieces: list[list[str]]) -> None:
+        """Ids of new chunks, and of the pieces of other texts."""
+        known, parts, word = self.chunks, self.parts, self.word
+        words, cut = set(), {}
+        others, stems, rests = [], [], []
         for chunk in chunks:
             if self._is_word(chunk):
                 words.add(chunk)
-            elif chunk[-1:] in (".", ",") and self._is_word(chunk[:-1]):
-                # A word and the sign behind it are pieces of their own.
-                ended.append(chunk)
-                if chunk[:-1] not in known:
-                    words.add(chunk[:-1])
+                continue
+            if found := word(chunk):
+                # A word and what is behind it are pieces of their own.
+                stem = found[0]
+                rest = chunk[len(stem) :]
+                if stem not in known:
+                    words.add(stem)
             else:
-                cut[chunk] = self.pieces(self.lead + chunk)
+                stem, rest = "", self.lead + chunk
+            others.append(chunk)
+            stems.append(stem)
+            rests.append(rest)
+            if rest not in parts and rest not in cut:
+                cut[rest] = self.pieces(rest)
         if words:
             self._learn_words(list(words))
-        if new := {".", ","}.union(*cut.values(), *pieces).difference(self.parts):
+        if new := set().union(*cut.values(), *pieces).difference(parts):
             self._learn_parts(new)
-        parts = self.parts
-        known.update((chunk, known[chunk[:-1]] + parts[chunk[-1]]) for chunk in ended)
-        known.update((chunk, b"".join([parts[p] for p in own])) for chunk, own in cut.items())
+        made = {rest: b"".join([parts[p] for p in own]) for rest, own in cut.items()}
+        for chunk, stem, rest in zip(others, stems, rests):
+            behind = made[rest] if rest in made else parts[rest]
+            known[chunk] = known[stem] + behind if stem else behind
+
+    def _joined(self, texts: list[str], pieces: list[list[str]]) -> list[bytes]:
+        """Ids of texts of chunks; those of the pieces of other texts are learned with them."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        parted = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = parted.flatten().dictionary_encode()
+        # Through numpy, which makes the strings several times faster than `to_pylist`.
+        chunks, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.chunks
+        found = list(map(known.get, chunks))
+        self._learn([chunk for chunk, ids in zip(chunks, found) if ids is None], pieces)
+        made = [known[chunk] if ids is None else ids for chunk, ids in zip(chunks, found)]
+        ids = pa.array(made, pa.large_binary()).take(coded.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(parted.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id after them; NULL counts as empty."""
@@ -154,27 +186,24 @@ class Encoder:
                 kept = dict(itertools.islice(table.items(), KEPT_PIECES // 2))
                 table.clear()
                 table.update(kept)
-        made: list = [None] * len(texts)
-        split: dict[int, list[str]] = {}
-        slow: dict[int, list[str]] = {}
+        made = [b""] * len(texts)
+        split: dict[int, str] = {}
+        first: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
             if text is None or text == "":
-                made[i] = self.end
-            elif any(sign in text for sign in self.odd):
-                made[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
-            elif (chunks := self._split(text)) is not None:
-                split[i] = chunks
-                if self.lead:
-                    # Nothing stands before the first chunk, not even a space.
-                    slow[i] = self.pieces(chunks[0])
-                    chunks[0] = None
-            else:
-                slow[i] = self.pieces(text)
-        self._learn(set().union(*split.values()).difference(self.chunks), list(slow.values()))
-        part, known = self.parts.__getitem__, self.chunks.__getitem__
-        for i in slow.keys() | split.keys():
-            made[i] = b"".join(map(part, slow.get(i, ()))) + b"".join(map(known, split.get(i, ()))) + self.end
-        return made
+                continue
+            if any(sign in text for sign in self.odd):
+                made[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+                continue
+            start, rest = self._split(text)
+            first[i] = self.pieces(start)
+            if rest is not None:
+                split[i] = rest
+        joined = dict(zip(split, self._joined(list(split.values()), list(first.values()))))
+        part = self.parts.__getitem__
+        for i, own in first.items():
+            made[i] = b"".join(map(part, own)) + joined.get(i, b"")
+        return [ids + self.end for ids in made]
 
 
 def encoder(path: str, spaces: str, end_id: int) -> Encoder:
@@ -185,12 +214,25 @@ def encoder(path: str, spaces: str, end_id: int) -> Encoder:
     return _ENCODERS[key]
 
 
+def slices(batch) -> Iterator:
+    """Parts of a (key, text) record batch that are encoded at once."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES_AT_ONCE, "right"))
+        to = max(at + 1, min(at + TEXTS_AT_ONCE, full))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def encoded_batches(batches, path: str, spaces: str, end_id: int) -> Iterator[tuple[list, list[bytes], Encoder]]:
-    """Keys and ids of the (key, text) record batches of one task, a few hundred texts at a time."""
+    """Keys and ids of the (key, text) record batches of one task, some texts at a time."""
     own = encoder(path, spaces, end_id)
     for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            part = batch.slice(at, TEXTS_AT_ONCE)
+        for part in slices(batch):
             yield part.column(0).to_pylist(), own.encode(part.column(1).to_pylist()), own
 
 

@@ -104,6 +104,43 @@ def test_a_model_that_differs_from_its_tokenizer_is_not_used(monkeypatch):
     assert not own.direct
 
 
+@pytest.mark.parametrize("tokenizer", [WORD, BYTE])
+def test_words_with_signs_behind_them_share_the_ids_of_the_word(tokenizer, monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("aeklmnorstÉéü"), 9)) for _ in range(2000)]
+    signs = rng.choice(["%%%", ".***", "_`", "!!", "-", "<", ".\n", "'s", "&'", "(9", "|é"], 2000, p=[0.9, *[0.01] * 10])
+    signed = [f"{word}{sign}" for word, sign in zip(words, signs)]
+    made = [" ".join(signed[i : i + 9]) for i in range(0, 2000, 9)]
+    whole = Tokenizer.from_file(tokenizer[0])
+    own, given = tokens.Encoder(*tokenizer), []
+    library = own._library
+    monkeypatch.setattr(own, "_library", lambda pieces: given.extend(pieces) or library(pieces))
+    for text, raw in zip(made, own.encode(made)):
+        assert np.frombuffer(raw, own.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids + [tokenizer[2]], repr(text)
+    # Compared words, other pieces and signs, but not each of 1800 words once more with its signs. In `kept` mode the
+    # first words of the texts are pieces too.
+    assert own.direct and len(given) < tokens.COMPARED + 300
+
+
+@pytest.mark.parametrize("tokenizer", [WORD, BYTE])
+def test_slices_of_texts_and_full_tables_give_the_same_ids(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    texts = [None, "", " ", "a", "a ", " a", "x y. z&& x", "ab " * 400, "é\n\nb", "a\tb", *(f"{w} &{w} {w}." for w in ["ab", "cd", "éf"] * 9)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    expected = tokens.Encoder(*tokenizer).encode(texts)
+    assert [part.num_rows for part in tokens.slices(batch)] == [len(texts)] and tokens.Encoder(*tokenizer).encode([]) == []
+    monkeypatch.setattr(tokens, "TEXTS_AT_ONCE", 4)
+    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 30)
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 2)
+    parts, own = list(tokens.slices(batch)), tokens.Encoder(*tokenizer)
+    assert [t for part in parts for t in part.column(1).to_pylist()] == texts
+    assert all(p.num_rows == 1 or p.num_rows <= 4 and sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 30 for p in parts)
+    assert [raw for part in parts for raw in own.encode(part.column(1).to_pylist())] == expected
+
+
 def test_special_tokens_in_a_text_are_what_the_library_makes_of_them():
     for tokenizer, special in ((WORD, 49407), (BYTE, 50256)):
         own = tokens.Encoder(*tokenizer)
