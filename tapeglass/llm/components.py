@@ -32,8 +32,10 @@ def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) of every vertex of the links (a, b), longs; the component is its smallest vertex.
 
-    Each round is written to the shared scratch folder, so that plans stay short and a lost executor repeats one
-    round. The number of rounds grows with the logarithm of the graph. No links give no rows.
+    Each step is written to the shared scratch folder, so that plans stay short and a lost executor repeats one
+    step. The links stand several times in a step's plan: two steps in one plan would multiply, and the driver holds and
+    plans that plan anew after each of its stages. The number of rounds grows with the logarithm of the graph. No links
+    give no rows.
     """
     now = staged(edges.where(F.col("a") != F.col("b")).distinct(), "links")
     before = None
@@ -42,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
         if print_ == before:
             break
         before = print_
-        now = staged(_stars(_stars(now, True), False), "links")
+        now = staged(_stars(staged(_stars(now, True), "large-stars"), False), "links")
     roots = now.select(F.col("b").alias("vertex")).distinct()
     return now.select(F.col("a").alias("vertex"), F.col("b").alias("component")).union(
         roots.select("vertex", F.col("vertex").alias("component"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,6 +29,8 @@ SEED = 42
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Values of a group are counted exactly up to this many bits and by independent halves above.
 COUNTED_BITS = 16
+#: Rows that a task makes of fingerprints at a time.
+CHUNK_ROWS = 1 << 16
 
 
 def simhash(text: str | None, shingle: int) -> int:
@@ -112,19 +115,26 @@ def _within(counts: np.ndarray, most: int) -> np.ndarray:
 def _flips(width: int, most: int) -> list[np.ndarray]:
     """Masks of exactly 0, 1 .. most flipped bits."""
     return [
-        np.array([sum(1 << b for b in own) for own in itertools.combinations(range(width), r)], np.int64)
+        np.array([sum(1 << b for b in own) for own in itertools.combinations(range(width), r)], np.uint64).view(np.int64)
         for r in range(most + 1)
     ]
 
 
 class Plan:
-    """Bit groups, candidate counts by value, and the thresholds that follow from them."""
+    """Bit groups, candidate counts by value, and the thresholds that follow from them.
+
+    Only the counts are held and sent to tasks; the counts by distance, several times as large, are made where they are used.
+    """
 
     def __init__(self, groups: list[list[int]], counts: list[list[np.ndarray]], total: int, distance: int, bucket: int):
         self.groups, self.total, self.bucket = groups, total, bucket
         self.budget = distance - len(groups) + 1
         self.most = distance
-        self.rings = [[_within(c, distance) for c in own] for own in counts]
+        self.counts = counts
+
+    @cached_property
+    def rings(self) -> list[list[np.ndarray]]:
+        return [[_within(c, self.most) for c in own] for own in self.counts]
 
     @staticmethod
     def halves(bits: list[int]) -> list[list[int]]:
@@ -179,6 +189,11 @@ def _parts(total: int) -> int:
     return 4 if total < 1 << 22 else 3 if total < 1 << 30 else 2
 
 
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a bounded result without NULLs on the driver, never as Python objects."""
+    return [column.to_numpy() for column in df.toArrow().columns]
+
+
 def _plan(fps: DataFrame, distance: int, bucket: int) -> Plan:
     """The driver receives bit counts (64 x 64 a task, added up) and at most 2**16 counts a group or half group."""
 
@@ -196,8 +211,8 @@ def _plan(fps: DataFrame, distance: int, bucket: int) -> Plan:
 
     total = fps.count()
     both = np.zeros(BITS * BITS, np.int64)
-    for row in fps.mapInArrow(bits, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        both[row["cell"]] = row["n"]
+    cells, ns = _columns(fps.mapInArrow(bits, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")))
+    both[cells] = ns
     both = both.reshape(BITS, BITS)
     groups = bit_groups(both, np.diag(both), total, _parts(total))
     halves = [Plan.halves(g) for g in groups]
@@ -206,9 +221,11 @@ def _plan(fps: DataFrame, distance: int, bucket: int) -> Plan:
         F.struct(F.lit(p).alias("p"), F.lit(h).alias("h"), _pick(F.col("fp"), bits).alias("v"))
         for p, own in enumerate(halves) for h, bits in enumerate(own)
     ]))
-    found = fps.select(values.alias("x")).groupBy("x.p", "x.h", "x.v").count().toArrow()
-    for p, h, v, n in zip(*(c.to_pylist() for c in found.columns)):
-        counts[p][h][v] = n
+    of_part, of_half, at, ns = _columns(fps.select(values.alias("x")).groupBy("x.p", "x.h", "x.v").count())
+    for p, own in enumerate(counts):
+        for h, count in enumerate(own):
+            mine = (of_part == p) & (of_half == h)
+            count[at[mine]] = ns[mine]
     return Plan(groups, counts, total, distance, bucket)
 
 
@@ -220,16 +237,31 @@ def _midpoint_links(fps: DataFrame, distance: int) -> DataFrame:
     its midpoints; minima are combined before the shuffle.
     """
     inner = distance // 2
-    masks = [
-        sum(1 << b for b in own) for r in range(distance - inner + 1) for own in itertools.combinations(range(BITS), r)
-    ]
-    signed = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long") for m in masks])
-    mids = F.transform(
-        signed, lambda m: F.struct(F.col("fp").bitwiseXOR(m).alias("mid"), (F.bit_count(m) <= inner).alias("inner"))
-    )
-    reached = fps.select("fp", F.explode(mids).alias("x")).select("fp", "x.mid", "x.inner")
+
+    def reach(batches):
+        import pyarrow as pa
+
+        flips = _flips(BITS, distance - inner)
+        masks, near = np.concatenate(flips), np.repeat(np.arange(len(flips)) <= inner, [len(f) for f in flips])
+        most = max(1, CHUNK_ROWS // len(masks))
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                own = batch.column(0).slice(at, most).to_numpy(zero_copy_only=False).astype(np.int64)
+                for first in range(0, len(masks), CHUNK_ROWS):
+                    some = masks[first : first + CHUNK_ROWS]
+                    mids = (own[:, None] ^ some[None, :]).ravel()
+                    inside = np.tile(near[first : first + CHUNK_ROWS], len(own))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(own, len(some))), pa.array(mids), pa.array(inside)], ["fp", "mid", "inner"]
+                    )
+
+    # In Python: an array of thousands of masks in the plan would be copied and printed again and again on the driver.
+    reached = fps.select("fp").mapInArrow(reach, "fp long, mid long, inner boolean")
     least = reached.where("inner").groupBy("mid").agg(F.min("fp").alias("b"))
-    return reached.join(least, "mid").where("fp != b").select(F.col("fp").alias("a"), "b").distinct()
+    # Spark takes what a task makes of a fingerprint for as large as the fingerprint and would send all of it through the
+    # driver in a broadcast.
+    linked = reached.hint("merge").join(least.hint("merge"), "mid").where("fp != b")
+    return linked.select(F.col("fp").alias("a"), "b").distinct()
 
 
 def links(fps: DataFrame, distance: int, bucket: int = BUCKET) -> DataFrame:
@@ -270,11 +302,12 @@ def links(fps: DataFrame, distance: int, bucket: int = BUCKET) -> DataFrame:
         few_index = index.join(crowded, ["p", "v"], "left_anti")
         few_probes = probes.join(crowded, ["p", "v"], "left_anti")
         dense = index.union(probes).join(crowded, ["p", "v"], "left_semi").select("fp").distinct()
-        through = _midpoint_links(staged(dense, "dense-fingerprints"), distance)
+        through = staged(_midpoint_links(staged(dense, "dense-fingerprints"), distance), "midpoint-links")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    # As in `_midpoint_links`: neither the probes nor the index may be broadcast for the size of their fingerprints.
     found = (
-        few_probes.withColumnRenamed("fp", "a")
-        .join(few_index.withColumnRenamed("fp", "b"), ["p", "v"])
+        few_probes.withColumnRenamed("fp", "a").hint("merge")
+        .join(few_index.withColumnRenamed("fp", "b").hint("merge"), ["p", "v"])
         .where((F.col("a") < F.col("b")) & near)
         .select("a", "b")
         .distinct()
@@ -299,7 +332,7 @@ def near_duplicates(
         "component", F.coalesce("component", "fp")
     )
     smallest = labels.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = labels.join(smallest, "component").select("fp", "component_id")
+    classes = staged(labels.join(smallest, "component").select("fp", "component_id"), "classes")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(classes, "fp").select(F.col("doc_id").alias(key), digits, "component_id")
 

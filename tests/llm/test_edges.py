@@ -1,5 +1,7 @@
 """NULLs, empty and very long texts, ties, repeated rows, empty tables and clashing columns in every operator."""
 
+import pickle
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -7,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tapeglass.llm import (
-    bm25_packing, chat, components, digest, huffman, line_templates, neighbour_quality, sharding, simhash, tiling, tokens,
-    url_templates,
+    bm25_packing, chat, common, components, digest, huffman, line_templates, neighbour_quality, sharding, simhash, tiling,
+    tokens, url_templates,
 )
 from tapeglass.session import scratch_folder
 
@@ -269,6 +271,40 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_plans_of_near_duplicates_stay_small_on_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    fps = spark.createDataFrame([(int(v),) for v in rng.integers(-(1 << 62), 1 << 62, 50)], "fp long")
+    fps = common.staged(fps, "few-fingerprints")
+    for linked in (simhash._midpoint_links(fps, 4), simhash.links(fps, 4)):
+        planned = linked._jdf.queryExecution()
+        assert "Broadcast" not in planned.sparkPlan().toString() and len(planned.optimizedPlan().toString()) < 20_000
+    plan = simhash._plan(fps, 4, 10)
+    assert len(pickle.dumps(plan)) < 1.1 * 8 * sum(1 << len(bits) for bits in plan.groups)
+    folds = []
+
+    def staged(df, purpose):
+        folds.append(df._jdf.queryExecution().sparkPlan().toString().count("HashAggregate"))
+        return common.staged(df, purpose)
+
+    monkeypatch.setattr(components, "staged", staged)
+    components.components(spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")).collect()
+    assert len(folds) > 3 and max(folds) <= 8
+
+
+def test_midpoint_links_connect_what_is_near(spark):
+    rng = np.random.default_rng(1)
+    fps = [int(v) for v in rng.integers(-(1 << 63), (1 << 63) - 1, 6)]
+    for flips in (1, 2, 3, 4, 5):
+        fps += [int(np.int64(fps[0]) ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, flips, False))).view(np.int64))]
+    fps = list(dict.fromkeys([*fps, 0, -1]))
+    found = components.components(simhash._midpoint_links(spark.createDataFrame([(v,) for v in fps], "fp long"), 4)).collect()
+    near = {v: {v} for v in fps}
+    for v, w in [(v, w) for _ in fps for v in fps for w in fps]:
+        if bin((v ^ w) & (2**64 - 1)).count("1") <= 4:
+            near[v] = near[w] = near[v] | near[w]
+    assert {r["vertex"]: r["component"] for r in found} == {v: min(near[v]) for v in fps if len(near[v]) > 1}
+
+
 def test_chat(spark):
     odd = ["", None, "\\", "\\\\", "###", "\\###", "######", "</turn>", "\\</turn>\\", "### user: a</turn>\n", "</turn>\n### x: ", "é\u2028"]
     rows = [(1, i, role, text) for i, (role, text) in enumerate((r, t) for r in ("user", "assistant", "a: b", ":\\", None) for t in odd)]
