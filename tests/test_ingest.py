@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import tapeglass as tg
 from tapeglass.operators.dedup import dedup_first
 from tapeglass.schema import FLOW_COLUMNS, FLOW_SCHEMA, GREEKS, KEY
+from tapeglass.sources.csv_files import scan_csv
 from tapeglass.sources.flow_table import STORED_COLUMNS
 from tapeglass.sources.listing import list_files, read_ledger
 from tests.compare import spark_table
@@ -264,6 +265,42 @@ def test_stream_ingests_in_batches_and_restarts(spark, landing, tmp_path):
     assert 9.0 not in column(stored(spark, out), "call_vega")
 
 
+def test_append_does_not_list_the_other_dates(spark, tmp_path):
+    out, context = str(tmp_path / "flow"), spark.sparkContext
+    days = [csv_line(timestamp=f"2025-{m:02d}-{d:02d}T10:00:00-04:00") for m in (4, 5) for d in range(1, 29)]
+    tg.ingest_csv(spark, write_csv(tmp_path / "a.csv", *days), out)
+    again = [days[0], days[40], csv_line(Side="Bid"), csv_line(timestamp="2025-04-02T10:00:00-04:00", Side="Bid")]
+    for case, lines in enumerate((again[:1], again[2:3], again[:2], again)):
+        rows = scan_csv(spark, write_csv(tmp_path / f"{case}.csv", *lines))
+        context.setJobGroup(f"append {case}", "")
+        counts = tg.append_flow(rows, out)
+        jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup(f"append {case}")]
+        stages = [context.statusTracker().getStageInfo(s) for job in jobs for s in job.stageIds]
+        assert jobs and max(s.numTasks for s in stages if s) < len(days)
+        assert counts["appended"] == (0, 1, 0, 1)[case]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert stored(spark, out).count() == len(days) + 2
+
+
+def test_keys_of_rows_without_a_time_are_found(spark, tmp_path):
+    out = str(tmp_path / "flow")
+    for case, (times, added) in enumerate((((None,), 1), ((None, "2025-04-22T15:47:00-04:00"), 1), ((None,), 0))):
+        lines = [csv_line(timestamp=t or "") for t in times]
+        assert tg.append_flow(scan_csv(spark, write_csv(tmp_path / f"{case}.csv", *lines)), out)["appended"] == added
+
+
+def test_quarantine_is_there_without_refused_files_and_replaced(spark, tmp_path):
+    out, bad = str(tmp_path / "flow"), tmp_path / "bad"
+    pack(bad / minute_name("0931"), "no JSON")
+    tg.ingest_minute_stream(spark, str(bad), out, str(tmp_path / "one"))
+    assert spark.read.parquet(f"{out}_quarantine").count() == 1
+    pack(tmp_path / "good" / minute_name("0931"), json.dumps([record()]))
+    tg.ingest_minute_stream(spark, str(tmp_path / "good"), out, str(tmp_path / "two"))
+    assert spark.read.parquet(f"{out}_quarantine").count() == 0
+    tg.ingest_minute_stream(spark, str(tmp_path / "good"), f"{out}2", str(tmp_path / "three"))
+    assert spark.read.parquet(f"{out}2_quarantine").count() == 0 and stored(spark, f"{out}2").count() == 1
+
+
 def test_replayed_batch_adds_nothing(spark, landing, tmp_path):
     out = str(tmp_path / "flow")
     tg.ingest_minute_stream(spark, str(landing), out, str(tmp_path / "one"))
